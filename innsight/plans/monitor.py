@@ -144,11 +144,12 @@ def drift(profiled: DataFrame, monitor: Monitor) -> DataFrame:
 
 
 def baseline(profiled: DataFrame, as_of: str, first_days_back: int = 90, last_days_back: int = 30) -> DataFrame:
-    """Mean of every metric over the frozen window [as_of-90, as_of-30]."""
+    """Mean of every metric over the frozen window [as_of-90, as_of-30]; summed as decimal, so row order cannot matter."""
     day = F.lit(as_of).cast("date")
     frozen = profiled.where(F.col("window_start").between(F.date_sub(day, first_days_back), F.date_sub(day, last_days_back)))
     return frozen.groupBy("granularity", "slice_key", "slice_value", "metric").agg(
-        F.round(F.avg("value"), 4).alias("base_value"), F.count("value").alias("base_windows")
+        F.try_divide(F.sum(F.col("value").cast("decimal(28,6)")).cast("double"), F.count("value")).alias("base_value"),
+        F.count("value").alias("base_windows"),
     )
 
 
@@ -161,7 +162,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     """Default statistics of every column: rows, nulls, distinct, min, max, mean, stddev.
 
     One aggregate for the cheap statistics; distinct counts come from a mergeable
-    sketch with 1 % error, because one exact distinct per column would multiply rows.
+    sketch, because one exact distinct per column would multiply rows.
     """
     numeric = {"integer", "long", "double", "float", "decimal", "short", "byte"}
     stats, entries = [], []
@@ -170,7 +171,7 @@ def column_profile(df: DataFrame) -> DataFrame:
         number = c.cast("double")
         stats += [
             F.count_if(c.isNull()).alias(f"n_{f.name}"),
-            F.approx_count_distinct(c, 0.01).alias(f"d_{f.name}"),
+            F.approx_count_distinct(c).alias(f"d_{f.name}"),
             F.min(c).cast("string").alias(f"lo_{f.name}"),
             F.max(c).cast("string").alias(f"hi_{f.name}"),
             (F.round(F.avg(number), 4) if is_num else F.lit(None).cast("double")).alias(f"m_{f.name}"),
