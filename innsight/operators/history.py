@@ -45,8 +45,8 @@ def scd2_apply(
     ``batch`` holds one row per key with the dimension's attributes and the change
     time ``effective_from``. Unchanged keys and changes not newer than the current
     version leave the dimension as it is, so applying a batch twice changes nothing.
-    Late changes go through :func:`scd2_history`. Only current versions join; closed
-    history passes through without a shuffle.
+    Late changes go through :func:`scd2_history`. Only current versions join, always
+    with the batch on the small side; closed history passes through untouched.
     """
     attributes = [c for c in dim.columns if c not in (*VERSION_COLUMNS, key_name)]
     closed = dim.where(~F.col("is_current"))
@@ -57,16 +57,11 @@ def scd2_apply(
         F.col(effective_from).alias("_since"),
         _digest(tracked).alias("_hash"),
     )
-    joined = current.join(incoming, key, "full_outer").withColumn(
+    joined = current.join(incoming, key, "left").withColumn(
         "_changed",
-        F.coalesce(
-            F.col("is_current").isNull()
-            | ((F.col("_hash") != _digest([c for c in tracked])) & (F.col("_since") > F.col("effective_from"))),
-            F.lit(False),
-        ),
+        F.coalesce((F.col("_hash") != _digest(tracked)) & (F.col("_since") > F.col("effective_from")), F.lit(False)),
     )
-    had = F.col("is_current").isNotNull()
-    stay = joined.where(had).select(
+    stay = joined.select(
         *[
             F.when(F.col("_changed"), F.col("_since")).otherwise(F.col("effective_to")).alias(c)
             if c == "effective_to"
@@ -76,8 +71,10 @@ def scd2_apply(
             for c in dim.columns
         ]
     )
+    known = current.select(key).join(incoming.select(key), key, "left_semi")
+    unseen = incoming.join(known, key, "left_anti")
     opened = (
-        joined.where("_changed")
+        joined.where("_changed").select("_new", "_since").unionByName(unseen.select("_new", "_since"))
         .select("_new.*", F.col("_since").alias("effective_from"))
         .withColumns({"effective_to": F.lit(None).cast(dim.schema["effective_to"].dataType), "is_current": F.lit(True)})
         .withColumn(key_name, surrogate_key(key, "effective_from"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ def neighbour(
     ``bucket`` must not decrease along ``order`` (for example the month of the first
     order column). Rows are windowed per (key, bucket); the edge row of each bucket
     is carried over in a second window that sees one row per bucket, so a key with a
-    large share of all rows is still spread over its buckets.
+    large share of all rows is still spread over its buckets. Rows with a NULL key have
+    no neighbours.
     """
     keys, order = list(keys), list(order)
     rows = df.withColumn("_bucket", bucket)
@@ -33,20 +35,17 @@ def neighbour(
     outer = Window.partitionBy(*keys).orderBy("_bucket")
     shift = F.lag if forward else F.lead
     edge_by = F.max_by if forward else F.min_by
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, "_bucket"]])
     edges = (
-        rows.groupBy(*keys, "_bucket")
+        rows.where(known)
+        .groupBy(*keys, "_bucket")
         .agg(edge_by(F.struct(*values), F.struct(*order)).alias("_edge"))
-        .withColumn("_carry", shift("_edge").over(outer))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_k_bucket"), "_carry")
+        .select(*keys, "_bucket", shift("_edge").over(outer).alias("_carry"))
     )
-    condition = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return (
-        rows.withColumn("_inside", shift(F.struct(*values)).over(inner))
-        .join(edges, condition, "left")
-        .withColumn(into, F.coalesce("_inside", "_carry"))
-        .drop("_bucket", "_inside", "_carry", "_k_bucket", *[f"_k_{k}" for k in keys])
+        rows.withColumn("_inside", F.when(known, shift(F.struct(*values)).over(inner)))
+        .join(edges, [*keys, "_bucket"], "left")
+        .select(*df.columns, F.coalesce("_inside", "_carry").alias(into))
     )
 
 
@@ -63,7 +62,8 @@ def asof_join(
 
     Both sides are cut into (key, period) groups. Inside a group the last right row
     is filled forward; the last right row of earlier periods is carried in from a
-    window over one row per period. The right side holds one row per (key, time).
+    window over one row per period. The right side holds one row per (key, time); NULL keys
+    match nothing.
     """
     keys, values = list(keys), list(values)
     period = lambda ts: F.date_trunc(grain, F.col(ts)).cast("date")
@@ -74,7 +74,7 @@ def asof_join(
         F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
     )
     pay = F.struct(F.col(right_ts), *[F.col(v) for v in values])
-    rights = right.select(
+    rights = right.dropna(subset=keys).select(
         *keys, F.col(right_ts).alias("_at"), period(right_ts).alias("_period"), F.lit(0).alias("_side"), pay.alias("_pay")
     )
     both = lefts.unionByName(rights, allowMissingColumns=True)

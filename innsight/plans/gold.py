@@ -133,16 +133,19 @@ def latest_payments(payments: DataFrame) -> DataFrame:
     return newest.select("booking_id", F.col("amount").alias("payment_amount"), "payment_method")
 
 
-def _enriched(bookings: DataFrame, payments: DataFrame, properties: DataFrame) -> DataFrame:
+def _paid_bookings(bookings: DataFrame, payments: DataFrame) -> DataFrame:
+    """One row per booking with its payment; both sides are already partitioned by the booking."""
     newest = dedup_latest(bookings, ["booking_id"], [F.desc("processed_timestamp"), F.desc("updated_at")])
-    return newest.join(latest_payments(payments), "booking_id", "left").join(
-        properties.select("property_id", "host_id", "destination_id"), "property_id", "left"
-    )
+    return newest.join(latest_payments(payments), "booking_id", "left")
 
 
 def fact_booking_detail(bookings: DataFrame, payments: DataFrame, users: DataFrame, properties: DataFrame) -> DataFrame:
     """One row per booking with its newest completed payment and dimension keys."""
-    joined = _enriched(bookings, payments, properties).join(users.select("user_id", "is_business"), "user_id", "left")
+    joined = (
+        _paid_bookings(bookings, payments)
+        .join(properties.select("property_id", "host_id", "destination_id"), "property_id", "left")
+        .join(users.select("user_id", "is_business"), "user_id", "left")
+    )
     cancelled = F.coalesce(F.col("status") == "cancelled", F.lit(False))
     return joined.select(
         "booking_id",
@@ -169,21 +172,21 @@ def fact_booking_detail(bookings: DataFrame, payments: DataFrame, users: DataFra
 def fact_booking_daily(bookings: DataFrame, payments: DataFrame, properties: DataFrame) -> DataFrame:
     """One row per property and check-in date.
 
-    The destination is an attribute of the property, so it is carried along and does
-    not widen the grain. Every booking counts once: payments are reduced to one per
-    booking before they are joined.
+    The destination is an attribute of the property: it is looked up after the
+    aggregation, so a property with very many bookings is reduced on the map side and
+    never meets a join row by row. Every booking counts once: payments are reduced to
+    one per booking before they are joined.
     """
     status = F.col("status")
     paid = F.count("payment_amount")
-    return (
-        _enriched(bookings, payments, properties)
+    per_day = (
+        _paid_bookings(bookings, payments)
         .where(F.col("property_id").isNotNull())
         .withColumns(
             {"check_in_date": F.col("check_in").cast("date"), "nights": F.datediff("check_out", "check_in")}
         )
         .groupBy("property_id", "check_in_date")
         .agg(
-            F.max("destination_id").alias("destination_id"),
             F.count("booking_id").alias("booking_count"),
             F.count_if(status == "confirmed").alias("confirmed_booking_count"),
             F.count_if(status == "cancelled").alias("cancellation_count"),
@@ -193,8 +196,8 @@ def fact_booking_daily(bookings: DataFrame, payments: DataFrame, properties: Dat
             F.avg("nights").cast("decimal(10,2)").alias("avg_nights_booked"),
             (paid * 100 / F.count("booking_id")).cast("decimal(5,2)").alias("payment_completion_rate"),
         )
-        .select(*FACT_BOOKING_DAILY.names)
     )
+    return per_day.join(properties.select("property_id", "destination_id"), "property_id", "left").select(*FACT_BOOKING_DAILY.names)
 
 
 def fact_property_engagement(page_views: DataFrame, clickstream: DataFrame, booking_daily: DataFrame) -> DataFrame:

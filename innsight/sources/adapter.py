@@ -232,27 +232,24 @@ def reviews(raw: Raw) -> DataFrame:
 
 
 def support_logs(raw: Raw) -> DataFrame:
-    """One ticket per conversation with its ordered messages.
+    """One ticket per conversation turn; the lines of its text are the messages.
 
-    A ticket is one row holding an array in the source data model, so its size is
-    bounded by the row format, not by this derivation.
+    The array comes from the row itself, so no group of rows is ever collected.
     """
-    turns = raw("conversations")
-    ordered = turns.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
-    )
-    return ordered.select(
-        F.col("conv_id").cast("string").alias("ticket_id"),
+    lines = F.split("text", "\n")
+    sender = F.when(F.col("role") == "assistant", "agent").otherwise(F.col("role"))
+    return raw("conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("ticket_id"),
         F.col("conv_id").alias("user_id"),
         F.concat(F.lit("agent"), F.col("conv_id") % 5).alias("support_agent_id"),
         F.lit("2000-01-05").alias("created_at"),
         F.transform(
-            "turns",
-            lambda t: F.struct(
-                t["text"].alias("message"),
-                F.when(t["role"] == "assistant", "agent").otherwise(t["role"]).alias("sender"),
-                F.when(F.length(t["text"]) % 5 == 0, "negative").otherwise("neutral").alias("sentiment"),
-                t["turn"].cast("string").alias("timestamp"),
+            lines,
+            lambda line, i: F.struct(
+                line.alias("message"),
+                F.when(i % 2 == 1, "agent").otherwise(sender).alias("sender"),
+                F.when(F.length(line) % 5 == 0, "negative").otherwise("neutral").alias("sentiment"),
+                i.cast("string").alias("timestamp"),
             ),
         ).alias("messages"),
     )

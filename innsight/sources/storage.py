@@ -31,6 +31,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/innsight-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; call it when no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/innsight-{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Overwrite ``path`` and read it back.
 

@@ -87,10 +87,10 @@ VIEWS: dict[str, str] = {
         CAST(o_orderdate AS DATE) + CAST(20 + o_orderkey % 2 AS INTEGER) AS updated_at, o_orderkey % 50 = 0 AS is_deleted
         FROM orders LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS property_id FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
         WHERE o_orderkey % 4 = 0""",
-    "src_support": """SELECT CAST(conv_id AS VARCHAR) AS ticket_id, conv_id AS user_id, 'agent' || (conv_id % 5) AS support_agent_id,
-        '2000-01-05' AS created_at, count(*) AS message_count,
-        count(*) FILTER (role = 'assistant') AS agent_messages,
-        count(*) FILTER (length(text) % 5 = 0) AS negative_messages FROM conversations GROUP BY conv_id""",
+    "src_support": """SELECT conv_id || '-' || turn AS ticket_id, conv_id AS user_id, 'agent' || (conv_id % 5) AS support_agent_id,
+        '2000-01-05' AS created_at, len(string_split(text, chr(10))) AS message_count,
+        CAST(role = 'assistant' OR len(string_split(text, chr(10))) > 1 AS INTEGER) AS agent_messages,
+        len(list_filter(string_split(text, chr(10)), lambda x: length(x) % 5 = 0)) AS negative_messages FROM conversations""",
     "src_locations": """SELECT 'L' || n_nationkey AS "locationKey", n_name AS "localizedName", upper(n_name) AS "englishName",
         substr(r_name, 1, 2) AS country_code, r_name AS country_name, 'A' || (n_nationkey % 7) AS "administrativeArea_id",
         'Area ' || (n_nationkey % 7) AS "administrativeArea_name", 'T' || (n_nationkey % 4) AS timezone_code,
