@@ -95,9 +95,11 @@ def asof_join(
     )
 
 
-def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column]) -> DataFrame:
+def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column], with_total: bool = False) -> DataFrame:
     """Inclusive running sums over a total order of the whole table.
 
+    ``with_total`` adds the grand total of each sum as ``<name>_total``.
+
     Rows are range-partitioned and written once with their range number. Each range
     is summed on its own; the sums of earlier ranges (one row per range, at most the
     shuffle partition count) are added back. ``order`` must be unique per row, which
@@ -111,15 +113,18 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column
     rows = df.sparkSession.read.schema(staged.schema).parquet(path)
 
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    grand = [F.sum(f"_s_{name}").over(every).alias(f"{name}_total") for name in totals] if with_total else []
     offsets = (
         rows.groupBy("_range")
         .agg(*[F.sum(f"_v_{name}").alias(f"_s_{name}") for name in totals])
-        .select("_range", *[F.coalesce(F.sum(f"_s_{name}").over(earlier), F.lit(0)).alias(f"_o_{name}") for name in totals])
+        .select("_range", *[F.coalesce(F.sum(f"_s_{name}").over(earlier), F.lit(0)).alias(f"_o_{name}") for name in totals], *grand)
     )
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumns({f"_c_{name}": F.sum(f"_v_{name}").over(inside) for name in totals})
     return summed.join(offsets, "_range").select(
-        *df.columns, *[(F.col(f"_c_{name}") + F.col(f"_o_{name}")).alias(name) for name in totals]
+        *df.columns, *[(F.col(f"_c_{name}") + F.col(f"_o_{name}")).alias(name) for name in totals],
+        *([f"{name}_total" for name in totals] if with_total else []),
     )
 
 
@@ -129,13 +134,13 @@ def global_row_number(df: DataFrame, order: Sequence[str], into: str = "row_numb
 
 def ntile(df: DataFrame, buckets: int, order: Sequence[str], into: str) -> DataFrame:
     """Equal-sized ordered buckets over the whole table; earlier buckets take the remainder."""
-    numbered = global_row_number(df, order, "_rn")
-    size = numbered.agg(F.count(F.lit(1))).scalar()
+    numbered = running_totals(df, order, {"_rn": F.lit(1).cast("long")}, with_total=True)
+    size = F.col("_rn_total")
     base, extra = F.floor(size / F.lit(buckets)), size % F.lit(buckets)
     cut = extra * (base + 1)
     row = F.col("_rn") - 1
     tile = F.when(row < cut, F.floor(row / (base + 1))).otherwise(extra + F.floor(F.try_divide(row - cut, base)))
-    return numbered.withColumn(into, (tile + 1).cast("int")).drop("_rn")
+    return numbered.withColumn(into, (tile + 1).cast("int")).drop("_rn", "_rn_total")
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float]) -> DataFrame:
@@ -146,8 +151,8 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float]) -> D
     counted = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_x")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    ranked = running_totals(counted, ["_x"], {"_upto": F.col("_n")})
-    size = ranked.agg(F.max("_upto")).scalar()
+    ranked = running_totals(counted, ["_x"], {"_upto": F.col("_n")}, with_total=True)
+    size = F.col("_upto_total")
     holds = lambda pos: (F.col("_upto") - F.col("_n") <= pos) & (pos < F.col("_upto"))
     picks = []
     for name, q in quantiles.items():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from innsight.functions.shared import current
 from innsight.operators import history, keys, ordered
 from innsight.plans import gold
+from innsight.sources.storage import materialize
 from oracle.base import AS_OF, add_view, big, dbl, with_views
 
 QUERIES: dict = {}
@@ -48,7 +49,7 @@ ORACLE["upsert"] = with_views(f"""SELECT booking_id, CASE WHEN updated_at >= DAT
 
 
 def _scd1(cat):
-    dim = cat.plan("dim_destination")
+    dim = cat.table("dim_destination")
     batch = dim.where("destination_id >= 10").unionByName(
         dim.where("destination_id < 3").withColumns(
             {"destination_id": F.col("destination_id") + 1000, "destination_key": keys.surrogate_key(F.col("destination_id") + 1000)}
@@ -66,10 +67,10 @@ CHANGE_DAY = "2001-09-01"
 
 
 def _versions(dim, key, tracked, key_name, edits, new_rows):
-    """Apply a change batch twice: the second run must change nothing."""
+    """Apply a change batch, store the dimension, apply it again: the second run must change nothing."""
     base = dim.drop(key_name, "effective_from", "effective_to", "is_current")
     batch = base.withColumns(edits).unionByName(new_rows(base)).withColumn("since", F.lit(CHANGE_DAY).cast("date"))
-    once = history.scd2_apply(dim, batch, key, tracked, key_name, "since")
+    once = materialize(history.scd2_apply(dim, batch, key, tracked, key_name, "since"), key_name)
     return history.scd2_apply(once, batch, key, tracked, key_name, "since")
 
 
@@ -166,7 +167,7 @@ ORACLE["scd2_history_hosts"] = with_views("SELECT * FROM host_versions")
 
 def _overlaps(cat):
     """Break every seventh key's history on purpose, then find the damage."""
-    good = user_versions(cat)
+    good = cat.store("user_versions", lambda: user_versions(cat))
     broken = good.withColumns(
         {
             "effective_to": F.when(F.col("user_id") % 7 == 0, F.date_add(F.col("effective_to"), 400)).otherwise(F.col("effective_to")),
