@@ -213,4 +213,5 @@ BUILDERS = {
     "reviews": reviews,
     "support_logs": support_logs,
     "weather_forecasts": weather,
+    "weather_history": weather,
 }

@@ -296,6 +296,11 @@ def weather_forecasts(raw: Raw) -> DataFrame:
     )
 
 
+def weather_history(raw: Raw) -> DataFrame:
+    """Observed days in the layout of the forecasts."""
+    return weather_forecasts(raw)
+
+
 def user_changes(raw: Raw) -> DataFrame:
     """Change log of user attributes: several events per user, some without a change."""
     orders = raw("orders")

@@ -18,6 +18,7 @@ STORED = {
     "dim_host": (),
     "dim_property": (),
     "dim_destination": (),
+    "paid_bookings": (),
     "fact_booking_detail": ("check_in_date",),
     "fact_booking_daily": ("check_in_date",),
     "fact_property_engagement": ("engagement_date",),
@@ -56,7 +57,9 @@ class Catalog:
         return getattr(adapter, name)(self.raw)
 
     def rules_for(self, name: str) -> list[quality.Rule]:
-        alias = {"support_logs": "customer_support_logs", "weather_forecasts": "forecast_daily_metric"}
+        alias = {
+            "support_logs": "customer_support_logs", "weather_forecasts": "forecast_daily_metric", "weather_history": "historical_daily_metric",
+        }
         return rules.rules_for(self.rules, alias.get(name, name))
 
     def derived(self, name: str) -> DataFrame:
@@ -70,7 +73,8 @@ class Catalog:
         reasons = {"bookings": rules.BOOKING_REASONS, "payments": rules.PAYMENT_REASONS}[name]
         return quality.quarantine(self.source(name), self.rules_for(name), reasons, rules.OTHER_REASON)
 
-    def plan(self, name: str) -> DataFrame:
+    def plan(self, name: str, paid: DataFrame | None = None) -> DataFrame:
+        """The table as a plan; ``paid`` replaces the paid bookings it would derive itself."""
         loaded = F.lit(self.as_of).cast("date")
         builders: dict[str, Callable[[], DataFrame]] = {
             "dim_user": lambda: gold.dim_user(self.silver("users"), loaded),
@@ -78,11 +82,12 @@ class Catalog:
             "dim_property": lambda: gold.dim_property(self.silver("properties"), loaded),
             "dim_destination": lambda: gold.dim_destination(self.silver("destinations")),
             "dim_date": lambda: gold.dim_date(self.spark, *self.calendar),
+            "paid_bookings": lambda: gold.paid_bookings(self.silver("bookings"), self.silver("payments")),
             "fact_booking_detail": lambda: gold.fact_booking_detail(
-                self.silver("bookings"), self.silver("payments"), self.silver("users"), self.silver("properties")
+                paid if paid is not None else self.plan("paid_bookings"), self.silver("users"), self.silver("properties")
             ),
             "fact_booking_daily": lambda: gold.fact_booking_daily(
-                self.silver("bookings"), self.silver("payments"), self.silver("properties")
+                paid if paid is not None else self.plan("paid_bookings"), self.silver("properties")
             ),
             "fact_property_engagement": lambda: gold.fact_property_engagement(
                 self.silver("page_views"), self.silver("clickstream"), self.table("fact_booking_daily")
@@ -98,7 +103,8 @@ class Catalog:
         if name not in STORED:
             return self.plan(name)
         if name not in self._stored:
-            self._stored[name] = materialize(self.plan(name), name, STORED[name])
+            paid = self.table("paid_bookings") if name.startswith("fact_booking_") else None
+            self._stored[name] = materialize(self.plan(name, paid), name, STORED[name])
         return self._stored[name]
 
     def store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

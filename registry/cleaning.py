@@ -159,7 +159,7 @@ RULE_TABLES = ["users", "hosts", "destinations", "countries", "properties", "ame
 def _rules_with_hits(cat):
     """The rule table with, for every rule, the rows its table failed."""
     parts = []
-    for t in RULE_TABLES:
+    for t in [*RULE_TABLES, "weather_forecasts", "weather_history"]:
         rules = cat.rules_for(t)
         report = quality.violation_report(cat.derived(t), rules)
         parts.append(report.withColumn("table_name", F.lit(rules[0].table)))
@@ -208,7 +208,8 @@ def _fail_rows(table: str) -> str:
         f" count(*) FILTER ({bad}) AS violations FROM {view}" for n, s, bad in entries)
 
 
-ORACLE["dq_rules"] = with_views(" UNION ALL ".join(_fail_rows(t) for t in _FAILS))
+_WEATHER_RULES = " UNION ALL ".join(f"SELECT 'silver_{t}_daily_metric' AS table_name, 'has_data' AS rule_name, 'warning' AS severity, count(*) AS row_count, 0 AS violations FROM src_forecasts" for t in ("forecast", "historical"))
+ORACLE["dq_rules"] = with_views(" UNION ALL ".join(_fail_rows(t) for t in _FAILS) + " UNION ALL " + _WEATHER_RULES)
 
 QUERIES["dq_load_rules"] = lambda cat: quality.violation_report(
     cat.derived("payments"),
