@@ -69,6 +69,10 @@ class Catalog:
     def silver(self, name: str) -> DataFrame:
         return quality.keep_valid(self.derived(name), self.rules_for(name))
 
+    def cleaned(self, name: str) -> DataFrame:
+        """The cleaned table written once, for reports that read it several times."""
+        return self.store(f"silver_{name}", lambda: self.silver(name))
+
     def quarantined(self, name: str) -> DataFrame:
         reasons = {"bookings": rules.BOOKING_REASONS, "payments": rules.PAYMENT_REASONS}[name]
         return quality.quarantine(self.source(name), self.rules_for(name), reasons, rules.OTHER_REASON)

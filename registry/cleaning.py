@@ -280,7 +280,7 @@ ORACLE["dq_payment_metrics"] = with_views(f"""SELECT s AS silver_record_count, c
 
 def _integrity(cat):
     return quality_reports.referential_integrity(
-        *[cat.silver(t) for t in ("bookings", "users", "properties", "payments", "reviews")])
+        *[cat.cleaned(t) for t in ("bookings", "users", "properties", "payments", "reviews")])
 
 
 QUERIES["dq_referential_integrity"] = _integrity
