@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from innsight.functions.shared import current
 from innsight.operators import history, keys, ordered
 from innsight.plans import gold
-from innsight.sources.storage import materialize
+from innsight.plans.merges import merge_table
+from innsight.sources.storage import materialize, scratch_path
 from oracle.base import AS_OF, add_view, big, dbl, with_views
 
 QUERIES: dict = {}
@@ -48,6 +49,34 @@ ORACLE["upsert"] = with_views(f"""SELECT booking_id, CASE WHEN updated_at >= DAT
     {dbl("CASE WHEN updated_at < DATE '2000-01-01' THEN total_amount ELSE total_amount + 1 END")} AS total_amount, is_cancelled FROM fact_booking_detail""")
 
 
+def _merge_fact(cat):
+    """Early bookings with a stale status and an unset guest count, then merged with the whole fact."""
+    fact = cat.table("fact_booking_detail")
+    path = scratch_path(cat.spark, "merged-fact")
+    early = fact.where("updated_at < DATE'2000-01-01'").withColumns({"status": F.lit("stale"), "guests_count": F.lit(-1)})
+    merge_table(early, path, "fact_booking_detail")
+    return merge_table(fact, path, "fact_booking_detail").select("booking_id", "status", "guests_count", "payment_amount", "payment_method", "is_cancelled")
+
+
+QUERIES["merge_fact_booking_detail"] = _merge_fact
+ORACLE["merge_fact_booking_detail"] = with_views(f"""SELECT booking_id, status, {big("CASE WHEN updated_at < DATE '2000-01-01' THEN -1 ELSE guests_count END")} AS guests_count,
+    {dbl('payment_amount')} AS payment_amount, payment_method, is_cancelled FROM fact_booking_detail""")
+
+
+def _merge_daily(cat):
+    """Daily fact loaded up to 1999 with zeroed counts, then merged: every measure is refreshed."""
+    fact = cat.table("fact_booking_daily")
+    path = scratch_path(cat.spark, "merged-daily")
+    merge_table(fact.where("check_in_date < DATE'2000-01-01'").withColumns({"booking_count": F.lit(0).cast("long"), "total_guests": F.lit(0).cast("long")}), path, "fact_booking_daily")
+    return merge_table(fact, path, "fact_booking_daily").groupBy("check_in_date").agg(
+        F.count(F.lit(1)).alias("properties"), F.sum("booking_count").alias("bookings"), F.sum("total_guests").alias("guests"), F.sum("total_booking_value").alias("value"))
+
+
+QUERIES["merge_fact_booking_daily"] = _merge_daily
+ORACLE["merge_fact_booking_daily"] = with_views(f"""SELECT check_in_date, count(*) AS properties, {big('sum(booking_count)')} AS bookings, {big('sum(total_guests)')} AS guests, {dbl('sum(total_booking_value)')} AS value
+    FROM fact_booking_daily GROUP BY 1""")
+
+
 def _scd1(cat):
     dim = cat.table("dim_destination")
     batch = dim.where("destination_id >= 10").unionByName(
