@@ -54,3 +54,21 @@ def test_stream_metrics_add_up(spark, catalog, folder):
     for rule, count in report.items():
         assert sum(b[rule] for b in seen) == count
     assert sum(b["rows_seen"] for b in seen) == catalog.silver("bookings").count()
+
+
+def test_violation_log_listens_to_batches(spark, catalog, folder):
+    import time
+
+    log = flows.ViolationLog("listened")
+    spark.streams.addListener(log)
+    try:
+        stream = arrivals(catalog, "bookings", "check_in", folder)
+        seen = flows.run_with_metrics(stream, lambda d: silver.bookings(d, catalog.processed_at), catalog.rules_for("bookings"), f"{folder}/o", f"{folder}/c", "listened")
+        for _ in range(50):
+            if len(log.batches) >= len(seen):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    assert sorted(b["batch_id"] for b in log.batches) == sorted(b["batch_id"] for b in seen)
+    assert sum(b["rows_seen"] for b in log.batches) == sum(b["rows_seen"] for b in seen)
