@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import quality
+from innsight.llm import jaccard, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def _quality_sql() -> str:
     lengths = [3, *quality.MOST_REPEATED]
     gram = lambda n: " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -43,5 +47,8 @@ def _quality_sql() -> str:
     FROM a"""
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules}
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
+}
 ORACLE = {"op2_quality_rules": _quality_sql()}
