@@ -140,24 +140,19 @@ def _sets(n_words: int):
     return run, "set_id binary, n long, hashes array<long>"
 
 
-def _meetings(percent: int):
-    """One row for each class in the leading part of a set: the class and the set from there on."""
+def _leading(percent: int):
+    """One row for each class in the leading part of a set, where it may meet a partner first."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for sid, n, classes in zip(frame["set_id"], frame["n"], frame["classes"]):
-                ordered = [(int(c["df"]), int(c["sig"]), int(c["w"])) for c in classes]
-                rest = sum(c[2] for c in ordered)
-                for at, (df, sig, w) in enumerate(ordered):
-                    if 100 * rest < percent * n:
-                        break
-                    tail = np.array(ordered[at:], "<i8")
-                    rows.append((df, sig, sid, n, tail.tobytes()))
-                    rest -= w
-            yield pd.DataFrame(rows, columns=["df", "sig", "set_id", "n", "tail"])
+            counts = []
+            for n, weights in zip(frame["n"], frame["weights"]):
+                rest = np.cumsum(weights[::-1])[::-1]
+                counts.append(int((100 * rest >= percent * n).sum()))
+            keys = [k[:c] for k, c in zip(frame["keys"], counts)]
+            yield pd.DataFrame({"key": np.concatenate([np.zeros(0, np.int64), *keys]), "set_id": np.repeat(frame["set_id"].to_numpy(object), counts)})
 
-    return run, "df long, sig long, set_id binary, n long, tail binary"
+    return run, "key long, set_id binary"
 
 
 class Forest:
@@ -187,14 +182,14 @@ class Node:
         self.below, self.ends, self.least, self.rest, self.of = {}, [], 1 << 62, 0, -1
 
 
-def linked(sets: list[tuple[int, list[tuple[int, int, int]]]], percent: int = PERCENT) -> list[int]:
+def linked(sets: list[tuple[int, list[tuple[int, int]]]], percent: int = PERCENT) -> list[int]:
     """Component root of each (size, ordered weighted classes) within one block."""
     forest, root, whole = Forest(len(sets)), Node(), 100 + percent
     for y, (size, classes) in enumerate(sets):
-        keys = [c[:2] for c in classes]
+        keys = [c[0] for c in classes]
         rest = [0] * (len(classes) + 1)
         for k in range(len(classes) - 1, -1, -1):
-            rest[k] = rest[k + 1] + classes[k][2]
+            rest[k] = rest[k + 1] + classes[k][1]
         todo = [(root, 0, 0)]
         while todo:
             node, common, at = todo.pop()
@@ -203,12 +198,12 @@ def linked(sets: list[tuple[int, list[tuple[int, int, int]]]], percent: int = PE
             for x in node.ends:
                 if whole * common >= percent * (sets[x][0] + size):
                     forest.join(x, y)
-            for (df, sig, w), child in node.below.items():
+            for (key, w), child in node.below.items():
                 k = at
-                while k < len(keys) and keys[k] < (df, sig):
+                while k < len(keys) and keys[k] < key:
                     k += 1
                 got = common
-                if k < len(keys) and keys[k] == (df, sig):
+                if k < len(keys) and keys[k] == key:
                     got, k = common + w, k + 1
                 if whole * (got + min(rest[k], child.rest)) >= percent * (child.least + size):
                     todo.append((child, got, k))
@@ -229,8 +224,10 @@ def _links(percent: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         """Spanning forest of one block."""
         members = block.drop_duplicates("set_id").sort_values("set_id")
-        ids = list(members["set_id"])
-        sets = [(int(n), [tuple(map(int, c)) for c in np.frombuffer(t, "<i8").reshape(-1, 3)]) for n, t in zip(members["n"], members["tail"])]
+        ids, sets = list(members["set_id"]), []
+        for n, key, keys, weights in zip(members["n"], members["key"], members["keys"], members["weights"]):
+            at = np.searchsorted(keys, key)  # what comes before is met elsewhere
+            sets.append((int(n), list(zip(keys[at:].tolist(), weights[at:].tolist()))))
         roots = linked(sets, percent)
         rows = [(ids[x], ids[r]) for x, r in enumerate(roots) if x != r]
         return pd.DataFrame(rows, columns=["a", "b"])
@@ -269,19 +266,30 @@ def jaccard_components(
     sets = materialize(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
 
     items = sets.select("set_id", "n", F.explode("hashes").alias("h"))
-    shared = items.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.bit_xor(F.xxhash64("set_id")).alias("sig")).where("df > 1")
-    shared = materialize(shared, "jaccard-shared")
-    weights = items.join(shared, "h").groupBy("set_id", "n", "df", "sig").agg(F.count(F.lit(1)).alias("w"))
-    lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("df", "sig", "w"))).alias("classes"))
-    run, schema = _meetings(percent)
-    meets = materialize(lists.where(100 * F.col("total") >= percent * F.col("n")).drop("total").mapInPandas(run, schema), "jaccard-meetings")
-
-    sizes = meets.groupBy("df", "sig").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    sizes = materialize(sizes.drop("size"), "jaccard-sizes")
-    dealt = meets.join(sizes, ["df", "sig"]).withColumn("part", F.expr("cast(pmod(xxhash64(set_id, sig), parts) AS int)"))
+    shared = materialize(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
+    viable = items.join(shared, "h").groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("total")).where(100 * F.col("total") >= percent * F.col("n"))
+    viable = materialize(viable.select("set_id"), "jaccard-viable")
+    items = sets.join(viable, "set_id").select("set_id", "n", F.explode("hashes").alias("h"))
+    # The number of holders leads the key of a class, so that keys sort the rarest class first.
+    rarity = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(32767)), 48)
+    holders = F.shiftrightunsigned(F.bit_xor(F.xxhash64("set_id")), 16)
+    shared = items.groupBy("h").agg(F.count(F.lit(1)).alias("df"), (rarity + holders).alias("key")).where("df > 1")
+    shared = materialize(shared.select("h", "key"), "jaccard-shared")
+    weights = items.join(shared, "h").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("w"))
+    lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c"))
+    lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").alias("weights"))
+    lists = materialize(lists, "jaccard-lists")
+
+    run, schema = _leading(percent)
+    meets = materialize(lists.select("set_id", "n", "keys", "weights").mapInPandas(run, schema), "jaccard-meetings")
+    # Of several classes at which the same sets meet, the first in the order is enough.
+    met = meets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("who")).where("size > 1")
+    met = met.groupBy("who", "size").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / block).cast("int").alias("parts"))
+    dealt = meets.join(materialize(met, "jaccard-met"), "key").withColumn("part", F.expr("cast(pmod(xxhash64(set_id, key), parts) AS int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = dealt.select("df", "sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id", "n", "tail")
-    edges = blocks.groupBy("df", "sig", "i", "j").applyInPandas(_links(percent), "a binary, b binary")
+    dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
+    blocks = materialize(dealt, "jaccard-blocks").join(lists, "set_id")
+    edges = blocks.groupBy("key", "i", "j").applyInPandas(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")
 
     named = groups.join(roots, groups["set_id"] == roots["node"], "left").select(groups["set_id"], "first", F.coalesce("root", groups["set_id"]).alias("root"))
