@@ -220,21 +220,55 @@ def linked(sets: list[tuple[int, list[tuple[int, int]]]], percent: int = PERCENT
     return [forest.find(x) for x in range(len(sets))]
 
 
+def _forest(key: int, ids: list, sizes: np.ndarray, keys: list[np.ndarray], weights: list[np.ndarray], percent: int) -> list[tuple]:
+    """(set, root) links that span the components of one block."""
+    # A set that another block of the same parts holds twice is one set here.
+    own = sorted(range(len(ids)), key=lambda k: ids[k])
+    own = [k for n, k in enumerate(own) if n == 0 or ids[k] != ids[own[n - 1]]]
+    lists = []
+    for k in own:
+        at = np.searchsorted(keys[k], key)  # what comes before is met elsewhere
+        lists.append((keys[k][at:], weights[k][at:]))
+    need = sizes[own]
+    while len(own) > 1:
+        # Only classes that two sets of the block share can add to an overlap.
+        ends = np.cumsum([len(x[0]) for x in lists])
+        _, place, count = np.unique(np.concatenate([x[0] for x in lists]), return_inverse=True, return_counts=True)
+        shared = np.split(count[place] > 1, ends[:-1])
+        lists = [(x[s], w[s]) for (x, w), s in zip(lists, shared)]
+        viable = [k for k, (_, w) in enumerate(lists) if 100 * w.sum() >= percent * need[k]]
+        if len(viable) == len(own):
+            break
+        own, need, lists = [own[k] for k in viable], need[viable], [lists[k] for k in viable]
+    if len(own) < 2:
+        return []
+    roots = linked([(int(n), list(zip(x.tolist(), w.tolist()))) for n, (x, w) in zip(need, lists)], percent)
+    return [(ids[own[x]], ids[own[r]]) for x, r in enumerate(roots) if x != r]
+
+
 def _links(percent: int):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        """Spanning forest of one block."""
-        members = block.drop_duplicates("set_id").sort_values("set_id")
-        ids, sets = list(members["set_id"]), []
-        for n, key, keys, weights in zip(members["n"], members["key"], members["keys"], members["weights"]):
-            at = np.searchsorted(keys, key)  # what comes before is met elsewhere
-            sets.append((int(n), list(zip(keys[at:].tolist(), weights[at:].tolist()))))
-        roots = linked(sets, percent)
-        rows = [(ids[x], ids[r]) for x, r in enumerate(roots) if x != r]
-        return pd.DataFrame(rows, columns=["a", "b"])
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links of the blocks of one task; rows come sorted by block, and a block has at most two parts."""
+        names, held = ["key", "i", "j"], None
+        for frame in frames:
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            heads = held[names].to_numpy()
+            cut = np.flatnonzero((heads[1:] != heads[:-1]).any(1)) + 1
+            edges = [0, *cut.tolist()]
+            yield _spanned(held, edges, percent)
+            held = held.iloc[edges[-1] :].reset_index(drop=True)
+        if held is not None:
+            yield _spanned(held, [0, len(held)], percent)
 
     return run
 
 
+def _spanned(frame: pd.DataFrame, edges: list[int], percent: int) -> pd.DataFrame:
+    ids, sizes, keys, weights, key = list(frame["set_id"]), frame["n"].to_numpy(), list(frame["keys"]), list(frame["weights"]), frame["key"].to_numpy()
+    rows = [link for a, b in zip(edges, edges[1:]) if b - a > 1 for link in _forest(int(key[a]), ids[a:b], sizes[a:b], keys[a:b], weights[a:b], percent)]
+    return pd.DataFrame(rows, columns=["a", "b"])
+
+
 def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT,
     block: int = BLOCK, chunk_chars: int = 8_000_000,
@@ -289,7 +323,8 @@ def jaccard_components(
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
     blocks = materialize(dealt, "jaccard-blocks").join(lists, "set_id")
-    edges = blocks.groupBy("key", "i", "j").applyInPandas(_links(percent), "a binary, b binary")
+    dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInPandas(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")
 
     named = groups.join(roots, groups["set_id"] == roots["node"], "left").select(groups["set_id"], "first", F.coalesce("root", groups["set_id"]).alias("root"))
