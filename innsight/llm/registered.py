@@ -5,21 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import jaccard, quality
+from innsight.llm import ann, hmm, jaccard, language, packing, quality, rans, toxicity, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"), folds=5, fold=0)
+    scored = toxicity.with_toxicity(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id"), 5, 0))
+    return scored.select("doc_id", "held_out", "toxicity.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = toxicity.held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs, out)
+    scored = language.with_language(docs.select("doc_id", "text"), model).withColumn("held_out", out)
+    return scored.select("doc_id", "held_out", "language.*")
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.with_verdict(_read(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.*")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def _quality_sql() -> str:
     lengths = [3, *quality.MOST_REPEATED]
     gram = lambda n: " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -47,8 +82,50 @@ def _quality_sql() -> str:
     FROM a"""
 
 
+def _url_sql() -> str:
+    name = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rules = " ".join(
+        f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND path LIKE '{p}%' THEN {{'rule': '{h}{p}', 'verdict': '{v}'}}"
+        for h, p, v in sorted(urls.RULES, key=lambda r: (-len(r[0]) - len(r[1]), r))
+    )
+    ranked = sorted(urls.GLOBS, key=lambda g: (-sum(c not in "*?" for c in g[0]), g[1] != "block", g[0]))
+    globs = " ".join(f"WHEN canonical GLOB '{g}' THEN {{'glob': '{g}', 'verdict': '{v}'}}" for g, v in ranked)
+    return rf"""
+    WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+    a AS (SELECT page_id, url, {name} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+        list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'), x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|gclid|fbclid|ref)(=|$)')) AS kept FROM p),
+    c AS (SELECT page_id, host, path, regexp_replace(regexp_replace(host, '^.*@', ''), '\.?(:[0-9]*)?$', '') || CASE WHEN path = '' THEN '/' ELSE path END
+        || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical FROM a),
+    j AS (SELECT *, CASE {rules} END AS r, CASE {globs} ELSE {{'glob': NULL, 'verdict': '{urls.DEFAULT}'}} END AS g FROM c)
+    SELECT page_id, host, path, canonical, r.rule AS rule, CASE WHEN r IS NULL THEN g.glob END AS glob, coalesce(r.verdict, g.verdict) AS verdict FROM j"""
+
+
+def _jaccard_sql() -> str:
+    n, percent = jaccard.WORDS, jaccard.PERCENT
+    gram = " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
+    return rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
+    w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, {gram} AS g FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE g IS NOT NULL
+        UNION ALL SELECT doc_id, array_to_string(ws, ' ') AS g FROM d WHERE len(ws) BETWEEN 1 AND {n - 1}),
+    z AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS MATERIALIZED (SELECT x, y FROM p JOIN z zx ON zx.doc_id = x JOIN z zy ON zy.doc_id = y WHERE 100 * c >= {percent} * (zx.n + zy.n - c)),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM z UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+    SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id
+    FROM d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS c FROM r GROUP BY x) m ON m.x = d.doc_id"""
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language": op3_language,
+    "op4_nearest": op4_nearest,
+    "op5_packing": op5_packing,
+    "op6_url_filter": op6_url_filter,
+    "op7_token_files": op7_token_files,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_language_model": op10_language_model,
 }
-ORACLE = {"op2_quality_rules": _quality_sql()}
+ORACLE = {"op2_quality_rules": _quality_sql(), "op6_url_filter": _url_sql(), "op9_jaccard_join": _jaccard_sql()}
