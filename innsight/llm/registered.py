@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import ann, hmm, jaccard, language, packing, quality, rans, toxicity, urls
+from innsight.llm import ann, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(_read(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.with_pieces(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pieces.*")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_read(spark, sf_dir, "documents"))
 
@@ -125,6 +129,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_model": op10_language_model,
 }
