@@ -1,10 +1,16 @@
-"""Training-data pipeline: each stage is one operator, its rows written as Parquet and read again by the next."""
+"""Training-data pipeline: each stage is one operator, its rows written as Parquet and read again by the next.
+
+``quality_rules`` and ``toxicity`` drop the documents they reject, ``jaccard_join`` keeps the
+one with the smallest id of each group of near copies, ``packing`` fills token windows with
+what is left. Rows without an id pass the join unchanged, as nothing can name them; of rows
+that repeat an id one stays.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innsight.llm import quality
+from innsight.llm import jaccard, packing, quality, toxicity
 from innsight.sources.storage import materialize
 
 
@@ -12,7 +18,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_quality(docs, into="_quality").where("_quality.kept").select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Trains on the labelled documents among ``docs`` outside the held-out fold."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5, fold=0)
+    return toxicity.with_toxicity(docs, model, into="_toxicity").where("_toxicity.predicted = 0").select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    first = jaccard.jaccard_components(docs).where("doc_id = component_id").select("doc_id")
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("toxicity", toxicity_stage), ("jaccard_join", jaccard_join), ("packing", packing_stage)]
+#: A trained field and a tokenizer have no SQL; tests compare the rows with a plain version.
 ORACLE_SQL = None
 
 
