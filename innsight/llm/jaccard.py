@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innsight.llm.components import components
-from innsight.llm.text import WORD, ascii_lower, rolling, slices
+from innsight.llm.text import WORD, ascii_lower, rolling, scrambled, slices
 from innsight.sources.storage import materialize
 
 WORDS, PERCENT = 5, 75
@@ -220,55 +220,75 @@ def linked(sets: list[tuple[int, list[tuple[int, int]]]], percent: int = PERCENT
     return [forest.find(x) for x in range(len(sets))]
 
 
-def _forest(key: int, ids: list, sizes: np.ndarray, keys: list[np.ndarray], weights: list[np.ndarray], percent: int) -> list[tuple]:
-    """(set, root) links that span the components of one block."""
-    # A set that another block of the same parts holds twice is one set here.
-    own = sorted(range(len(ids)), key=lambda k: ids[k])
-    own = [k for n, k in enumerate(own) if n == 0 or ids[k] != ids[own[n - 1]]]
-    lists = []
-    for k in own:
-        at = np.searchsorted(keys[k], key)  # what comes before is met elsewhere
-        lists.append((keys[k][at:], weights[k][at:]))
-    need = sizes[own]
-    while len(own) > 1:
-        # Only classes that two sets of the block share can add to an overlap.
-        ends = np.cumsum([len(x[0]) for x in lists])
-        _, place, count = np.unique(np.concatenate([x[0] for x in lists]), return_inverse=True, return_counts=True)
-        shared = np.split(count[place] > 1, ends[:-1])
-        lists = [(x[s], w[s]) for (x, w), s in zip(lists, shared)]
-        viable = [k for k, (_, w) in enumerate(lists) if 100 * w.sum() >= percent * need[k]]
-        if len(viable) == len(own):
-            break
-        own, need, lists = [own[k] for k in viable], need[viable], [lists[k] for k in viable]
-    if len(own) < 2:
-        return []
-    roots = linked([(int(n), list(zip(x.tolist(), w.tolist()))) for n, (x, w) in zip(need, lists)], percent)
-    return [(ids[own[x]], ids[own[r]]) for x, r in enumerate(roots) if x != r]
+def _block(key: int, sizes: np.ndarray, owners: np.ndarray, keys: np.ndarray, weights: np.ndarray, percent: int) -> list[int]:
+    """Root of each set of one block; ``owners``, ``keys``, ``weights``: all their classes.
+
+    Classes that the same sets of the block hold are one here, the rarest first, and a
+    class that one set holds alone adds to no overlap.
+    """
+    own = keys >= key  # what comes before is met elsewhere
+    owners, keys, weights = owners[own], keys[own], weights[own]
+    order = np.argsort(keys, kind="stable")
+    owners, weights = owners[order], weights[order]
+    first = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    count = np.diff(first, append=len(keys))
+    marks = scrambled(np.arange(1, len(sizes) + 1, dtype=np.uint64))
+    holders = np.bitwise_xor.reduceat(marks[owners], first)
+    _, one, place = np.unique(holders, return_index=True, return_inverse=True)
+    weight = np.bincount(place, weights[first]).astype(np.int64)
+    one, weight = one[count[one] > 1], weight[count[one] > 1]
+    ranked = np.argsort(count[one], kind="stable")
+    one, weight = one[ranked], weight[ranked]
+    lists: list[list[tuple[int, int]]] = [[] for _ in sizes]
+    total = np.zeros(len(sizes), np.int64)
+    for rank, (k, w) in enumerate(zip(one.tolist(), weight.tolist())):
+        held = owners[first[k] : first[k] + count[k]]
+        total[held] += w
+        for x in held.tolist():
+            lists[x].append((rank, w))
+    viable = np.flatnonzero(100 * total >= percent * sizes)
+    roots = np.arange(len(sizes))
+    if len(viable) > 1:
+        roots[viable] = viable[linked([(int(sizes[x]), lists[x]) for x in viable], percent)]
+    return roots.tolist()
 
 
 def _links(percent: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def spanned(table: pa.RecordBatch, edges: list[int]) -> pa.RecordBatch:
+        ids, sizes, key = table.column("set_id").to_pylist(), table.column("n").to_numpy(), table.column("key").to_numpy()
+        keys, weights = table.column("keys"), table.column("weights")
+        at, keys, weights = keys.offsets.to_numpy(), keys.values.to_numpy(), weights.values.to_numpy()
+        rows = []
+        for a, b in zip(edges, edges[1:]):
+            # A set that comes with both parts of a block is one set here.
+            own = sorted({s: k for k, s in zip(range(b - 1, a - 1, -1), ids[a:b][::-1])}.values(), key=lambda k: ids[k])
+            if len(own) > 1:
+                lengths = at[np.array(own) + 1] - at[own]
+                flat = np.concatenate([np.arange(at[k], at[k + 1]) for k in own])
+                roots = _block(int(key[a]), sizes[own], np.repeat(np.arange(len(own)), lengths), keys[flat], weights[flat], percent)
+                rows += [(ids[own[x]], ids[own[r]]) for x, r in enumerate(roots) if x != r]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links of the blocks of one task; rows come sorted by block, and a block has at most two parts."""
-        names, held = ["key", "i", "j"], None
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            heads = held[names].to_numpy()
-            cut = np.flatnonzero((heads[1:] != heads[:-1]).any(1)) + 1
-            edges = [0, *cut.tolist()]
-            yield _spanned(held, edges, percent)
-            held = held.iloc[edges[-1] :].reset_index(drop=True)
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            held = table.to_batches()[0] if len(table) else None
+            if held is None:
+                continue
+            heads = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+            edges = [0, *(np.flatnonzero((heads[:, 1:] != heads[:, :-1]).any(0)) + 1).tolist()]
+            yield spanned(held, edges)
+            held = pa.Table.from_batches([held.slice(edges[-1])]).take(pa.array(range(len(held) - edges[-1]))).combine_chunks().to_batches()[0]
         if held is not None:
-            yield _spanned(held, [0, len(held)], percent)
+            yield spanned(held, [0, len(held)])
 
     return run
 
 
-def _spanned(frame: pd.DataFrame, edges: list[int], percent: int) -> pd.DataFrame:
-    ids, sizes, keys, weights, key = list(frame["set_id"]), frame["n"].to_numpy(), list(frame["keys"]), list(frame["weights"]), frame["key"].to_numpy()
-    rows = [link for a, b in zip(edges, edges[1:]) if b - a > 1 for link in _forest(int(key[a]), ids[a:b], sizes[a:b], keys[a:b], weights[a:b], percent)]
-    return pd.DataFrame(rows, columns=["a", "b"])
-
-
 def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT,
     block: int = BLOCK, chunk_chars: int = 8_000_000,
@@ -324,7 +344,7 @@ def jaccard_components(
     dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
     blocks = materialize(dealt, "jaccard-blocks").join(lists, "set_id")
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInPandas(_links(percent), "a binary, b binary")
+    edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInArrow(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")
 
     named = groups.join(roots, groups["set_id"] == roots["node"], "left").select(groups["set_id"], "first", F.coalesce("root", groups["set_id"]).alias("root"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,12 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
 def ascii_lower(text: str) -> str:
     """Lower-case A-Z only; every other character stays."""
-    return text.translate(_LOWER) if not text.isascii() else text.lower()
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def words(text: str | None) -> list[str]:
