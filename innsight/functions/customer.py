@@ -90,7 +90,7 @@ def get_booking_frequency_analysis(dim_user: DataFrame, detail: DataFrame, start
     ).orderBy(label_order("booking_frequency_bucket", labels))
 
 
-def get_customer_geographic_analysis(dim_user: DataFrame, detail: DataFrame, start: str, end: str, top_n: int = 20) -> DataFrame:
+def get_customer_geographic_analysis(dim_user: DataFrame, detail: DataFrame, start: str, end: str, top_n: int | None = None) -> DataFrame:
     per_country = (
         customer_totals(dim_user, detail, start, end)
         .groupBy("country")

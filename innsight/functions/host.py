@@ -77,7 +77,7 @@ def get_host_retention_analysis(dim_host: DataFrame, dim_property: DataFrame, de
 
 
 def get_host_geographic_distribution(
-    dim_host: DataFrame, dim_property: DataFrame, detail: DataFrame, start: str, end: str, top_n: int = 20
+    dim_host: DataFrame, dim_property: DataFrame, detail: DataFrame, start: str, end: str, top_n: int | None = None
 ) -> DataFrame:
     """Per country. Every host counts once in the verified count and the mean rating."""
     per_country = host_totals(dim_host, dim_property, detail, start, end).groupBy("country").agg(

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from innsight.functions.shared import current, mean
 from innsight.operators.ordered import top_ranked
 
-ROW_LIMIT = 1000  # fixed value: the summaries list at most this many groups
-
-
 def _avg(column: str) -> Column:
     return F.round(F.avg(F.col(column).cast("double")), 6)
 
@@ -37,7 +34,7 @@ def get_demand_predictions(predictions: DataFrame, destination_id: int | None =
     return (
         rows.groupBy("destination_id", "property_type")
         .agg(_avg("predicted_bookings").alias("avg_predicted_bookings"), F.max("predicted_bookings").alias("max_predicted_bookings"), _n("prediction_count"), *_stamp())
-        .orderBy(F.desc("avg_predicted_bookings"), "destination_id", "property_type").limit(ROW_LIMIT)
+        .orderBy(F.desc("avg_predicted_bookings"), "destination_id", "property_type")
     )
 
 
@@ -51,7 +48,7 @@ def get_conversion_predictions(predictions: DataFrame, min_probability: float =
             _avg("conversion_probability").alias("avg_conversion_probability"), F.max("conversion_probability").alias("max_conversion_probability"),
             _avg("predicted_conversion").alias("predicted_conversion_rate"), _n("prediction_count"), *_stamp(),
         )
-        .orderBy(F.desc("avg_conversion_probability"), "destination_id", "property_type").limit(ROW_LIMIT)
+        .orderBy(F.desc("avg_conversion_probability"), "destination_id", "property_type")
     )
 
 
@@ -66,7 +63,7 @@ def get_pricing_recommendations(predictions: DataFrame, month: int | None = None
         rows.groupBy("month", "quarter", "is_peak_season")
         .agg(_avg("recommended_price").alias("avg_recommended_price"), F.min(price).alias("min_recommended_price"), F.max(price).alias("max_recommended_price"),
              _n("prediction_count"), *_stamp())
-        .orderBy(F.desc("avg_recommended_price"), "month").limit(ROW_LIMIT)
+        .orderBy(F.desc("avg_recommended_price"), "month")
     )
 
 
@@ -97,7 +94,7 @@ def get_customer_ltv_predictions(predictions: DataFrame, ltv_segment: str | None
         rows.groupBy("ltv_segment")
         .agg(_avg("predicted_ltv_12m").alias("avg_predicted_ltv_12m"), F.min(value).alias("min_predicted_ltv_12m"), F.max(value).alias("max_predicted_ltv_12m"),
              _n("customer_count"), *_stamp())
-        .orderBy(F.desc("avg_predicted_ltv_12m")).limit(ROW_LIMIT)
+        .orderBy(F.desc("avg_predicted_ltv_12m"))
     )
 
 

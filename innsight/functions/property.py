@@ -55,7 +55,7 @@ def get_property_performance(
 
 
 def get_availability_by_destination(
-    dim_destination: DataFrame, dim_property: DataFrame, detail: DataFrame, start: str, end: str, top_n: int = 20
+    dim_destination: DataFrame, dim_property: DataFrame, detail: DataFrame, start: str, end: str, top_n: int | None = None
 ) -> DataFrame:
     per_destination = _listed(dim_property, detail, start, end).groupBy("destination_id").agg(
         F.count(F.lit(1)).alias("total_properties"),

@@ -86,7 +86,7 @@ def get_top_properties_by_revenue(
     )
 
 
-def get_revenue_by_destination(daily: DataFrame, dim_destination: DataFrame, start: str, end: str, top_n: int = 20) -> DataFrame:
+def get_revenue_by_destination(daily: DataFrame, dim_destination: DataFrame, start: str, end: str, top_n: int | None = None) -> DataFrame:
     per_property = (
         daily.where(in_range("check_in_date", start, end))
         .groupBy("destination_id", "property_id")

@@ -171,11 +171,11 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float]) -> D
     )
 
 
-def top_ranked(df: DataFrame, top_n: int, order: Sequence[Column], rank: str = "rank") -> DataFrame:
-    """The first ``top_n`` rows with their rank as first column.
+def top_ranked(df: DataFrame, top_n: int | None, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """The first ``top_n`` rows with their rank as first column; with None all rows, for a few groups only.
 
     ``limit`` after ``orderBy`` keeps ``top_n`` rows per task; only the survivors are
     numbered.
     """
-    kept = df.orderBy(*order).limit(top_n)
+    kept = df if top_n is None else df.orderBy(*order).limit(top_n)
     return kept.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(rank), *df.columns)

@@ -45,8 +45,10 @@ def _month(column: str) -> Column:
     return F.date_trunc("month", F.col(column)).cast("date").alias("month")
 
 
-def _best(df: DataFrame, n: int, *order) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+def _best(df: DataFrame, n: int | None, *order) -> DataFrame:
+    """Rows in order; only the first ``n`` of them unless ``n`` is None."""
+    ordered = df.orderBy(*order)
+    return ordered if n is None else ordered.limit(n)
 
 
 # --- customer -----------------------------------------------------------------------------
@@ -80,12 +82,12 @@ def business_vs_leisure(t: Tables, start: str, end: str) -> DataFrame:
     )
 
 
-def customers_by_country(t: Tables, start: str, end: str) -> DataFrame:
+def customers_by_country(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     per_user = _users(t, "country").join(bookings_by(t("fact_booking_detail"), "user_id", start, end), "user_id", "left")
     rows = per_user.groupBy("country").agg(
         _n().alias("customer_count"), count_sum("bookings").alias("bookings"), total("revenue").alias("revenue")
     )
-    return _best(rows, 15, F.desc_nulls_last("revenue"), "country")
+    return _best(rows, limit, F.desc_nulls_last("revenue"), "country")
 
 
 def booking_frequency_distribution(t: Tables, start: str, end: str) -> DataFrame:
@@ -103,12 +105,12 @@ def lead_time_by_segment(t: Tables, start: str, end: str) -> DataFrame:
     return rows.groupBy(_segment()).agg(mean(lead).alias("avg_lead_time"), F.percentile_approx(lead, 0.5).alias("median_lead_time"))
 
 
-def top_customers_by_spend(t: Tables, start: str, end: str) -> DataFrame:
+def top_customers_by_spend(t: Tables, start: str, end: str, limit: int | None = 20) -> DataFrame:
     per_user = bookings_by(t("fact_booking_detail"), "user_id", start, end).select(
         "user_id", F.col("bookings").alias("booking_count"), F.col("revenue").cast("double").alias("total_spend"),
         ratio("revenue", "bookings").alias("avg_booking_value"),
     )
-    return _best(_users(t, "name", "country", "is_business").join(per_user, "user_id"), 20, F.desc("total_spend"), "user_id")
+    return _best(_users(t, "name", "country", "is_business").join(per_user, "user_id"), limit, F.desc("total_spend"), "user_id")
 
 
 def new_vs_returning(t: Tables, start: str, end: str) -> DataFrame:
@@ -129,7 +131,7 @@ def new_vs_returning(t: Tables, start: str, end: str) -> DataFrame:
     ).orderBy("month")
 
 
-def destination_preferences_by_segment(t: Tables, start: str, end: str) -> DataFrame:
+def destination_preferences_by_segment(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = (
         _detail(t, start, end).groupBy("user_id", "destination_id").agg(_n().alias("n"), F.sum("total_amount").alias("v"))
         .join(_users(t, "is_business"), "user_id")
@@ -137,7 +139,7 @@ def destination_preferences_by_segment(t: Tables, start: str, end: str) -> DataF
         .join(t("dim_destination").select("destination_id", "destination"), "destination_id")
         .select("segment", "destination", "bookings", "revenue")
     )
-    return _best(rows, 30, "segment", F.desc("revenue"), "destination")
+    return _best(rows, limit, "segment", F.desc("revenue"), "destination")
 
 
 def user_type_filter_values(t: Tables, start: str, end: str) -> DataFrame:
@@ -196,26 +198,26 @@ def conversion_by_property_type(t: Tables, start: str, end: str) -> DataFrame:
     ).orderBy(F.desc_nulls_last("conversion_rate"), "property_type")
 
 
-def top_engaged_properties(t: Tables, start: str, end: str) -> DataFrame:
+def top_engaged_properties(t: Tables, start: str, end: str, limit: int | None = 20) -> DataFrame:
     rows = _engagement_with_place(t, start, end).groupBy(F.col("title").alias("property_title"), "destination").agg(
         count_sum("v").alias("total_views"), count_sum("c").alias("total_clicks"), _conversion().alias("avg_conversion_rate"),
         ratio(F.sum("ts"), F.sum("td")).alias("avg_time_on_page"),
     )
-    return _best(rows, 20, F.desc("total_views"), "property_title", "destination")
+    return _best(rows, limit, F.desc("total_views"), "property_title", "destination")
 
 
-def low_conversion_properties(t: Tables, start: str, end: str, min_views: int = 50) -> DataFrame:
+def low_conversion_properties(t: Tables, start: str, end: str, min_views: int = 50, limit: int | None = None) -> DataFrame:
     rows = _engagement_with_place(t, start, end).groupBy(F.col("title").alias("property_title"), "destination", "base_price").agg(
         count_sum("v").alias("total_views"), _conversion().alias("avg_conversion_rate")
     )
-    return _best(rows.where(F.col("total_views") >= min_views), 20, F.asc_nulls_first("avg_conversion_rate"), "property_title", "destination", "base_price")
+    return _best(rows.where(F.col("total_views") >= min_views), limit, F.asc_nulls_first("avg_conversion_rate"), "property_title", "destination", "base_price")
 
 
-def engagement_by_destination(t: Tables, start: str, end: str) -> DataFrame:
+def engagement_by_destination(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = _engagement_with_place(t, start, end).groupBy("destination", "country").agg(
         count_sum("v").alias("total_views"), count_sum("c").alias("total_clicks"), _conversion().alias("avg_conversion_rate")
     )
-    return _best(rows, 15, F.desc("total_views"), "destination")
+    return _best(rows, limit, F.desc("total_views"), "destination")
 
 
 def property_type_filter_values(t: Tables, start: str, end: str) -> DataFrame:
@@ -257,28 +259,28 @@ def _hosts_with_listings(t: Tables, start: str, end: str) -> DataFrame:
     return current(t("dim_host")).select("host_id", "name", "country", "rating", "is_verified", "is_active").join(_host_bookings(t, start, end), "host_id")
 
 
-def top_hosts_by_revenue(t: Tables, start: str, end: str) -> DataFrame:
+def top_hosts_by_revenue(t: Tables, start: str, end: str, limit: int | None = 20) -> DataFrame:
     rows = _hosts_with_listings(t, start, end).withColumn("total_revenue", F.col("revenue").cast("double"))
-    return _best(rows, 20, F.desc_nulls_last("total_revenue"), "host_id").drop("is_active", "revenue")
+    return _best(rows, limit, F.desc_nulls_last("total_revenue"), "host_id").drop("is_active", "revenue")
 
 
-def top_hosts_by_rating(t: Tables, start: str, end: str) -> DataFrame:
+def top_hosts_by_rating(t: Tables, start: str, end: str, limit: int | None = 20) -> DataFrame:
     rows = _hosts_with_listings(t, start, end).where("is_active AND rating IS NOT NULL AND booking_count >= 5")
-    return _best(rows, 20, F.desc("rating"), "host_id").drop("is_active", "revenue")
+    return _best(rows, limit, F.desc("rating"), "host_id").drop("is_active", "revenue")
 
 
-def hosts_by_country(t: Tables, start: str, end: str) -> DataFrame:
+def hosts_by_country(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = current(t("dim_host")).where("is_active").groupBy("country").agg(
         _n().alias("host_count"), mean("rating").alias("avg_rating"), _share("is_verified").alias("verified_pct")
     )
-    return _best(rows, 15, F.desc("host_count"), "country")
+    return _best(rows, limit, F.desc("host_count"), "country")
 
 
-def multi_property_hosts(t: Tables, start: str, end: str) -> DataFrame:
+def multi_property_hosts(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = _hosts_with_listings(t, start, end).where("property_count > 1").withColumn(
         "total_revenue", F.coalesce(F.col("revenue").cast("double"), F.lit(0.0))
     )
-    return _best(rows, 20, F.desc("property_count"), "host_id").drop("is_active", "revenue", "booking_count")
+    return _best(rows, limit, F.desc("property_count"), "host_id").drop("is_active", "revenue", "booking_count")
 
 
 def country_filter_values(t: Tables, start: str, end: str) -> DataFrame:
@@ -296,12 +298,12 @@ def portfolio_kpis(t: Tables, start: str, end: str) -> DataFrame:
     return current(t("dim_property")).agg(_n().alias("property_count"), count_sum("max_guests").alias("total_capacity"), mean("base_price").alias("avg_price"))
 
 
-def properties_by_destination(t: Tables, start: str, end: str) -> DataFrame:
+def properties_by_destination(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = (
         current(t("dim_property")).groupBy("destination_id").agg(_n().alias("property_count"), mean("base_price").alias("avg_price"))
         .join(t("dim_destination").select("destination_id", "destination", "country"), "destination_id")
     )
-    return _best(rows, 15, F.desc("property_count"), "destination").select("destination", "country", "property_count", "avg_price")
+    return _best(rows, limit, F.desc("property_count"), "destination").select("destination", "country", "property_count", "avg_price")
 
 
 def price_distribution(t: Tables, start: str, end: str) -> DataFrame:
@@ -329,27 +331,27 @@ def _listing_bookings_with_place(t: Tables, start: str, end: str) -> DataFrame:
     return _listing_bookings(t, start, end).join(t("dim_destination").select("destination_id", "destination"), "destination_id").drop("destination_id")
 
 
-def top_performing_properties(t: Tables, start: str, end: str) -> DataFrame:
-    return _best(_listing_bookings_with_place(t, start, end), 20, F.desc_nulls_last("total_revenue"), "property_id")
+def top_performing_properties(t: Tables, start: str, end: str, limit: int | None = 20) -> DataFrame:
+    return _best(_listing_bookings_with_place(t, start, end), limit, F.desc_nulls_last("total_revenue"), "property_id")
 
 
-def bottom_performing_properties(t: Tables, start: str, end: str, max_bookings: int = 5) -> DataFrame:
+def bottom_performing_properties(t: Tables, start: str, end: str, max_bookings: int = 5, limit: int | None = 20) -> DataFrame:
     rows = _listing_bookings_with_place(t, start, end).where(F.col("booking_count") <= max_bookings).withColumn(
         "total_revenue", F.coalesce("total_revenue", F.lit(0.0))
     )
-    return _best(rows, 20, "total_revenue", "property_id")
+    return _best(rows, limit, "total_revenue", "property_id")
 
 
-def price_vs_performance(t: Tables, start: str, end: str) -> DataFrame:
+def price_vs_performance(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = _listing_bookings(t, start, end).withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0.0)))
-    return _best(rows, 100, "property_id").drop("destination_id")
+    return _best(rows, limit, "property_id").drop("destination_id")
 
 
-def property_amenities_analysis(t: Tables, start: str, end: str) -> DataFrame:
+def property_amenities_analysis(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = current(t("dim_property")).groupBy("bedrooms", "bathrooms").agg(
         _n().alias("property_count"), mean("base_price").alias("avg_price"), mean("max_guests").alias("avg_capacity")
     )
-    return _best(rows, 20, F.desc("property_count"), "bedrooms", "bathrooms")
+    return _best(rows, limit, F.desc("property_count"), "bedrooms", "bathrooms")
 
 
 def destination_filter_values(t: Tables, start: str, end: str) -> DataFrame:
@@ -374,11 +376,11 @@ def revenue_trend_monthly(t: Tables, start: str, end: str) -> DataFrame:
     return _detail(t, start, end).groupBy(_month("check_in_date")).agg(total("total_amount").alias("revenue"), _n().alias("bookings")).orderBy("month")
 
 
-def revenue_by_destination(t: Tables, start: str, end: str) -> DataFrame:
+def revenue_by_destination(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
     rows = bookings_by(t("fact_booking_detail"), "destination_id", start, end).join(
         t("dim_destination").select("destination_id", "destination", "country"), "destination_id"
     ).select("destination", "country", F.col("revenue").cast("double").alias("revenue"), "bookings")
-    return _best(rows, 15, F.desc("revenue"), "destination")
+    return _best(rows, limit, F.desc("revenue"), "destination")
 
 
 def booking_funnel(t: Tables, start: str, end: str) -> DataFrame:
@@ -408,18 +410,18 @@ def lead_time_distribution(t: Tables, start: str, end: str) -> DataFrame:
     return _detail(t, start, end).groupBy(lead).agg(_n().alias("booking_count"), total("total_amount").alias("revenue")).orderBy(F.desc("revenue"))
 
 
-def booking_detail_table(t: Tables, start: str, end: str) -> DataFrame:
-    """Latest 100 bookings whose references all resolve.
+def booking_detail_table(t: Tables, start: str, end: str, limit: int | None = None) -> DataFrame:
+    """Bookings whose references all resolve, the latest first.
 
-    The references are semi-joined first so that the top 100 is taken before names
+    The references are semi-joined first so that a limit is applied before names
     and titles are fetched.
     """
-    newest = (
+    newest = _best(
         _detail(t, start, end)
         .join(_users(t), "user_id", "left_semi")
         .join(current(t("dim_property")).select("property_id"), "property_id", "left_semi")
-        .join(t("dim_destination").select("destination_id"), "destination_id", "left_semi")
-        .orderBy(F.desc("check_in_date"), "booking_id").limit(100)
+        .join(t("dim_destination").select("destination_id"), "destination_id", "left_semi"),
+        limit, F.desc("check_in_date"), "booking_id",
     )
     return (
         newest.join(_users(t, F.col("name").alias("customer_name")), "user_id")

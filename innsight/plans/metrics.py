@@ -353,7 +353,7 @@ def tenure_cohort(view: MetricView, tables: Tables, as_of: str, measures: Sequen
     return view.query(tables, [("tenure_bucket", tenure_bucket(days))], measures, params={"as_of": f"DATE'{as_of}'"})
 
 
-def hot_destinations(tables: Tables, quantile: float = 0.9, limit: int = 20) -> DataFrame:
+def hot_destinations(tables: Tables, quantile: float = 0.9, limit: int | None = None) -> DataFrame:
     """Destinations in the top decile of both views and revenue.
 
     Both inputs are grouped to one row per destination; the thresholds are scalars.
@@ -363,13 +363,13 @@ def hot_destinations(tables: Tables, quantile: float = 0.9, limit: int = 20) ->
     cut_views = views.agg(F.percentile_approx("total_views", quantile)).scalar()
     cut_revenue = revenue.agg(F.percentile_approx("total_revenue", quantile)).scalar()
     named = views.join(tables("dim_destination").select("destination_id", "destination"), "destination_id")
-    return (
+    out = (
         named.where(F.col("total_views") >= cut_views)
         .join(revenue.where(F.col("total_revenue") >= cut_revenue), "destination")
         .select("destination", "total_views", "total_revenue")
         .orderBy(F.desc("total_views"), F.desc("total_revenue"))
-        .limit(limit)
     )
+    return out if limit is None else out.limit(limit)
 
 
 def overview(tables: Tables) -> DataFrame:

@@ -96,31 +96,32 @@ def window_start(granularity: str, day: Column) -> Column:
 def profile(df: DataFrame, monitor: Monitor, snapshot_day: str | None = None) -> DataFrame:
     """Long metric table: window_start, window_end, granularity, slice_key, slice_value, metric, value.
 
-    Each (granularity, slice) is one partial-aggregated grouping of the source.
+    All granularities and slices are grouping sets of one scan; rows are added up in
+    each task before they are shuffled.
     """
     if monitor.time_column:
         day = F.col(monitor.time_column)
-        windows = [(g, window_start(g, day), F.date_add(window_start(g, day), _DAYS[g])) for g in monitor.granularities]
+        windows = {g: (window_start(g, day), _DAYS[g]) for g in monitor.granularities}
     else:
-        at = F.lit(snapshot_day).cast("date") if snapshot_day else F.current_date()
-        windows = [("snapshot", at, at)]
-    metrics = [*monitor.aggregates, *monitor.derived]
-    parts = []
-    for granularity, begin, end in windows:
-        for slice_key in (None, *monitor.slices):
-            value = F.lit(TABLE_SLICE) if slice_key is None else F.col(slice_key).cast("string")
-            grouped = (
-                df.groupBy(begin.alias("window_start"), end.alias("window_end"), value.alias("slice_value"))
-                .agg(*[F.expr(e).cast("double").alias(n) for n, e in monitor.aggregates.items()])
-                .withColumns({n: F.expr(e) for n, e in monitor.derived.items()})
-            )
-            parts.append(
-                grouped.unpivot(["window_start", "window_end", "slice_value"], metrics, "metric", "value").select(
-                    "window_start", "window_end", F.lit(granularity).alias("granularity"),
-                    F.lit(slice_key or TABLE_SLICE).alias("slice_key"), "slice_value", "metric", "value",
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+        windows = {"snapshot": (F.lit(snapshot_day).cast("date") if snapshot_day else F.current_date(), 0)}
+    begins = {g: f"_begin_{k}" for k, g in enumerate(windows)}
+    slices = {s: f"_slice_{k}" for k, s in enumerate(monitor.slices)}
+    rows = df.withColumns({begins[g]: begin for g, (begin, _) in windows.items()} | {name: F.col(s).cast("string") for s, name in slices.items()})
+    sets = [(g, s) for g in windows for s in (None, *monitor.slices)]
+    columns = [*begins.values(), *slices.values()]
+    grouped = rows.groupingSets([[begins[g], *([slices[s]] if s else [])] for g, s in sets], *columns).agg(
+        F.grouping_id(*columns).alias("_set"), *[F.expr(e).cast("double").alias(n) for n, e in monitor.aggregates.items()]
+    )
+    # A column that a set does not group by has its bit set, the first column the highest.
+    number = {(g, s): sum(1 << (len(columns) - 1 - k) for k, c in enumerate(columns) if c not in (begins[g], slices.get(s))) for g, s in sets}
+    pick = lambda of: F.coalesce(*[F.when(F.col("_set") == n, of(g, s)) for (g, s), n in number.items()])
+    named = grouped.select(
+        pick(lambda g, s: F.col(begins[g])).alias("window_start"), pick(lambda g, s: F.date_add(begins[g], windows[g][1])).alias("window_end"),
+        pick(lambda g, s: F.lit(g)).alias("granularity"), pick(lambda g, s: F.lit(s or TABLE_SLICE)).alias("slice_key"),
+        pick(lambda g, s: F.col(slices[s]) if s else F.lit(TABLE_SLICE)).alias("slice_value"), *monitor.aggregates,
+    ).withColumns({n: F.expr(e) for n, e in monitor.derived.items()})
+    keys = ["window_start", "window_end", "granularity", "slice_key", "slice_value"]
+    return named.unpivot(keys, [*monitor.aggregates, *monitor.derived], "metric", "value")
 
 
 def _change(df: DataFrame, base: str) -> DataFrame:
@@ -158,11 +159,12 @@ def drift_from_baseline(profiled: DataFrame, frozen: DataFrame) -> DataFrame:
     return _change(profiled.join(frozen, keys), "base_value").withColumn("drift_type", F.lit("BASELINE"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """Default statistics of every column: rows, nulls, distinct, min, max, mean, stddev.
 
-    One aggregate for the cheap statistics; distinct counts come from a mergeable
-    sketch, because one exact distinct per column would multiply rows.
+    One aggregate for the cheap statistics. Distinct counts come from a mergeable
+    sketch; exact ones take a second scan, in which every column's values are reduced
+    to distinct ones in each task before they are shuffled.
     """
     numeric = {"integer", "long", "double", "float", "decimal", "short", "byte"}
     stats, entries = [], []
@@ -184,7 +186,13 @@ def column_profile(df: DataFrame) -> DataFrame:
                 F.col(f"s_{f.name}").alias("stddev"),
             )
         )
-    return df.agg(F.count(F.lit(1)).alias("row_count"), *stats).select("row_count", F.inline(F.array(*entries)))
+    out = df.agg(F.count(F.lit(1)).alias("row_count"), *stats).select("row_count", F.inline(F.array(*entries)))
+    if not exact_distinct:
+        return out
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in df.columns])
+    distinct = df.select(F.inline(values)).where("v IS NOT NULL").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
+    filled = F.coalesce("distinct_count", F.lit(0)).alias("distinct_count")
+    return out.drop("distinct_count").join(distinct, "column_name", "left").select("row_count", "column_name", "null_count", filled, "min", "max", "mean", "stddev")
 
 
 def pivot_latest(profiled: DataFrame, monitor: Monitor, as_of: str | None = None, days: int = 7) -> DataFrame:

@@ -71,6 +71,9 @@ def _prepared(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.withColumns({**numbers, **texts})
 
 
+MIN_BINS = 32
+
+
 def train(df: DataFrame, spec: ModelSpec) -> PipelineModel:
     """Boosted trees over assembled features; category codes are stored in the pipeline."""
     rows = _prepared(df, spec).withColumn("label", F.col(spec.label).cast("double"))
@@ -86,7 +89,11 @@ def train(df: DataFrame, spec: ModelSpec) -> PipelineModel:
         estimator = GBTClassifier(weightCol="weight", **common)
     else:
         estimator = GBTRegressor(**common)
-    return Pipeline(stages=[*codes, VectorAssembler(inputCols=inputs, outputCol="features"), estimator]).fit(rows)
+    coded = Pipeline(stages=codes).fit(rows)
+    # A tree needs a bin for each value of a category, the one for unseen values included.
+    estimator.setMaxBins(max([MIN_BINS, *(len(m.labels) + 1 for m in coded.stages)]))
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), estimator]).fit(coded.transform(rows))
+    return PipelineModel([*coded.stages, *fitted.stages])
 
 
 def predict(model: PipelineModel, df: DataFrame, spec: ModelSpec) -> DataFrame:

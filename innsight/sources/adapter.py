@@ -273,12 +273,11 @@ def weather_locations(raw: Raw) -> DataFrame:
     )
 
 
-def weather_forecasts(raw: Raw) -> DataFrame:
-    """Nested daily forecasts; several issues of one (location, day) occur."""
-    events = raw("events").withColumn("tenths", F.expr("CAST(CAST(value AS DECIMAL(10,2)) * 10 AS INT)"))
+def _weather_days(raw: Raw, earlier: int, warmer: int) -> DataFrame:
+    events = raw("events").withColumn("tenths", F.expr(f"CAST(CAST(value AS DECIMAL(10,2)) * 10 AS INT) + {warmer}"))
     return events.selectExpr(
         "concat('L', event_id % 25) AS locationKey",
-        f"date_add(CAST(ts AS DATE), -{EVENT_SHIFT_DAYS}) AS date",
+        f"date_add(CAST(ts AS DATE), -{EVENT_SHIFT_DAYS + earlier}) AS date",
         "event_id AS epochDate",
         "named_struct('minimum', named_struct('value', (tenths % 20) * 1.0D, 'unit', 'C'),"
         " 'maximum', named_struct('value', (tenths % 20 + event_id % 15) * 1.0D, 'unit', 'C')) AS temperature",
@@ -296,9 +295,14 @@ def weather_forecasts(raw: Raw) -> DataFrame:
     )
 
 
+def weather_forecasts(raw: Raw) -> DataFrame:
+    """Nested daily forecasts; several issues of one (location, day) occur."""
+    return _weather_days(raw, 0, 0)
+
+
 def weather_history(raw: Raw) -> DataFrame:
-    """Observed days in the layout of the forecasts."""
-    return weather_forecasts(raw)
+    """Observed days of the year before, in the layout of the forecasts."""
+    return _weather_days(raw, 365, 3)
 
 
 def user_changes(raw: Raw) -> DataFrame:

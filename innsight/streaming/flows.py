@@ -7,6 +7,7 @@ the batch result.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from innsight.operators.keys import dedup_latest
 from innsight.operators.quality import Rule, keep_valid, observe_warnings, quarantine, warnings
-from innsight.sources.storage import swap_in, write_table
+from innsight.sources.storage import write_table
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -63,31 +64,63 @@ def run_split(
 
 
 def run_upsert(stream: DataFrame, transform: Transform, keys: Sequence[str], newest_first: Callable[[], list[Column]], target: str, checkpoint: str) -> None:
-    """Keyed upsert: each batch is reduced to its newest row per key and appended as changes.
+    """Keyed upsert: each batch is reduced to its newest row per key and added as changes.
 
     A batch costs its own size, whatever the size of the target. :func:`current_rows`
     resolves the newest row per key on read; :func:`compact` folds the changes in.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(dedup_latest(transform(batch), keys, newest_first()), target, batch_id)
+        _write_batch(dedup_latest(transform(batch), keys, newest_first()), f"{target}/changes", batch_id)
 
     _finish(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the sub-folders ``name=<number>``, in order."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}="))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def current_rows(spark: SparkSession, target: str, keys: Sequence[str], newest_first: list[Column]) -> DataFrame:
-    """Newest row per key; a late row with an older order value does not win."""
-    changes = spark.read.parquet(target)
-    return dedup_latest(changes, keys, [*newest_first, F.desc("batch_id")]).drop("batch_id")
+    """Newest row per key; a late row with an older order value does not win.
+
+    The newest base and all changes that are still there are read: a batch that was
+    folded in and then written again by a retry only repeats rows of the base.
+    """
+    bases, batches = _numbers(spark, f"{target}/base", "upto"), _numbers(spark, f"{target}/changes", "batch_id")
+    parts = [spark.read.parquet(f"{target}/base/upto={bases[-1]}")] if bases else []
+    if batches:
+        parts.append(spark.read.parquet(f"{target}/changes").withColumn("batch_id", F.col("batch_id").cast("long")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return dedup_latest(rows, keys, [*newest_first, F.desc("batch_id")]).drop("batch_id")
 
 
 def compact(spark: SparkSession, target: str, keys: Sequence[str], newest_first: list[Column]) -> DataFrame:
-    """Replace the accumulated changes by one folder with the newest row per key."""
-    last = spark.read.parquet(target).agg(F.max("batch_id")).first()[0]
-    staged = f"{target.rstrip('/')}-compacted"
-    write_table(current_rows(spark, target, keys, newest_first), f"{staged}/batch_id={last}")
-    swap_in(spark, staged, target)
-    return spark.read.parquet(target).drop("batch_id")
+    """Fold the changes into a new base with the newest row per key, and give it.
+
+    A base lies apart from the batches and is named after the last batch it holds, so
+    no retry of a batch can overwrite it. It is complete before anything is removed.
+    """
+    batches, bases = _numbers(spark, f"{target}/changes", "batch_id"), _numbers(spark, f"{target}/base", "upto")
+    # Only a batch newer than the base, or none: a retried one adds nothing.
+    fresh = [b for b in batches if not bases or b > bases[-1]]
+    if fresh:
+        rows = current_rows(spark, target, keys, newest_first).withColumn("batch_id", F.lit(fresh[-1]).cast("long"))
+        write_table(rows, f"{target}/base/upto={fresh[-1]}")
+        for b in bases:
+            _remove(spark, f"{target}/base/upto={b}")
+        for b in batches:
+            if b <= fresh[-1]:
+                _remove(spark, f"{target}/changes/batch_id={b}")
+    return current_rows(spark, target, keys, newest_first)
 
 
 class ViolationLog(StreamingQueryListener):
@@ -96,6 +129,7 @@ class ViolationLog(StreamingQueryListener):
     def __init__(self, name: str):
         self.name = name
         self.batches: list[dict[str, int]] = []
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -104,7 +138,7 @@ class ViolationLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         seen = event.progress.observedMetrics.get(self.name)
@@ -115,10 +149,19 @@ class ViolationLog(StreamingQueryListener):
 def run_with_metrics(stream: DataFrame, transform: Transform, rules: Sequence[Rule], target: str, checkpoint: str, name: str) -> list[dict]:
     """Run the cleaned stream with warning counters; returns the counters per batch."""
     checked = observe_warnings(keep_valid(transform(stream), rules), name, warnings(rules))
-    query = (
-        checked.writeStream.format("parquet").queryName(name).option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    _finish(query)
-    return [
-        {"batch_id": p["batchId"], **p["observedMetrics"][name].asDict()} for p in query.recentProgress if name in (p["observedMetrics"] or {})
-    ]
+    log = ViolationLog(name)
+    stream.sparkSession.streams.addListener(log)
+    try:
+        query = (
+            checked.writeStream.format("parquet").queryName(name).option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        _finish(query)
+        # Events come in order, the end of the query last; a query keeps only its newest updates itself.
+        until = time.time() + 60
+        while str(query.runId) not in log.ended:
+            if time.time() > until:
+                raise TimeoutError("the stream's counters did not arrive")
+            time.sleep(0.05)
+    finally:
+        stream.sparkSession.streams.removeListener(log)
+    return log.batches

@@ -72,6 +72,12 @@ QUERIES["silver_weather"] = lambda cat: cat.silver("weather_forecasts").selectEx
 ORACLE["silver_weather"] = with_views(
     """SELECT "locationKey", date, "epochDate", "temperatureMin" AS low, "temperatureMax" AS high, temperature_range,
     is_precipitation_expected FROM src_forecasts""")
+QUERIES["silver_weather_history"] = lambda cat: cat.silver("weather_history").selectExpr(
+    "locationKey", "date", "epochDate", "temperature.minimum.value AS low", "temperature.maximum.value AS high",
+    "temperature_range", "is_precipitation_expected")
+ORACLE["silver_weather_history"] = with_views(
+    """SELECT "locationKey", date, "epochDate", "temperatureMin" AS low, "temperatureMax" AS high, temperature_range,
+    is_precipitation_expected FROM src_history""")
 
 
 # --- sources and sinks --------------------------------------------------------------
@@ -153,13 +159,13 @@ ORACLE["conform"] = with_views("SELECT * FROM (SELECT unnest(["
 # --- rules ----------------------------------------------------------------------------
 
 RULE_TABLES = ["users", "hosts", "destinations", "countries", "properties", "amenities", "employees", "bookings",
-               "booking_updates", "payments", "reviews", "clickstream", "page_views", "support_logs"]
+               "booking_updates", "payments", "reviews", "clickstream", "page_views", "support_logs", "weather_forecasts", "weather_history"]
 
 
 def _rules_with_hits(cat):
     """The rule table with, for every rule, the rows its table failed."""
     parts = []
-    for t in [*RULE_TABLES, "weather_forecasts", "weather_history"]:
+    for t in RULE_TABLES:
         rules = cat.rules_for(t)
         report = quality.violation_report(cat.derived(t), rules)
         parts.append(report.withColumn("table_name", F.lit(rules[0].table)))
@@ -208,7 +214,9 @@ def _fail_rows(table: str) -> str:
         f" count(*) FILTER ({bad}) AS violations FROM {view}" for n, s, bad in entries)
 
 
-_WEATHER_RULES = " UNION ALL ".join(f"SELECT 'silver_{t}_daily_metric' AS table_name, 'has_data' AS rule_name, 'warning' AS severity, count(*) AS row_count, 0 AS violations FROM src_forecasts" for t in ("forecast", "historical"))
+_WEATHER_RULES = " UNION ALL ".join(
+    f"SELECT 'silver_{t}_daily_metric' AS table_name, 'has_data' AS rule_name, 'warning' AS severity, count(*) AS row_count, 0 AS violations FROM {v}"
+    for t, v in (("forecast", "src_forecasts"), ("historical", "src_history")))
 ORACLE["dq_rules"] = with_views(" UNION ALL ".join(_fail_rows(t) for t in _FAILS) + " UNION ALL " + _WEATHER_RULES)
 
 QUERIES["dq_load_rules"] = lambda cat: quality.violation_report(
@@ -337,11 +345,21 @@ ORACLE["dq_overall_health"] = with_views("""SELECT table_name, table_type, recor
     WHEN (DATE '2001-08-02' - d) * 1440 < 1440 THEN 'STALE' ELSE 'VERY_STALE' END AS data_freshness_status FROM (""" + " UNION ALL ".join(
     f"SELECT 'silver_{t}' AS table_name, '{kind}' AS table_type, count(*) AS record_count, max(CAST({day} AS DATE)) AS d FROM {view}" for t, (view, day, kind) in _H.items()) + ")")
 
-QUERIES["dq_table_counts"] = lambda cat: quality_reports.table_counts(
-    {f"silver_{t}": cat.silver(t) for t in RULE_TABLES}, [f"silver_{t}" for t in RULE_TABLES] + ["silver_missing_table"])
+def _guarded(cat, read):
+    """Every table that has rules, under the name the rules use."""
+    return {cat.rules_for(t)[0].table: read(t) for t in RULE_TABLES}
+
+
+def _table_counts(cat):
+    tables = _guarded(cat, cat.silver)
+    return quality_reports.table_counts(tables, [*tables, "silver_missing_table"])
+
+
+QUERIES["dq_table_counts"] = _table_counts
 _COUNTS = {"users": "s_users", "hosts": "s_hosts", "destinations": "src_destinations", "countries": "src_countries WHERE length(country_code) = 2", "properties": "s_properties",
            "amenities": "src_amenities", "employees": "s_employees", "bookings": "s_bookings", "booking_updates": "s_booking_updates", "payments": "s_payments",
-           "reviews": "s_reviews", "clickstream": "s_clickstream", "page_views": "s_page_views", "support_logs": "src_support"}
+           "reviews": "s_reviews", "clickstream": "s_clickstream", "page_views": "s_page_views", "customer_support_logs": "src_support",
+           "forecast_daily_metric": "src_forecasts", "historical_daily_metric": "src_history"}
 ORACLE["dq_table_counts"] = with_views("SELECT table_name, TRUE AS table_exists, n AS record_count, CASE WHEN n = 0 THEN 'EMPTY' ELSE 'OK' END AS status FROM ("
     + " UNION ALL ".join(f"SELECT 'silver_{t}' AS table_name, count(*) AS n FROM {v}" for t, v in _COUNTS.items())
     + ") UNION ALL SELECT 'silver_missing_table', FALSE, 0, 'MISSING'")
@@ -350,13 +368,14 @@ ORACLE["dq_table_counts"] = with_views("SELECT table_name, TRUE AS table_exists,
 def _coverage(cat):
     """Rules per table and severity, with the size of the table they guard."""
     covered = quality_reports.rule_coverage(quality.rules_frame(cat.spark, cat.rules))
-    counts = quality_reports.table_counts({f"silver_{t}": cat.source(t) for t in RULE_TABLES[:-1]}, [f"silver_{t}" for t in RULE_TABLES[:-1]])
-    return covered.join(counts.select("table_name", "record_count"), "table_name")
+    tables = _guarded(cat, cat.source)
+    counts = quality_reports.table_counts(tables, list(tables))
+    return covered.join(counts.select("table_name", "record_count"), "table_name", "left")
 
 
 QUERIES["dq_rule_coverage"] = _coverage
 ORACLE["dq_rule_coverage"] = with_views("SELECT table_name, severity, count(*) AS rule_count, any_value(row_count) AS record_count FROM ("
-    + " UNION ALL ".join(_fail_rows(t) for t in _FAILS if t != "customer_support_logs") + ") GROUP BY 1, 2")
+    + " UNION ALL ".join(_fail_rows(t) for t in _FAILS) + " UNION ALL " + _WEATHER_RULES + ") GROUP BY 1, 2")
 
 QUERIES["dq_quarantine_grade"] = lambda cat: quality_reports.quarantine_grade(
     quality_reports.booking_metrics(cat.derived("bookings"), cat.rules_for("bookings")), "bookings").unionByName(

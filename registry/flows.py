@@ -19,12 +19,13 @@ ORACLE: dict = {}
 
 
 def landed(c, name: str, day: str):
-    """A source table landed in three arrivals by date; returns its folder and schema."""
+    """A source table landed in three arrivals; rows without a date come with the last one."""
     frame = c.source(name)
     path = scratch_path(c.spark, f"landed-{name}")
-    for low, high in (("1900-01-01", "1997-01-01"), ("1997-01-01", "1999-06-01"), ("1999-06-01", "2100-01-01")):
-        part = frame.where((F.col(day) >= F.lit(low).cast("date")) & (F.col(day) < F.lit(high).cast("date")))
-        part.coalesce(2).write.mode("append").parquet(path)
+    early, middle = F.col(day) < F.lit("1997-01-01").cast("date"), F.col(day) < F.lit("1999-06-01").cast("date")
+    arrival = F.when(early, 0).when(middle, 1).otherwise(2)
+    for number in range(3):
+        frame.where(arrival == number).write.mode("append").parquet(path)
     return path, frame.schema
 
 

@@ -40,8 +40,8 @@ LISTING_SQL = f"property_id, property_type, {big('bedrooms')} AS bedrooms, {big(
 add_view("f_property", f"""SELECT {LISTING_SQL}, {big('coalesce(b, 0)')} AS bookings_30d, coalesce(r, 0) AS revenue_30d, coalesce(ab, 0) AS avg_booking_value_30d, coalesce(an, 0) AS avg_nights_30d,
     {big('coalesce(v, 0)')} AS views_30d, {big('coalesce(k, 0)')} AS clicks_30d, coalesce(cr, 0) AS avg_conversion_rate_30d, CASE WHEN coalesce(b, 0) > 0 THEN {ratio('r', 'b')} ELSE 0 END AS revenue_per_booking,
     CASE WHEN coalesce(v, 0) > 0 THEN {ratio('k', 'v')} ELSE 0 END AS click_through_rate FROM dim_property
-    LEFT JOIN (SELECT property_id, sum(booking_count) AS b, {dbl('sum(total_booking_value)')} AS r, {mean('avg_booking_value')} AS ab, {mean('avg_nights_booked')} AS an FROM fact_booking_daily WHERE check_in_date >= {D} - 30 GROUP BY 1) USING (property_id)
-    LEFT JOIN (SELECT property_id, sum(view_count) AS v, sum(click_count) AS k, {mean('conversion_rate')} AS cr FROM fact_property_engagement WHERE engagement_date >= {D} - 30 GROUP BY 1) USING (property_id)""")
+    LEFT JOIN (SELECT property_id, sum(booking_count) AS b, {dbl('sum(total_booking_value)')} AS r, {mean('avg_booking_value')} AS ab, {mean('avg_nights_booked')} AS an FROM fact_booking_daily WHERE check_in_date BETWEEN {D} - 30 AND {D} GROUP BY 1) USING (property_id)
+    LEFT JOIN (SELECT property_id, sum(view_count) AS v, sum(click_count) AS k, {mean('conversion_rate')} AS cr FROM fact_property_engagement WHERE engagement_date BETWEEN {D} - 30 AND {D} GROUP BY 1) USING (property_id)""")
 QUERIES["features_property"] = lambda c: features.property_features(*t(c, "dim_property", "fact_booking_daily", "fact_property_engagement"), DAY)
 ORACLE["features_property"] = with_views("SELECT * FROM f_property")
 
@@ -80,12 +80,12 @@ QUERIES["features_property_weather"] = lambda c: features.property_weather_featu
 
 
 def win(lo, hi, col):
-    cond = f"({D} - check_in_date) <= {hi}" if lo is None else f"({D} - check_in_date) BETWEEN {lo} AND {hi}"
+    cond = f"({D} - check_in_date) BETWEEN 0 AND {hi}" if lo is None else f"({D} - check_in_date) BETWEEN {lo} AND {hi}"
     return f"coalesce(sum({col}) FILTER ({cond}), 0)"
 
 
 def win_mean(hi, col):
-    return f"CAST(sum({col}) FILTER (({D} - check_in_date) <= {hi}) AS DOUBLE) / nullif(count({col}) FILTER (({D} - check_in_date) <= {hi}), 0)"
+    return f"CAST(sum({col}) FILTER (({D} - check_in_date) BETWEEN 0 AND {hi}) AS DOUBLE) / nullif(count({col}) FILTER (({D} - check_in_date) BETWEEN 0 AND {hi}), 0)"
 
 
 _WEATHER_COLS = {"avg_temp_min_30d": '"temperatureMin"', "avg_temp_max_30d": '"temperatureMax"', "avg_realfeel_min_30d": '"realFeelMin"', "avg_realfeel_max_30d": '"realFeelMax"',
@@ -99,11 +99,11 @@ ORACLE["features_property_weather"] = with_views(f"""SELECT {LISTING_SQL.replace
     FROM dim_property p LEFT JOIN (SELECT property_id, {win(None, 30, 'booking_count')} AS bookings_30d, {dbl(win(None, 30, 'total_booking_value'))} AS revenue_30d, {win_mean(30, 'avg_booking_value')} AS avg_booking_value_30d,
         {win_mean(30, 'avg_nights_booked')} AS avg_nights_30d, {win(None, 90, 'booking_count')} AS bookings_90d, {dbl(win(None, 90, 'total_booking_value'))} AS revenue_90d, {win_mean(90, 'avg_booking_value')} AS avg_booking_value_90d,
         {win(None, 365, 'booking_count')} AS bookings_365d, {dbl(win(None, 365, 'total_booking_value'))} AS revenue_365d, {win(31, 60, 'booking_count')} AS bookings_31_60d, {win(61, 90, 'booking_count')} AS bookings_61_90d FROM fact_booking_daily GROUP BY 1) USING (property_id)
-    LEFT JOIN (SELECT property_id, sum(view_count) AS views_30d, sum(click_count) AS clicks_30d, {mean('conversion_rate')} AS avg_conversion_rate_30d FROM fact_property_engagement WHERE ({D} - engagement_date) <= 30 GROUP BY 1) USING (property_id)
+    LEFT JOIN (SELECT property_id, sum(view_count) AS views_30d, sum(click_count) AS clicks_30d, {mean('conversion_rate')} AS avg_conversion_rate_30d FROM fact_property_engagement WHERE ({D} - engagement_date) BETWEEN 0 AND 30 GROUP BY 1) USING (property_id)
     LEFT JOIN (SELECT p.destination_id, {mean('avg_booking_value')} AS destination_avg_booking_value, sum(booking_count) AS destination_total_bookings, {dbl('sum(total_booking_value)')} AS destination_total_revenue,
-        {ratio('sum(total_booking_value)', 'sum(booking_count)')} AS destination_revpar FROM fact_booking_daily f JOIN dim_property p USING (property_id) GROUP BY 1) g ON g.destination_id = p.destination_id
+        {ratio('sum(total_booking_value)', 'sum(booking_count)')} AS destination_revpar FROM fact_booking_daily f JOIN dim_property p USING (property_id) WHERE check_in_date <= {D} GROUP BY 1) g ON g.destination_id = p.destination_id
     LEFT JOIN (SELECT CAST(substr("locationKey", 2) AS BIGINT) AS dest, {', '.join(f'{mean(e)} AS {n}' for n, e in _WEATHER_COLS.items())}, max("thunderstormProbability") AS max_thunderstorm_prob_30d,
-        count(*) FILTER (is_precipitation_expected) AS precip_days_30d FROM (SELECT *, row_number() OVER (PARTITION BY "locationKey" ORDER BY date DESC) AS rn FROM fact_weather_daily) WHERE rn <= 30 GROUP BY 1) w ON w.dest = p.destination_id""")
+        count(*) FILTER (is_precipitation_expected) AS precip_days_30d FROM (SELECT *, row_number() OVER (PARTITION BY "locationKey" ORDER BY date DESC) AS rn FROM fact_weather_daily WHERE date <= {D}) WHERE rn <= 30 GROUP BY 1) w ON w.dest = p.destination_id""")
 
 
 def _lookup(c):
@@ -272,10 +272,10 @@ add_view("p_ltv", "SELECT *, total_spend * 1.5e0 AS predicted_ltv_12m, CASE WHEN
 
 QUERIES["get_demand_predictions"] = lambda c: pf.get_demand_predictions(demand(c))
 ORACLE["get_demand_predictions"] = with_views(f"""SELECT destination_id, property_type, round(avg(predicted_bookings), 6) AS avg_predicted_bookings, max(predicted_bookings) AS max_predicted_bookings, count(*) AS prediction_count, {S}, 'demand_predictor' AS model_name
-    FROM p_demand GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 1000""")
+    FROM p_demand GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""")
 QUERIES["get_conversion_predictions"] = lambda c: pf.get_conversion_predictions(conversion(c))
 ORACLE["get_conversion_predictions"] = with_views(f"""SELECT destination_id, property_type, round(avg(conversion_probability), 6) AS avg_conversion_probability, max(conversion_probability) AS max_conversion_probability,
-    round(avg(predicted_conversion), 6) AS predicted_conversion_rate, count(*) AS prediction_count, {S}, 'conversion_predictor' AS model_name FROM p_conversion GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 1000""")
+    round(avg(predicted_conversion), 6) AS predicted_conversion_rate, count(*) AS prediction_count, {S}, 'conversion_predictor' AS model_name FROM p_conversion GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""")
 QUERIES["get_pricing_recommendations"] = lambda c: pf.get_pricing_recommendations(pricing(c))
 ORACLE["get_pricing_recommendations"] = with_views(f"""SELECT month, quarter, is_peak_season, round(avg(recommended_price), 6) AS avg_recommended_price, min(recommended_price) AS min_recommended_price, max(recommended_price) AS max_recommended_price,
     count(*) AS prediction_count, {S}, 'pricing_optimizer' AS model_name FROM p_pricing GROUP BY 1, 2, 3""")

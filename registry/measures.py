@@ -84,7 +84,9 @@ ORACLE["mv_cross"] = with_views(f"""SELECT destination, total_views, total_reven
     (SELECT destination, {dbl('sum(total_booking_value)')} AS total_revenue FROM fact_booking_daily LEFT JOIN dim_destination USING (destination_id) GROUP BY 1) USING (destination)
     WHERE total_views >= (SELECT quantile_disc(v, 0.5) FROM (SELECT sum(view_count) AS v FROM fact_property_engagement LEFT JOIN dim_property USING (property_id) GROUP BY destination_id))
     AND total_revenue >= (SELECT quantile_disc(v, 0.5) FROM (SELECT {dbl('sum(total_booking_value)')} AS v FROM fact_booking_daily LEFT JOIN dim_destination USING (destination_id) GROUP BY destination))
-    ORDER BY total_views DESC, total_revenue DESC LIMIT 20""")
+    ORDER BY total_views DESC, total_revenue DESC""")
+QUERIES["mv_cross_first"] = lambda c: metrics.hot_destinations(c.table, 0.5, 2)
+ORACLE["mv_cross_first"] = f"{ORACLE['mv_cross']} LIMIT 2"
 QUERIES["mv_overview"] = lambda c: metrics.overview(c.table)
 ORACLE["mv_overview"] = with_views(f"""SELECT * FROM (SELECT {dbl('sum(total_booking_value)')} AS total_revenue, {big('sum(booking_count)')} AS total_bookings, {mean('avg_booking_value')} AS avg_booking FROM fact_booking_daily),
     (SELECT count(*) AS total_properties FROM dim_property), (SELECT count(*) AS total_hosts, {ratio('count(*) FILTER (is_verified)', 'count(*)')} * 100 AS verification_rate FROM dim_host),

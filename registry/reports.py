@@ -35,8 +35,9 @@ add_view("hosted", """SELECT h.*, coalesce(n, 0) AS property_count, coalesce(b,
 add_view("booked_users", "SELECT u.*, coalesce(b.bookings, 0) AS bookings, b.revenue, coalesce(b.cancelled, 0) AS cancelled, b.nights FROM dim_user u LEFT JOIN per_user b USING (user_id)")
 
 
-def ranked(inner: str, order: str, n: int) -> str:
-    return f"SELECT row_number() OVER (ORDER BY {order}) AS rank, * FROM ({inner}) QUALIFY rank <= {n}"
+def ranked(inner: str, order: str, n: int | None = None) -> str:
+    every = f"SELECT row_number() OVER (ORDER BY {order}) AS rank, * FROM ({inner})"
+    return every if n is None else f"{every} QUALIFY rank <= {n}"
 
 
 # --- revenue ------------------------------------------------------------------------------
@@ -59,10 +60,10 @@ ORACLE["get_top_properties_by_revenue"] = with_views(f"""SELECT rank, r.property
     {dbl('v')} AS total_revenue, {big('n')} AS booking_count, {ratio('v', 'n')} AS avg_revenue_per_booking, {dbl('nights')} AS total_nights, {ratio('n', SPAN)} * 100 AS avg_occupancy_rate
     FROM ({ranked('SELECT property_id, max(destination_id) AS dest, sum(total_booking_value) AS v, sum(booking_count) AS n, sum(avg_nights_booked * booking_count) AS nights FROM daily GROUP BY 1', 'v DESC, property_id', 10)}) r
     LEFT JOIN dim_property p USING (property_id) LEFT JOIN places d ON d.destination_id = r.dest LEFT JOIN dim_host h ON h.host_id = p.host_id""")
-QUERIES["get_revenue_by_destination"] = lambda c: revenue.get_revenue_by_destination(*t(c, "fact_booking_daily", "dim_destination"), START, END, 20)
+QUERIES["get_revenue_by_destination"] = lambda c: revenue.get_revenue_by_destination(*t(c, "fact_booking_daily", "dim_destination"), START, END)
 ORACLE["get_revenue_by_destination"] = with_views(f"""SELECT rank, destination_id, destination, state_or_province, country, u AS property_count, {dbl('v')} AS total_revenue,
     {big('n')} AS booking_count, {ratio('v', 'u')} AS avg_revenue_per_property, {big('g')} AS unique_guests FROM
-    ({ranked('SELECT destination_id, count(DISTINCT property_id) AS u, sum(total_booking_value) AS v, sum(booking_count) AS n, sum(total_guests) AS g FROM daily GROUP BY 1', 'v DESC, destination_id', 20)})
+    ({ranked('SELECT destination_id, count(DISTINCT property_id) AS u, sum(total_booking_value) AS v, sum(booking_count) AS n, sum(total_guests) AS g FROM daily GROUP BY 1', 'v DESC, destination_id')})
     LEFT JOIN dim_destination USING (destination_id)""")
 QUERIES["get_payment_metrics"] = lambda c: revenue.get_payment_metrics(*t(c, "fact_booking_detail"), START, END)
 ORACLE["get_payment_metrics"] = with_views(f"""SELECT coalesce(payment_method, 'Unpaid/Pending') AS payment_method, count(*) AS booking_count,
@@ -114,11 +115,11 @@ ORACLE["get_property_performance"] = with_views(f"""SELECT property_id, title AS
     {ratio('cs', 'cd')} AS conversion_rate, {big('views')} AS total_views,
     {dbl('revenue')} / 100000 * 40 + {ratio('bookings', SPAN)} * 100 / 100 * 30 + {ratio('cs', 'cd')} / 5 * 30 AS property_score
     FROM listed LEFT JOIN eng USING (property_id) LEFT JOIN places USING (destination_id)""")
-QUERIES["get_availability_by_destination"] = lambda c: property.get_availability_by_destination(*t(c, "dim_destination", "dim_property", "fact_booking_detail"), START, END, 20)
+QUERIES["get_availability_by_destination"] = lambda c: property.get_availability_by_destination(*t(c, "dim_destination", "dim_property", "fact_booking_detail"), START, END)
 ORACLE["get_availability_by_destination"] = with_views(ranked(f"""SELECT place AS destination, n AS total_properties, a AS active_properties, {big('b')} AS total_bookings,
     {ratio('b', f'({SPAN} * n)')} * 100 AS avg_occupancy_rate, {dbl('r')} AS total_revenue, price AS avg_price, {ratio('a', 'n')} * 100 AS inventory_utilization
     FROM places LEFT JOIN (SELECT destination_id, count(*) AS n, count(*) FILTER (bookings > 0) AS a, sum(bookings) AS b, sum(revenue) AS r, {mean('base_price')} AS price FROM listed GROUP BY 1)
-    USING (destination_id)""", "total_properties DESC, destination", 20))
+    USING (destination_id)""", "total_properties DESC, destination"))
 QUERIES["get_property_type_analysis"] = lambda c: property.get_property_type_analysis(*t(c, "dim_property", "fact_booking_detail", "fact_property_engagement"), START, END)
 ORACLE["get_property_type_analysis"] = with_views(f"""SELECT property_type, n AS property_count, {big('b')} AS total_bookings, {dbl('r')} AS total_revenue, {ratio('r', 'b')} AS avg_booking_value,
     {ratio('ni', 'b')} AS avg_nights_per_booking, {ratio('b', f'({SPAN} * n)')} * 100 AS avg_occupancy_rate, {ratio('cs', 'cd')} AS conversion_rate,
@@ -152,10 +153,10 @@ QUERIES["get_host_retention_analysis"] = lambda c: host.get_host_retention_analy
 ORACLE["get_host_retention_analysis"] = with_views(f"""SELECT CASE WHEN is_active AND bookings > 0 THEN 'Active with Bookings' WHEN is_active THEN 'Active without Bookings' ELSE 'Inactive/Churned' END AS host_status,
     count(*) AS host_count, {big('sum(property_count)')} AS total_properties, {big('sum(bookings)')} AS total_bookings, {dbl('sum(revenue)')} AS total_revenue,
     {ratio('sum(property_count)', 'count(*)')} AS avg_properties_per_host, {ratio('sum(revenue)', 'count(*)')} AS avg_revenue_per_host, {mean('rating')} AS avg_rating FROM hosted GROUP BY 1""")
-QUERIES["get_host_geographic_distribution"] = lambda c: host.get_host_geographic_distribution(*t(c, *H), START, END, 20)
+QUERIES["get_host_geographic_distribution"] = lambda c: host.get_host_geographic_distribution(*t(c, *H), START, END)
 ORACLE["get_host_geographic_distribution"] = with_views(ranked(f"""SELECT country, count(*) AS host_count, count(*) FILTER (is_verified) AS verified_host_count,
     {ratio('count(*) FILTER (is_verified)', 'count(*)')} * 100 AS verification_rate, {big('sum(property_count)')} AS total_properties, {big('sum(bookings)')} AS total_bookings,
-    {dbl('sum(revenue)')} AS total_revenue, {mean('rating')} AS avg_rating, {ratio('sum(revenue)', 'count(*)')} AS avg_revenue_per_host FROM hosted GROUP BY 1""", "host_count DESC, country", 20))
+    {dbl('sum(revenue)')} AS total_revenue, {mean('rating')} AS avg_rating, {ratio('sum(revenue)', 'count(*)')} AS avg_revenue_per_host FROM hosted GROUP BY 1""", "host_count DESC, country"))
 QUERIES["get_multi_property_hosts"] = lambda c: host.get_multi_property_hosts(*t(c, *H), START, END, 3)
 ORACLE["get_multi_property_hosts"] = with_views(f"""SELECT host_id, name AS host_name, country, property_count, {big('bookings')} AS total_bookings, {dbl('revenue')} AS total_revenue,
     {ratio('revenue', 'property_count')} AS avg_revenue_per_property, {OCC} AS avg_occupancy_rate,
@@ -177,10 +178,10 @@ QUERIES["get_booking_frequency_analysis"] = lambda c: customer.get_booking_frequ
 ORACLE["get_booking_frequency_analysis"] = with_views(f"""SELECT f AS booking_frequency_bucket, n AS customer_count, {big('b')} AS total_bookings, {dbl('r')} AS total_revenue, {ratio('r', 'b')} AS avg_booking_value,
     CAST(n AS DOUBLE) / {dbl('sum(n) OVER ()')} * 100 AS customer_percentage, {dbl('r')} / {dbl('sum(r) OVER ()')} * 100 AS revenue_percentage FROM (SELECT CASE WHEN bookings = 0 THEN 'No Bookings' WHEN bookings = 1 THEN '1 Booking'
     WHEN bookings <= 3 THEN '2-3 Bookings' WHEN bookings <= 6 THEN '4-6 Bookings' ELSE '7+ Bookings' END AS f, count(*) AS n, sum(bookings) AS b, sum(revenue) AS r FROM booked_users GROUP BY 1)""")
-QUERIES["get_customer_geographic_analysis"] = lambda c: customer.get_customer_geographic_analysis(*t(c, *U), START, END, 20)
+QUERIES["get_customer_geographic_analysis"] = lambda c: customer.get_customer_geographic_analysis(*t(c, *U), START, END)
 ORACLE["get_customer_geographic_analysis"] = with_views(ranked(f"""SELECT country, count(*) AS customer_count, {big('sum(bookings)')} AS total_bookings, {dbl('sum(revenue)')} AS total_revenue,
     {ratio('sum(bookings)', 'count(*)')} AS avg_bookings_per_customer, {ratio('sum(revenue)', 'count(*)')} AS avg_revenue_per_customer, {ratio('sum(revenue)', 'sum(bookings)')} AS avg_booking_value,
-    {ratio('sum(cancelled)', 'sum(bookings)')} * 100 AS cancellation_rate FROM booked_users GROUP BY 1""", "customer_count DESC, country", 20))
+    {ratio('sum(cancelled)', 'sum(bookings)')} * 100 AS cancellation_rate FROM booked_users GROUP BY 1""", "customer_count DESC, country"))
 QUERIES["get_business_vs_leisure_analysis"] = lambda c: customer.get_business_vs_leisure_analysis(*t(c, *U), START, END)
 ORACLE["get_business_vs_leisure_analysis"] = with_views(f"""SELECT CASE WHEN is_business_booking THEN 'Business' ELSE 'Leisure' END AS booking_type, count(DISTINCT u.user_id) AS customer_count, count(*) AS total_bookings,
     {dbl('sum(total_amount)')} AS total_revenue, {mean('total_amount')} AS avg_booking_value, {mean('nights_booked')} AS avg_nights_booked, {mean('days_between_booking_and_checkin')} AS avg_lead_time_days,
@@ -190,3 +191,6 @@ QUERIES["get_vip_customer_property_preferences"] = lambda c: customer.get_vip_cu
 ORACLE["get_vip_customer_property_preferences"] = with_views(f"""SELECT property_type, u AS vip_customer_count, n AS vip_bookings, {dbl('r')} AS vip_revenue, {ratio('r', 'n')} AS avg_booking_value,
     {dbl('r')} / {dbl('sum(r) OVER ()')} * 100 AS pct_of_total_vip_revenue FROM (SELECT property_type, count(DISTINCT user_id) AS u, count(*) AS n, sum(total_amount) AS r FROM detail JOIN dim_property USING (property_id)
     WHERE user_id IN (SELECT user_id FROM per_user WHERE CAST(revenue AS DOUBLE) >= (SELECT quantile_cont(CAST(revenue AS DOUBLE), 0.95) FROM per_user)) GROUP BY 1)""")
+
+QUERIES["get_revenue_by_destination_first"] = lambda c: revenue.get_revenue_by_destination(*t(c, "fact_booking_daily", "dim_destination"), START, END, 7)
+ORACLE["get_revenue_by_destination_first"] = f"SELECT * FROM ({ORACLE['get_revenue_by_destination']}) WHERE rank <= 7"

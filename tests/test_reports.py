@@ -172,3 +172,26 @@ def test_signature_defaults_and_clipping(spark):
     df = spark.createDataFrame([("12.5", 99999999999, None)], "a string, b long, c string")
     row = features.conform_signature(df, [("b", "integer"), ("a", "double"), ("c", "boolean"), ("new", "long")]).first()
     assert tuple(row) == (2147483647, 12.5, False, 0)
+
+
+def test_later_rows_change_no_feature(catalog):
+    from datetime import date
+
+    day = "2000-01-31"
+    tables = [catalog.table(n) for n in ("dim_property", "fact_booking_daily", "fact_property_engagement")]
+    want = sorted(map(str, features.property_features(*tables, day).collect()))
+    until = lambda df, c: df.where(F.col(c) <= F.lit(date(2000, 1, 31)))
+    got = features.property_features(tables[0], until(tables[1], "check_in_date"), until(tables[2], "engagement_date"), day).collect()
+    assert tables[1].where(F.col("check_in_date") > F.lit(date(2000, 1, 31))).count() > 0
+    assert sorted(map(str, got)) == want
+
+
+def test_trees_take_many_categories(spark):
+    from innsight.plans import training
+
+    spec = training.DEMAND
+    names = [*spec.numeric, *spec.categorical]
+    rows = spark.range(400).select(*[(F.concat(F.lit("c"), F.col("id") % 40) if n in spec.categorical else (F.col("id") % 7)).alias(n) for n in names], (F.col("id") % 5).alias(spec.label))
+    model = training.train(rows, spec)
+    assert training.predict(model, rows, spec).count() == 400
+    assert len(training.feature_importance(model, spec)) == len(names)

@@ -37,3 +37,16 @@ def test_top_n_keeps_few_rows_per_task(spark, functions):
 
 def test_prediction_functions_need_their_tables(spark, catalog, functions):
     assert "get_vip_customers" not in functions
+
+
+def test_rank_is_a_top_k_for_any_size(spark, catalog):
+    from innsight.functions import sql
+
+    sql.register(spark, catalog.table)
+    every = spark.sql("SELECT * FROM get_customer_ltv('1995-01-01', '2001-12-31', top_n => 5000)")
+    # Beyond Spark's own limit for top-k windows, each part still keeps only its first rows.
+    plan = every._jdf.queryExecution().optimizedPlan().toString()
+    assert "_near" in plan and "<= 5000" in plan
+    few = spark.sql("SELECT * FROM get_customer_ltv('1995-01-01', '2001-12-31', top_n => 7)").collect()
+    assert [r["rank"] for r in few] == list(range(1, 8)) and sorted(map(str, every.where("rank <= 7").collect())) == sorted(map(str, few))
+    assert spark.sql("SELECT * FROM get_revenue_by_destination('1995-01-01', '2001-12-31')").count() > 20

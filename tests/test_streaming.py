@@ -44,7 +44,31 @@ def test_upsert_late_rows_do_not_win(spark, folder):
     want = {(1, "new"), (2, "b")}
     assert {(r.k, r.v) for r in flows.current_rows(spark, f"{folder}/out", ["k"], newest()).collect()} == want
     assert {(r.k, r.v) for r in flows.compact(spark, f"{folder}/out", ["k"], newest()).collect()} == want
-    assert spark.read.parquet(f"{folder}/out").count() == 2
+    assert spark.read.parquet(f"{folder}/out/base").count() == 2
+
+
+def test_retry_of_a_compacted_batch_loses_nothing(spark, folder):
+    newest = lambda: [F.desc("at")]
+    for batch in range(3):
+        flows._write_batch(spark.range(batch * 50, batch * 50 + 50).selectExpr("id AS k", "1 AS at"), f"{folder}/out/changes", batch)
+    assert flows.compact(spark, f"{folder}/out", ["k"], newest()).count() == 150
+    flows._write_batch(spark.range(100, 150).selectExpr("id AS k", "1 AS at"), f"{folder}/out/changes", 2)
+    assert flows.current_rows(spark, f"{folder}/out", ["k"], newest()).count() == 150
+    flows._write_batch(spark.range(0, 10).selectExpr("id AS k", "2 AS at"), f"{folder}/out/changes", 3)
+    assert flows.compact(spark, f"{folder}/out", ["k"], newest()).where("at = 2").count() == 10
+    assert flows.compact(spark, f"{folder}/out", ["k"], newest()).count() == 150
+
+
+def test_counters_of_many_batches_all_arrive(spark, folder):
+    spark.range(30).repartition(30).write.parquet(f"{folder}/in")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        stream = flows.stream_source(spark, f"{folder}/in", spark.range(1).schema, "*.parquet", files_per_batch=2)
+        seen = flows.run_with_metrics(stream, lambda d: d, [], f"{folder}/o", f"{folder}/c", "many")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert len(seen) > 5 and sum(b["rows_seen"] for b in seen) == 30
 
 
 def test_stream_metrics_add_up(spark, catalog, folder):
