@@ -35,27 +35,35 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray]):
         held = [np.unique(d, return_counts=True) for d in docs]
-        self.terms = [h[0] for h in held]
-        sizes = np.array([len(d) for d in docs], float)
-        term = np.concatenate(self.terms)
-        owner = np.repeat(np.arange(len(docs)), [len(t) for t in self.terms])
+        sizes, self.ends = np.array([len(d) for d in docs], float), np.cumsum([0, *(len(h[0]) for h in held)])
+        term = np.concatenate([h[0] for h in held])
+        owner = np.repeat(np.arange(len(docs)), np.diff(self.ends))
         tf = np.concatenate([h[1] for h in held]).astype(float)
         order = np.argsort(term, kind="stable")
         self.owner = owner[order]
         self.vocabulary, self.begin, df = np.unique(term[order], return_index=True, return_counts=True)
         self.size = df
+        self.number = np.empty(len(term), np.int64)  # of each document's terms in the vocabulary
+        self.number[order] = np.repeat(np.arange(len(df)), df)
         idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / sizes.mean())
         tf = tf[order]
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.owner])
 
-    def scores(self, terms: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.vocabulary, terms)
-        at = at[at < len(self.vocabulary)]
-        at = at[np.isin(self.vocabulary[at], terms)]
+    def like(self, doc: int) -> np.ndarray:
+        """Score of every document for the terms of one of them."""
+        return self._scores(self.number[self.ends[doc] : self.ends[doc + 1]])
+
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """Score of every document for any ids."""
+        terms = np.unique(ids)
+        at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
+        return self._scores(at[self.vocabulary[at] == terms])
+
+    def _scores(self, at: np.ndarray) -> np.ndarray:
         size, n = self.size[at], int(self.size[at].sum())
         place = np.repeat(self.begin[at] - np.cumsum(size) + size, size) + np.arange(n)
-        return np.bincount(self.owner[place], self.weight[place], minlength=len(self.terms))
+        return np.bincount(self.owner[place], self.weight[place], minlength=len(self.ends) - 1)
 
 
 class Packer:
@@ -92,12 +100,9 @@ class Packer:
         if not docs:
             return
         shard, used, next_one = Shard([d[1] for d in docs]), np.zeros(len(docs), bool), 0
-        seed = self.open[-1][0][1] if self.open else None
-        scores = None
+        # Scores of the window's seed; the first may come from the block before.
+        scores = shard.scores(self.open[-1][0][1]) if self.open else None
         for _ in docs:
-            if scores is None and seed is not None:
-                scores = shard.scores(np.unique(seed))
-                scores[used] = -1.0
             pick = int(scores.argmax()) if scores is not None else -1
             if pick < 0 or scores[pick] <= 0:
                 while used[next_one]:
@@ -109,8 +114,9 @@ class Packer:
             fresh = not self.open
             if self.add(docs[pick]) or fresh:
                 # The rest of the cut document, or the document that opened a window, is the seed.
-                seed = docs[pick][1] if self.open else None
-                scores = None
+                scores = shard.like(pick) if self.open else None
+                if scores is not None:
+                    scores[used] = -1.0
 
     def finish(self) -> None:
         pieces, left = self.open, self.filled

@@ -30,7 +30,7 @@ class Encoder:
     library whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import json
 
@@ -41,6 +41,14 @@ class Encoder:
         self.whole, self.most, self.cache = Tokenizer.from_file(path), most, {}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.pattern = _word_pattern(spec)
+        # Cut words of plain text are normalised already.
+        self.parts = Tokenizer.from_str(json.dumps({**spec, "normalizer": None}))
+        # Every cut of such a file ends with a token of this kind, and no other token has it.
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[k for w, k in vocabulary.items() if w.endswith(suffix)]] = True
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids without special tokens, unsigned 32-bit little-endian; none for a null text."""
@@ -59,14 +67,25 @@ class Encoder:
         if len(self.cache) > self.most:
             self.cache.clear()
         new = list(set().union(*found.values()).difference(self.cache))
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            self.cache.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(part, add_special_tokens=False))))
+        for k in range(0, len(new), 20_000):
+            self._learn(new[k : k + 20_000])
         for i, words in found.items():
             out[i] = np.frombuffer(b"".join(map(self.cache.__getitem__, words)), "<u4")
         return out
 
 
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of ``words``, encoded as lines and taken apart at the word ends."""
+        lines = [" ".join(words[k : k + 64]) for k in range(0, len(words), 64)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.parts.encode_batch_fast(lines, add_special_tokens=False)])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.cache.update(zip(words, (raw[a:b] for a, b in zip(at, at[1:]))))
+        else:  # no such ends: one by one
+            self.cache.update((w, np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in words)
+
+
 def _word_pattern(spec: dict) -> re.Pattern | None:
     """The file's cutting pattern for lower-cased Latin-1 text, or None if it works otherwise."""
     steps = (spec.get("normalizer") or {}).get("normalizers") or []
