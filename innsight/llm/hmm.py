@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from innsight.llm.text import WORD, ascii_lower, slices
 from innsight.sources.storage import materialize
 
-STATES, FREQUENT, ENDINGS, ROUNDS, PIECE = 6, 256, 255, 4, 128
+STATES, FREQUENT, ENDINGS, ROUNDS, PIECE = 4, 256, 255, 3, 128
 END = "\n"  # no word holds white space
 CLASSES = ENDINGS + 1 + FREQUENT  # endings, the end token, frequent tokens
 _META = np.dtype([("doc_id", "<i8"), ("known", "?"), ("out", "?"), ("tokens", "<i8")])

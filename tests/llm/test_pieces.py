@@ -22,6 +22,14 @@ def test_every_id_equals_the_library():
     assert [d == t for d, t in zip(decoded, texts)] == ["▁" not in t for t in texts]
 
 
+def test_parity_is_seen_to_fail():
+    known = pieces.Backend(pieces.default_path(), verify=True)
+    ids = known.encode(["plain words here"])
+    assert known.agrees("plain words here", ids[0])
+    known.wrong.add("▁words")
+    assert not known.agrees("plain words here", ids[0]) and known.agrees("plain", ids[0])
+
+
 def message(*fields):
     out = b""
     for number, value in fields:
