@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from innsight.operators.keys import dedup_latest, surrogate_key, upsert
@@ -13,8 +13,9 @@ from innsight.operators.ordered import neighbour
 VERSION_COLUMNS = ("effective_from", "effective_to", "is_current")
 
 
-def _digest(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns])
+def _state(columns: Sequence[str]) -> Column:
+    """The compared attributes as one value; ``<=>`` on it takes two NULLs as equal."""
+    return F.struct(*[F.col(c) for c in columns])
 
 
 def initial_versions(df: DataFrame, key: str, effective_from: Column, key_name: str) -> DataFrame:
@@ -55,11 +56,11 @@ def scd2_apply(
         key,
         F.struct(*[F.col(c) for c in attributes]).alias("_new"),
         F.col(effective_from).alias("_since"),
-        _digest(tracked).alias("_hash"),
+        _state(tracked).alias("_state"),
     )
     joined = current.join(incoming, key, "left").withColumn(
         "_changed",
-        F.coalesce((F.col("_hash") != _digest(tracked)) & (F.col("_since") > F.col("effective_from")), F.lit(False)),
+        F.coalesce(~F.col("_state").eqNullSafe(_state(tracked)) & (F.col("_since") > F.col("effective_from")), F.lit(False)),
     )
     stay = joined.select(
         *[
@@ -84,26 +85,28 @@ def scd2_apply(
 
 
 def scd2_history(
-    changes: DataFrame, key: str, changed_at: str, tracked: Sequence[str], tie_break: Sequence[Column], grain: str = "month"
+    changes: DataFrame, key: str, changed_at: str, tracked: Sequence[str], tie_break: Sequence[Column], grain: str | None = None
 ) -> DataFrame:
     """Full version history from a change log, in any arrival order.
 
     The last change of a (key, time) wins, repeats of the same attributes are
-    dropped, and every version ends where the next begins.
+    dropped, and every version ends where the next begins. A log by date holds at most one
+    row per key and day, so one window per key serves both steps; a log by finer time
+    takes ``grain``, and a key is then windowed period by period.
     """
     tracked = list(tracked)
-    log = dedup_latest(changes, [key, changed_at], list(tie_break)).select(key, changed_at, *tracked)
-    log = log.withColumn("_hash", _digest(tracked))
-    period = F.date_trunc(grain, F.col(changed_at)).cast("date")
-    marked = neighbour(log, [key], [changed_at], ["_hash"], period, step=-1, into="_before")
-    kept = marked.where(F.col("_before").isNull() | (F.col("_before._hash") != F.col("_hash"))).drop("_before", "_hash")
-    timed = neighbour(kept, [key], [changed_at], [changed_at], period, step=1, into="_after")
+    log = dedup_latest(changes, [key, changed_at], list(tie_break)).select(key, changed_at, *tracked).withColumn("_state", _state(tracked))
+    if grain is None:
+        along = Window.partitionBy(key).orderBy(changed_at)
+        kept = log.withColumn("_before", F.lag("_state").over(along)).where(~F.col("_before").eqNullSafe(F.col("_state")))
+        timed = kept.withColumn("_until", F.lead(changed_at).over(along))
+    else:
+        period = F.date_trunc(grain, F.col(changed_at)).cast("date")
+        marked = neighbour(log, [key], [changed_at], ["_state"], period, step=-1, into="_before")
+        kept = marked.where(~F.col("_before._state").eqNullSafe(F.col("_state"))).drop("_before", "_state")
+        timed = neighbour(kept, [key], [changed_at], [changed_at], period, step=1, into="_after").withColumn("_until", F.col(f"_after.{changed_at}"))
     return timed.select(
-        key,
-        *tracked,
-        F.col(changed_at).alias("effective_from"),
-        F.col(f"_after.{changed_at}").alias("effective_to"),
-        F.col("_after").isNull().alias("is_current"),
+        key, *tracked, F.col(changed_at).alias("effective_from"), F.col("_until").alias("effective_to"), F.col("_until").isNull().alias("is_current"),
     )
 
 

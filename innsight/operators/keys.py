@@ -31,23 +31,18 @@ def upsert(
     """Target after inserting new keys and updating matched ones.
 
     ``update`` names the columns a match overwrites (default: all). The source must
-    hold one row per key. A small batch is broadcast by Spark in all three joins, so
-    the large target is neither shuffled nor sorted; a large batch becomes ordinary
-    key-partitioned joins.
+    hold one row per key. Both sides are read once, in one full outer join; rows with a
+    null key match nothing.
     """
     keys = list(keys)
     columns = target.columns
     overwrite = set(columns if update is None else update) - set(keys)
-    incoming = source.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_new"))
-    matched = target.join(incoming, keys, "left").select(
-        *[
-            (F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)) if c in overwrite else F.col(c)).alias(c)
-            for c in columns
-        ]
-    )
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    inserted = source.select(*columns).join(known, keys, "left_anti")
-    return matched.unionByName(inserted.select(*columns))
+    packed = lambda df, name: df.select(*keys, F.struct(*[F.col(c) for c in columns]).alias(name))
+    both = packed(target, "_old").join(packed(source, "_new"), keys, "full_outer")
+    known, fresh = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    return both.select(*[
+        F.when(fresh & ~known if c not in overwrite else fresh, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c in columns
+    ])
 
 
 def grain_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:

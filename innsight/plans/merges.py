@@ -5,23 +5,35 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from innsight.operators.history import scd2_apply
 from innsight.operators.keys import upsert, validate_grain
 from innsight.sources.storage import materialize, swap_in, write_table
 
+MONTH = "part_month"
+
 
 @dataclass(frozen=True)
 class Target:
-    """Key of a stored table and the columns a match overwrites (None: all)."""
+    """Key of a stored table and the columns a match overwrites (None: all); a table with a date is stored by month."""
 
     keys: tuple[str, ...]
     update: tuple[str, ...] | None = None
     cluster_by: tuple[str, ...] = ()
 
 
-# Merge keys and updated columns per table. Versioned dimensions go
-# through ``scd2_apply`` instead.
+@dataclass(frozen=True)
+class Versioned:
+    """Key, version key and compared attributes of a stored type 2 dimension."""
+
+    key: str
+    key_name: str
+    tracked: tuple[str, ...]
+
+
+# Merge keys and updated columns per table.
 TARGETS = {
     "dim_destination": Target(("destination_id",)),
     "dim_weather_location": Target(("locationKey",)),
@@ -52,22 +64,79 @@ TARGETS = {
 }
 
 
+VERSIONED = {
+    "dim_user": Versioned("user_id", "user_key", ("country", "user_type", "is_business")),
+    "dim_host": Versioned("host_id", "host_key", ("is_verified", "is_active", "rating")),
+    "dim_property": Versioned("property_id", "property_key", ("base_price", "property_type", "host_id")),
+}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _by_month(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(MONTH, F.coalesce(F.date_format(column, "yyyy-MM"), F.lit("none")))
+
+
 def merge_table(source: DataFrame, path: str, name: str) -> DataFrame:
     """Merge ``source`` into the table at ``path`` and return the stored result.
 
     The source is written once; its grain is checked on the written rows, so a broken
-    grain raises before the target is touched. The merged table is staged beside the
-    target and swapped in. Merging the same rows again changes nothing.
+    grain raises before the target is touched. Merging the same rows again changes nothing.
+
+    A table with a date is stored by month. Only months that hold a row of the source, or
+    a stored row that one of its keys matches, are read, merged, staged and then
+    replaced, so a batch costs its months, whatever the size of the table. A
+    table without a date is staged beside the target and swapped in.
     """
     spark, target = source.sparkSession, TARGETS[name]
     incoming = validate_grain(materialize(source, f"merge-{name}"), target.keys)
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return write_table(incoming, path, target.cluster_by)
+    stored = _stored(spark, path)
+    if not target.cluster_by:
+        if stored is None:
+            return write_table(incoming, path)
+        staged = f"{path.rstrip('/')}-staged"
+        write_table(upsert(stored, incoming, target.keys, target.update), staged)
+        swap_in(spark, staged, path)
+        return spark.read.schema(stored.schema).parquet(path)
+
+    day, keys = target.cluster_by[0], list(target.keys)
+    columns = incoming.columns if stored is None else [c for c in stored.columns if c != MONTH]
+    dated = _by_month(incoming, day)
+    if stored is None:
+        merged = dated
+    else:
+        stored = stored.withColumn(MONTH, F.col(MONTH).cast("string"))
+        # Months, so their number is that of the calendar.
+        touched = dated.select(MONTH).union(stored.select(*keys, MONTH).join(incoming.select(*keys), keys, "left_semi").select(MONTH)).distinct()
+        months = [r[0] for r in touched.collect()]
+        merged = _by_month(upsert(stored.where(F.col(MONTH).isin(months)).select(*columns), incoming, target.keys, target.update), day)
+        merged = materialize(merged, f"merged-{name}")
+    out = merged.select(*columns, MONTH).hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *target.cluster_by)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path).select(*columns)
+
+
+def merge_versions(source: DataFrame, path: str, name: str, since: str) -> DataFrame:
+    """Merge a change batch into the stored type 2 dimension at ``path`` and return the stored result.
+
+    ``source`` holds one row per key with the dimension's attributes and its change time
+    ``since``; the grain is checked before the target is touched. The first batch must be the
+    dimension itself, versions included. Applying a batch twice changes nothing.
+    """
+    spark, target = source.sparkSession, VERSIONED[name]
+    incoming = validate_grain(materialize(source, f"merge-{name}"), [target.key])
+    stored = _stored(spark, path)
+    if stored is None:
+        return write_table(incoming, path)
     staged = f"{path.rstrip('/')}-staged"
-    write_table(upsert(stored, incoming, target.keys, target.update), staged, target.cluster_by)
+    write_table(scd2_apply(stored, incoming, target.key, target.tracked, target.key_name, since), staged)
     swap_in(spark, staged, path)
     return spark.read.schema(stored.schema).parquet(path)

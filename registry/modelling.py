@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from innsight.functions.shared import current
 from innsight.operators import history, keys, ordered
 from innsight.plans import gold
-from innsight.plans.merges import merge_table
+from innsight.plans.merges import merge_table, merge_versions
 from innsight.sources.storage import materialize, scratch_path
 from oracle.base import AS_OF, add_view, big, dbl, with_views
 
@@ -95,20 +95,29 @@ ORACLE["scd1_destination"] = with_views("""SELECT md5(CAST(destination_id AS VAR
 CHANGE_DAY = "2001-09-01"
 
 
-def _versions(dim, key, tracked, key_name, edits, new_rows):
-    """Apply a change batch, store the dimension, apply it again: the second run must change nothing."""
+def _versions(dim, key, tracked, key_name, edits, new_rows, stored=None):
+    """Apply a change batch, store the dimension, apply it again: the second run must change nothing.
+
+    ``stored`` names the dimension for a merge into a stored table instead.
+    """
     base = dim.drop(key_name, "effective_from", "effective_to", "is_current")
     batch = base.withColumns(edits).unionByName(new_rows(base)).withColumn("since", F.lit(CHANGE_DAY).cast("date"))
+    if stored:
+        path = scratch_path(dim.sparkSession, f"merged-{stored}")
+        merge_versions(dim, path, stored, "since")
+        for _ in range(2):
+            out = merge_versions(batch, path, stored, "since")
+        return out
     once = materialize(history.scd2_apply(dim, batch, key, tracked, key_name, "since"), key_name)
     return history.scd2_apply(once, batch, key, tracked, key_name, "since")
 
 
-def _scd2_user(cat):
+def _scd2_user(cat, stored=None):
     dim = cat.table("dim_user")
     out = _versions(
         dim, "user_id", ["country", "user_type", "is_business"], "user_key",
         {"user_type": F.when(F.col("user_id") % 10 == 0, "vip").otherwise(F.col("user_type")), "name": F.upper("name")},
-        lambda b: b.where("user_id < 5").withColumn("user_id", F.col("user_id") + 10_000_000),
+        lambda b: b.where("user_id < 5").withColumn("user_id", F.col("user_id") + 10_000_000), stored,
     )
     return out.select("user_key", "user_id", "name", "user_type", "effective_from", "effective_to", "is_current")
 
@@ -128,11 +137,11 @@ ORACLE["scd2_user"] = with_views("SELECT version_key AS user_key, * EXCLUDE (ver
     "dim_user", "user_id", ["name", "user_type"], "user_id % 10 = 0", {"name": "upper(name)", "user_type": "'vip'"}, "user_id < 5") + ")")
 
 
-def _scd2_host(cat):
+def _scd2_host(cat, stored=None):
     out = _versions(
         cat.table("dim_host"), "host_id", ["is_verified", "is_active", "rating"], "host_key",
         {"is_verified": F.col("is_verified") | (F.col("host_id") % 3 == 0)},
-        lambda b: b.where("host_id < 2").withColumn("host_id", F.col("host_id") + 10_000_000),
+        lambda b: b.where("host_id < 2").withColumn("host_id", F.col("host_id") + 10_000_000), stored,
     )
     return out.select("host_key", "host_id", "is_verified", "rating", "effective_from", "effective_to", "is_current")
 
@@ -142,11 +151,11 @@ ORACLE["scd2_host"] = with_views("SELECT version_key AS host_key, * EXCLUDE (ver
     "dim_host", "host_id", ["is_verified", "rating"], "host_id % 3 = 0", {"is_verified": "TRUE"}, "host_id < 2") + ")")
 
 
-def _scd2_property(cat):
+def _scd2_property(cat, stored=None):
     out = _versions(
         cat.table("dim_property"), "property_id", ["base_price", "property_type", "host_id"], "property_key",
         {"base_price": F.when(F.col("property_id") % 4 == 1, (F.col("base_price") + 10).cast("decimal(18,2)")).otherwise(F.col("base_price"))},
-        lambda b: b.where("property_id BETWEEN 1 AND 3").withColumn("property_id", F.col("property_id") + 10_000_000),
+        lambda b: b.where("property_id BETWEEN 1 AND 3").withColumn("property_id", F.col("property_id") + 10_000_000), stored,
     )
     return out.select("property_key", "property_id", "base_price", "effective_from", "effective_to", "is_current")
 
@@ -156,6 +165,37 @@ ORACLE["scd2_property"] = with_views("SELECT version_key AS property_key, * EXCL
     "dim_property", "property_id", ["base_price"], "property_id % 4 = 1", {"base_price": "base_price + 10"}, "property_id BETWEEN 1 AND 3") + ")")
 
 
+for _name, _build in (("user", _scd2_user), ("host", _scd2_host), ("property", _scd2_property)):
+    QUERIES[f"merge_dim_{_name}"] = lambda c, b=_build, n=_name: b(c, f"dim_{n}")
+    ORACLE[f"merge_dim_{_name}"] = ORACLE[f"scd2_{_name}"]
+
+
+def _merge_twice(cat, name, early, columns):
+    """A part of the table with changed values, then merged twice with the whole table."""
+    table, path = cat.table(name), scratch_path(cat.spark, f"merged-{name}")
+    merge_table(early(table), path, name)
+    for _ in range(2):
+        out = merge_table(table, path, name)
+    return out.select(*columns)
+
+
+QUERIES["merge_dim_destination"] = lambda c: _merge_twice(
+    c, "dim_destination", lambda t: t.where("destination_id < 9").withColumn("description", F.lit("old")), ["destination_id", "destination", "country", "description"])
+ORACLE["merge_dim_destination"] = with_views("SELECT destination_id, destination, country, description FROM src_destinations")
+QUERIES["merge_dim_weather_location"] = lambda c: _merge_twice(
+    c, "dim_weather_location", lambda t: t.where("locationKey < 'L2'").withColumn("localizedName", F.lit("old")), ["locationKey", "localizedName"])
+ORACLE["merge_dim_weather_location"] = "SELECT 'L' || n_nationkey AS \"locationKey\", n_name AS \"localizedName\" FROM nation"
+QUERIES["merge_fact_property_engagement"] = lambda c: _merge_twice(
+    c, "fact_property_engagement", lambda t: t.where("property_id % 3 = 0").withColumn("view_count", F.lit(-1).cast("long")),
+    ["property_id", "engagement_date", "view_count", "unique_user_views", "click_count", "search_count"])
+ORACLE["merge_fact_property_engagement"] = with_views(
+    f"SELECT property_id, engagement_date, {', '.join(f'{big(x)} AS {x}' for x in ('view_count', 'unique_user_views', 'click_count', 'search_count'))} FROM fact_property_engagement")
+QUERIES["merge_fact_weather_daily"] = lambda c: _merge_twice(
+    c, "fact_weather_daily", lambda t: t.where("hoursOfSun > 3").withColumn("temperatureMin", F.lit(-99.0)), ["locationKey", "date", "temperatureMin", "temperatureMax", "is_precipitation_expected"])
+ORACLE["merge_fact_weather_daily"] = with_views(
+    'SELECT "locationKey", date, "temperatureMin", "temperatureMax", is_precipitation_expected FROM fact_weather_daily')
+
+
 def history_sql(source: str, key: str, tracked: list[str]) -> str:
     same = " AND ".join(f"p_{c} IS NOT DISTINCT FROM {c}" for c in tracked)
     lags = ", ".join(f"lag({c}) OVER w AS p_{c}" for c in tracked)

@@ -28,3 +28,35 @@ def test_broken_grain_leaves_the_target_alone(spark, folder):
     with pytest.raises(GrainError):
         merge_table(facts(spark, [(2, "x", 1, "a", None, None, False)] * 2), path, "fact_booking_detail")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_only_touched_months_are_rewritten(spark, folder):
+    import glob
+    import os
+
+    path = f"{folder}/fact"
+    rows = facts(spark, [(k, "confirmed", 2, "a", None, None, False) for k in range(6)]).withColumn("check_in_date", F.expr("add_months(DATE'2000-01-15', cast(booking_id % 3 as int))"))
+    merge_table(rows, path, "fact_booking_detail")
+    before = {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{path}/part_month=*/*.parquet")}
+    # The changed row now names another month; its stored month is the one to rewrite, and the named one is looked at.
+    change = facts(spark, [(1, "cancelled", 9, "b", None, None, True)]).withColumn("check_in_date", F.lit("2000-01-20").cast("date"))
+    got = merge_table(change, path, "fact_booking_detail")
+    assert sorted((r.booking_id, r.status) for r in got.collect()) == [(k, "cancelled" if k == 1 else "confirmed") for k in range(6)]
+    after = set(glob.glob(f"{path}/part_month=*/*.parquet"))
+    assert {p.split("part_month=")[1][:7] for p in before if p in after} == {"2000-03"}
+
+
+def test_versions_merge_once_and_check_their_grain(spark, folder):
+    from innsight.operators.history import initial_versions
+    from innsight.plans.merges import merge_versions
+
+    base = spark.createDataFrame([(1, "rome", "a", False), (2, None, "b", True)], "user_id int, country string, user_type string, is_business boolean")
+    path = f"{folder}/dim_user"
+    merge_versions(initial_versions(base, "user_id", F.lit("2000-01-01").cast("date"), "user_key"), path, "dim_user", "since")
+    batch = base.withColumn("country", F.lit("oslo")).withColumn("since", F.lit("2000-05-01").cast("date"))
+    for _ in range(2):
+        got = merge_versions(batch, path, "dim_user", "since")
+    assert got.count() == 4 and got.where("is_current").count() == 2
+    with pytest.raises(GrainError):
+        merge_versions(batch.union(batch), path, "dim_user", "since")
+    assert spark.read.parquet(path).count() == 4
