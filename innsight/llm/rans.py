@@ -34,7 +34,7 @@ from innsight.llm.text import slices
 from innsight.llm.tokens import closed, crc, default_path, encoder
 from innsight.sources.storage import materialize, scratch_path
 
-BITS, LANES, EVERY, BLOCK_TOKENS = 20, 512, 512, 1_000_000
+BITS, LANES, EVERY, BLOCK_TOKENS = 20, 2048, 256, 1_000_000
 LOW = np.uint64(1 << 31)
 MAGIC = b"RNS1"
 HEADER = np.dtype([("magic", "S4"), ("lanes", "<u4"), ("bits", "<u4"), ("every", "<u4"), ("docs", "<u8"), ("tokens", "<u8"), ("words", "<u8"), ("checkpoints", "<u8"), ("ids_crc32", "<u4"), ("rest_crc32", "<u4")])
