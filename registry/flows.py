@@ -193,3 +193,52 @@ for _name in ("demand", "conversion", "pricing", "ltv"):
 QUERIES["scored_pricing_summary"] = lambda c: pf.get_pricing_recommendations(score(c, "pricing"))
 QUERIES["forecast_revenue"] = lambda c: training.forecast_revenue(learning.revenue_series(c), 90)
 QUERIES["forecast_backtest"] = lambda c: training.forecast_backtest(learning.revenue_series(c))
+
+
+# --- what SQL can say about trained models: which keys are scored, and how -------------------------------
+def scored_keys(c, name, keys, value, low, high=None):
+    """Keys of a scored table, and whether each value lies in its range."""
+    v = F.col(value)
+    fits = v.isNotNull() & ~F.isnan(v) & (v >= low) & (F.lit(True) if high is None else v <= high)
+    return score(c, name).select(*keys, "model_name", "scoring_date", fits.alias("value_fits"))
+
+
+LOWEST = -1e12
+for _name, _keys, _value, _low, _high, _sql in (
+    ("demand", ["property_id", "destination_id", "check_in_date"], "predicted_bookings", LOWEST, None,
+     "SELECT DISTINCT f.property_id, p.destination_id, check_in_date, 'demand_predictor' AS model_name FROM fact_booking_daily f JOIN dim_property p ON p.property_id = f.property_id JOIN dim_destination d ON d.destination_id = p.destination_id"),
+    ("conversion", ["property_id", "engagement_date"], "conversion_probability", 0.0, 1.0,
+     "SELECT property_id, engagement_date, 'conversion_predictor' AS model_name FROM l_conversion"),
+    ("pricing", ["property_id", "month", "quarter", "is_peak_season"], "recommended_price", LOWEST, None,
+     "SELECT property_id, CAST(month AS DOUBLE) AS month, CAST(quarter AS DOUBLE) AS quarter, CAST(is_peak_season AS DOUBLE) AS is_peak_season, 'pricing_optimizer' AS model_name FROM p_pricing"),
+    ("ltv", ["user_id"], "predicted_ltv_12m", LOWEST, None, "SELECT user_id, 'customer_ltv_predictor' AS model_name FROM dim_user"),
+):
+    QUERIES[f"scored_keys_{_name}"] = lambda c, a=(_name, _keys, _value, _low, _high): scored_keys(c, *a)
+    ORACLE[f"scored_keys_{_name}"] = with_views(f"SELECT *, DATE '{AS_OF}' AS scoring_date, TRUE AS value_fits FROM ({_sql})")
+
+QUERIES["scored_ltv_segments"] = lambda c: score(c, "ltv").select(
+    "user_id", (F.col("ltv_segment") == F.expr("CASE WHEN predicted_ltv_12m >= 2500 THEN 'VIP' WHEN predicted_ltv_12m >= 1000 THEN 'High' WHEN predicted_ltv_12m >= 500 THEN 'Medium' ELSE 'Low' END")).alias("segment_fits"))
+ORACLE["scored_ltv_segments"] = with_views("SELECT user_id, TRUE AS segment_fits FROM dim_user")
+QUERIES["forecast_days"] = lambda c: training.forecast_revenue(learning.revenue_series(c), 90).select(
+    "ds", ((F.col("yhat") > 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("band_fits"))
+ORACLE["forecast_days"] = with_views("SELECT last + CAST(k AS INTEGER) AS ds, TRUE AS band_fits FROM (SELECT max(check_in_date) AS last FROM fact_booking_daily), (SELECT unnest(range(1, 91)) AS k)")
+
+# --- prediction reports over model output -----------------------------------------------------------------
+_TYPED = ["property_id", "property_type"]
+QUERIES["scored_demand_summary"] = lambda c: pf.get_demand_predictions(score(c, "demand").join(c.table("dim_property").select(*_TYPED), "property_id"))
+QUERIES["scored_conversion_summary"] = lambda c: pf.get_conversion_predictions(score(c, "conversion"))
+QUERIES["scored_ltv_summary"] = lambda c: pf.get_customer_ltv_predictions(score(c, "ltv"))
+QUERIES["scored_vip_customers"] = lambda c: pf.get_vip_customers(score(c, "ltv"))
+QUERIES["scored_high_demand"] = lambda c: pf.get_high_demand_properties(score(c, "demand").join(c.table("dim_property").select(*_TYPED), "property_id"), 100)
+
+
+def _regional_errors(c):
+    """Error of the demand model by destination, over the validation rows."""
+    trained, held = demand_model(c)
+    scored = training.predict(trained, held, training.DEMAND)
+    error = F.col("prediction") - F.col(training.DEMAND.label)
+    return scored.groupBy("destination").agg(
+        F.count(F.lit(1)).alias("rows"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"), F.avg(error).alias("bias"))
+
+
+QUERIES["demand_regional_errors"] = _regional_errors
