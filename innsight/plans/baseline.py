@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from innsight.functions.shared import current, mean, ratio
 from innsight.plans.features import encode, is_peak
 
-LTV_MULTIPLE = 1.5  # fixed value: rough proxy of 12-month value from spend so far
+LTV_MULTIPLE = 1.5  # fixed value: a year is worth one and a half times the spend up to now
 
 
 def ltv_segment(value: Column) -> Column:

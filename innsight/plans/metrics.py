@@ -152,17 +152,17 @@ class MetricView:
             text = f.expr.format(**params)
             for c in f.columns:
                 text = re.sub(rf"\b{c}\b", f"{f.of}.{c}", text)
-            return F.expr(text).alias(f"_d_{f.name}")
+            return F.expr(text).alias(f.name)
 
+        # Only dimensions are columns of their own here, so a condition can name nothing else.
         flat = reduced.select(
-            *[dimension(f) for f in fields], *[F.col(f"source.{p}").alias(p) for p in summed],
-            *[F.col(f"source.{c}").alias(f"_once_{p}") for p, c in once_parts.items()],
+            *[dimension(f) for f in fields], F.struct(F.lit(1).alias("_"), *[F.col(f"source.{p}").alias(p) for p in summed]).alias("_parts"),
+            F.struct(F.lit(1).alias("_"), *[F.col(f"source.{c}").alias(p) for p, c in once_parts.items()]).alias("_once"),
         )
-        rename = lambda text: re.sub(r"\b(" + "|".join(needed) + r")\b", r"_d_\1", text) if needed else text
         if where:
-            flat = flat.where(rename(where))
-        grouped = flat.groupBy(*[F.expr(rename(text)).alias(alias) for alias, text in outputs]).agg(
-            *[F.sum(p).alias(p) for p in summed], *[F.countDistinct(f"_once_{p}").alias(p) for p in once_parts],
+            flat = flat.where(where)
+        grouped = flat.groupBy(*[F.expr(text).alias(alias) for alias, text in outputs]).agg(
+            *[F.sum(f"_parts.{p}").alias(p) for p in summed], *[F.countDistinct(f"_once.{p}").alias(p) for p in once_parts],
             F.count(F.lit(1)).alias("_groups"),
         )
         out = grouped.select(

@@ -388,8 +388,8 @@ QUERIES["quarantine_top_reasons"] = lambda cat: quality_reports.top_reasons(
     cat.quarantined("bookings").select("quarantine_reason").unionByName(cat.quarantined("payments").select("quarantine_reason")))
 ORACLE["quarantine_top_reasons"] = with_views(f"""SELECT quarantine_reason, count(*) AS failure_count,
     CAST(count(*) * 100.0 / sum(count(*)) OVER () AS DOUBLE) AS failure_share,
-    CASE WHEN quarantine_reason LIKE '%Missing%' THEN 'Check if upstream Bronze data is incomplete' WHEN quarantine_reason LIKE '%Invalid%'
-    THEN 'Review data type constraints and value ranges' ELSE 'Review the corresponding rule' END AS advice
+    CASE WHEN quarantine_reason LIKE '%Missing%' THEN 'A required value never arrived: look at the landed rows' WHEN quarantine_reason LIKE '%Invalid%'
+    THEN 'A value is out of bounds: look at its type and limits' ELSE 'Review the corresponding rule' END AS advice
     FROM (SELECT {_BOOKING_REASON} AS quarantine_reason FROM {_BAD_BOOKINGS} UNION ALL SELECT {_PAYMENT_REASON} FROM {_BAD_PAYMENTS})
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 

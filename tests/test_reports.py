@@ -195,3 +195,10 @@ def test_trees_take_many_categories(spark):
     model = training.train(rows, spec)
     assert training.predict(model, rows, spec).count() == 400
     assert len(training.feature_importance(model, spec)) == len(names)
+
+
+def test_a_condition_keeps_its_literals(catalog):
+    name = metrics.REVENUE.measures[0].name
+    rows = metrics.REVENUE.query(catalog.table, ["destination"], [name], where="destination <> 'destination'")
+    assert rows.count() == metrics.REVENUE.query(catalog.table, ["destination"], [name]).where("destination IS NOT NULL").count()
+    assert metrics.REVENUE.query(catalog.table, ["destination"], [name], where="destination = 'destination'").count() == 0
