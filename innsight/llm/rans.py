@@ -223,7 +223,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, doc_i
     ids = materialize(own.mapInArrow(run, schema), "rans-ids")
     # One row for each id of the vocabulary at most.
     counted = ids.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    counted.coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
+    counted.write.mode("overwrite").parquet(f"{path}/table")
     run, schema = _blocks(read_table(spark, path), block_tokens)
     ordered = ids.repartitionByRange("doc_id", "ids_crc32").sortWithinPartitions("doc_id", "ids_crc32")
     ordered.select("doc_id", "ids").mapInArrow(run, schema).write.mode("overwrite").parquet(f"{path}/blocks")
