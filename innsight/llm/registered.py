@@ -97,7 +97,7 @@ def _url_sql() -> str:
     return rf"""
     WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
     a AS (SELECT page_id, url, {name} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
-        list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'), x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|gclid|fbclid|ref)(=|$)')) AS kept FROM p),
+        list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|gclid|fbclid|ref)(=|$)')) AS kept FROM p),
     c AS (SELECT page_id, host, path, regexp_replace(regexp_replace(host, '^.*@', ''), '\.?(:[0-9]*)?$', '') || CASE WHEN path = '' THEN '/' ELSE path END
         || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical FROM a),
     j AS (SELECT *, CASE {rules} END AS r, CASE {globs} ELSE {{'glob': NULL, 'verdict': '{urls.DEFAULT}'}} END AS g FROM c)
