@@ -37,6 +37,12 @@ def clear_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete an intermediate table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Overwrite ``path`` and read it back.
 

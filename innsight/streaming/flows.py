@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from innsight.operators.keys import dedup_latest
 from innsight.operators.quality import Rule, keep_valid, observe_warnings, quarantine, warnings
-from innsight.sources.storage import write_table
+from innsight.sources.storage import remove, write_table
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -84,11 +84,6 @@ def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}="))
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def current_rows(spark: SparkSession, target: str, keys: Sequence[str], newest_first: list[Column]) -> DataFrame:
     """Newest row per key; a late row with an older order value does not win.
 
@@ -116,10 +111,10 @@ def compact(spark: SparkSession, target: str, keys: Sequence[str], newest_first:
         rows = current_rows(spark, target, keys, newest_first).withColumn("batch_id", F.lit(fresh[-1]).cast("long"))
         write_table(rows, f"{target}/base/upto={fresh[-1]}")
         for b in bases:
-            _remove(spark, f"{target}/base/upto={b}")
+            remove(spark, f"{target}/base/upto={b}")
         for b in batches:
             if b <= fresh[-1]:
-                _remove(spark, f"{target}/changes/batch_id={b}")
+                remove(spark, f"{target}/changes/batch_id={b}")
     return current_rows(spark, target, keys, newest_first)
 
 
