@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 
 from innsight.llm.components import components
 from innsight.llm.text import WORD, ascii_lower, rolling, scrambled, slices
-from innsight.sources.storage import materialize
+from innsight.sources.storage import materialize, remove, scratch_path, write_table
 
 WORDS, PERCENT = 5, 75
 BLOCK = 512  # sets of a part
+MOST_BROADCAST = 500_000  # rows of an id and a fingerprint, about 30 MB; more are joined by a shuffle
 _HALF = np.uint64(1 << 63)
 _COMMON = 0xFFFF  # stands for a hash that several texts of one chunk hold
 _META = np.dtype([("doc_id", "<i8"), ("known", "?"), ("n", "<i8"), ("set_id", "V16")])
@@ -306,16 +307,20 @@ def jaccard_components(
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     run, schema = _chunks(n_words, buckets, chunk_chars)
-    chunks = own.mapInArrow(run, schema)
-    chunks = materialize(chunks, "jaccard-chunks")
+    at = scratch_path(spark, "jaccard-chunks")
+    chunks = write_table(own.mapInArrow(run, schema), at)
     lonely = chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_lonely, "chunk string, lonely binary")
     both = chunks.where("bucket < 0").select("chunk", "docs", F.lit(b"").alias("lonely")).union(lonely.select("chunk", F.lit(b"").alias("docs"), "lonely"))
     marks = both.groupBy("chunk").applyInPandas(_marks(percent), "doc_id long, n long, set_id binary, suspect boolean")
     marks = materialize(marks, "jaccard-marks")
+    remove(spark, at)  # the largest table here, and read for the last time
 
     groups = marks.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.max("suspect").alias("suspect"))
     groups = materialize(groups, "jaccard-groups")
     wanted = groups.where("suspect").select(F.col("first").alias("doc_id"), "set_id")
+    # Few sets are left as a rule; then the texts need not be shuffled to find theirs.
+    if wanted.count() <= MOST_BROADCAST:
+        wanted = F.broadcast(wanted)
     run, schema = _sets(n_words)
     sets = materialize(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
 
@@ -331,7 +336,7 @@ def jaccard_components(
     shared = materialize(shared.select("h", "key"), "jaccard-shared")
     weights = items.join(shared, "h").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("w"))
     lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c"))
-    lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").alias("weights"))
+    lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").cast("array<int>").alias("weights"))
     lists = materialize(lists, "jaccard-lists")
 
     run, schema = _leading(percent)

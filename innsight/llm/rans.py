@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from innsight.llm.text import slices
 from innsight.llm.tokens import closed, crc, default_path, encoder
-from innsight.sources.storage import materialize, scratch_path
+from innsight.sources.storage import remove, scratch_path, write_table
 
 BITS, LANES, EVERY, BLOCK_TOKENS = 20, 2048, 256, 1_000_000
 LOW = np.uint64(1 << 31)
@@ -220,13 +220,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, doc_i
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     run, schema = _encoded(tokenizer or default_path())
-    ids = materialize(own.mapInArrow(run, schema), "rans-ids")
+    at = scratch_path(spark, "rans-ids")
+    ids = write_table(own.mapInArrow(run, schema), at)
     # One row for each id of the vocabulary at most.
     counted = ids.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counted.write.mode("overwrite").parquet(f"{path}/table")
     run, schema = _blocks(read_table(spark, path), block_tokens)
     ordered = ids.repartitionByRange("doc_id", "ids_crc32").sortWithinPartitions("doc_id", "ids_crc32")
     ordered.select("doc_id", "ids").mapInArrow(run, schema).write.mode("overwrite").parquet(f"{path}/blocks")
+    remove(spark, at)
 
 
 def read_table(spark: SparkSession, path: str) -> Table:
