@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innsight.sources.storage import materialize
+from innsight.llm.tables import stored
 
 MOST_VECTORS, PARTS, NEIGHBOURS, HIDDEN, TARGET = 6000, 16, 10, 64, 0.97
 ROWS, QUERIES = 16_384, 2_048  # of a block
@@ -199,7 +199,7 @@ def search(
     router = fit_router(fitted, parts, k)
 
     index = own.where(F.size("vector") == dims).withColumn("order", _parts(router)(F.col("vector")))
-    index = materialize(index.withColumn("part", F.col("order")[0]), "ann-index")
+    index = stored(index.withColumn("part", F.col("order")[0]), "ann-index")
     # One row for each part.
     sizes = {r["part"]: (r["n"], r["q"]) for r in index.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("q")).collect()}
     held = F.create_map(*[F.lit(x) for p in range(router.w2.shape[1]) for x in (p, sizes.get(p, (0, 0))[0])])
@@ -208,7 +208,7 @@ def search(
         lambda a, p: F.when((a["visits"] < router.probes) | (a["rows"] <= k), F.struct((a["rows"] + held[p]).alias("rows"), (a["visits"] + 1).alias("visits"))).otherwise(a),
     )["visits"]
     asks = index.where("asks").select(F.col("vec_id").alias("query_id"), "vector", F.explode(F.slice("order", 1, enough)).alias("part"))
-    asks = materialize(asks, "ann-asks")
+    asks = stored(asks, "ann-asks")
     wanted = {r["part"]: r["q"] for r in asks.groupBy("part").agg(F.count(F.lit(1)).alias("q")).collect()}
     blocks = F.create_map(*[F.lit(x) for p in range(router.w2.shape[1]) for x in (p, max(1, -(-sizes.get(p, (0, 0))[0] // rows)))])
     asked = F.create_map(*[F.lit(x) for p in range(router.w2.shape[1]) for x in (p, max(1, -(-wanted.get(p, 0) // query_rows)))])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innsight.sources.storage import materialize
+from innsight.llm.tables import stored
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -18,12 +18,12 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Null ends are ignored; an empty table gives an empty result.
     """
     left = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct()
-    left = materialize(left, f"{label}-edges")
+    left = stored(left, f"{label}-edges")
     roots = None
     while not left.isEmpty():
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("to"))
-        step = materialize(step, f"{label}-step")
+        step = stored(step, f"{label}-step")
         first, second = step.select("a", F.col("to").alias("x")), step.select(F.col("a").alias("b"), F.col("to").alias("y"))
         moved = left.join(first, "a").join(second, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         if roots is None:
@@ -31,8 +31,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         else:
             again = step.select(F.col("a").alias("root"), "to")
             roots = roots.join(again, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-        roots = materialize(roots, f"{label}-roots")
-        left = materialize(moved.distinct(), f"{label}-edges")
+        roots = stored(roots, f"{label}-roots")
+        left = stored(moved.distinct(), f"{label}-edges")
     if roots is None:
         roots = left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots

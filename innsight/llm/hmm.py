@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innsight.llm.text import WORD, ascii_lower, slices
-from innsight.sources.storage import materialize
+from innsight.llm.tables import stored
 
 STATES, FREQUENT, ENDINGS, ROUNDS, PIECE = 4, 256, 255, 3, 128
 END = "\n"  # no word holds white space
@@ -256,9 +256,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     run, schema = _chunks(buckets, folds, fold, chunk_chars)
-    chunks = materialize(own.mapInArrow(run, schema), "lm-chunks")
+    chunks = stored(own.mapInArrow(run, schema), "lm-chunks")
     sums = chunks.where("bucket >= 0").select("chunk", "bucket", "entries").groupBy("bucket").applyInPandas(_summed, "chunk string, bucket int, totals binary, best binary")
-    sums = materialize(sums, "lm-sums")
+    sums = stored(sums, "lm-sums")
     ranges = sums.where("chunk IS NULL").select("totals", "best").collect()  # one row for each hash range
     by_class = sum((np.frombuffer(r["totals"], "<i8").reshape(-1, 2) for r in ranges), np.zeros((ENDINGS + 1, 2), np.int64))
     lexicon = Lexicon.of(by_class, np.concatenate([np.zeros((0, 3), np.int64), *(np.frombuffer(r["best"], "<i8").reshape(-1, 3) for r in ranges)]))

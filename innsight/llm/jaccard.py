@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from innsight.llm.components import components
 from innsight.llm.text import WORD, ascii_lower, rolling, scrambled, slices
-from innsight.sources.storage import materialize, remove, scratch_path, write_table
+from innsight.llm.tables import stored, stored_at
+from innsight.sources.storage import remove, scratch_path
 
 WORDS, PERCENT = 5, 75
 BLOCK = 512  # sets of a part
@@ -308,53 +309,53 @@ def jaccard_components(
 
     run, schema = _chunks(n_words, buckets, chunk_chars)
     at = scratch_path(spark, "jaccard-chunks")
-    chunks = write_table(own.mapInArrow(run, schema), at)
+    chunks = stored_at(own.mapInArrow(run, schema), at)
     lonely = chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_lonely, "chunk string, lonely binary")
     both = chunks.where("bucket < 0").select("chunk", "docs", F.lit(b"").alias("lonely")).union(lonely.select("chunk", F.lit(b"").alias("docs"), "lonely"))
     marks = both.groupBy("chunk").applyInPandas(_marks(percent), "doc_id long, n long, set_id binary, suspect boolean")
-    marks = materialize(marks, "jaccard-marks")
+    marks = stored(marks, "jaccard-marks")
     remove(spark, at)  # the largest table here, and read for the last time
 
     groups = marks.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.max("suspect").alias("suspect"))
-    groups = materialize(groups, "jaccard-groups")
+    groups = stored(groups, "jaccard-groups")
     wanted = groups.where("suspect").select(F.col("first").alias("doc_id"), "set_id")
     # Few sets are left as a rule; then the texts need not be shuffled to find theirs.
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
     run, schema = _sets(n_words)
-    sets = materialize(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
+    sets = stored(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
 
     items = sets.select("set_id", "n", F.explode("hashes").alias("h"))
-    shared = materialize(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
+    shared = stored(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
     viable = items.join(shared, "h").groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("total")).where(100 * F.col("total") >= percent * F.col("n"))
-    viable = materialize(viable.select("set_id"), "jaccard-viable")
+    viable = stored(viable.select("set_id"), "jaccard-viable")
     items = sets.join(viable, "set_id").select("set_id", "n", F.explode("hashes").alias("h"))
     # The number of holders leads the key of a class, so that keys sort the rarest class first.
     rarity = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(32767)), 48)
     holders = F.shiftrightunsigned(F.bit_xor(F.xxhash64("set_id")), 16)
     shared = items.groupBy("h").agg(F.count(F.lit(1)).alias("df"), (rarity + holders).alias("key")).where("df > 1")
-    shared = materialize(shared.select("h", "key"), "jaccard-shared")
+    shared = stored(shared.select("h", "key"), "jaccard-shared")
     weights = items.join(shared, "h").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("w"))
     lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c"))
     lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").cast("array<int>").alias("weights"))
-    lists = materialize(lists, "jaccard-lists")
+    lists = stored(lists, "jaccard-lists")
 
     run, schema = _leading(percent)
-    meets = materialize(lists.select("set_id", "n", "keys", "weights").mapInPandas(run, schema), "jaccard-meetings")
+    meets = stored(lists.select("set_id", "n", "keys", "weights").mapInPandas(run, schema), "jaccard-meetings")
     # Of several classes at which the same sets meet, the first in the order is enough.
     met = meets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("who")).where("size > 1")
     met = met.groupBy("who", "size").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / block).cast("int").alias("parts"))
-    dealt = meets.join(materialize(met, "jaccard-met"), "key").withColumn("part", F.expr("cast(pmod(xxhash64(set_id, key), parts) AS int)"))
+    dealt = meets.join(stored(met, "jaccard-met"), "key").withColumn("part", F.expr("cast(pmod(xxhash64(set_id, key), parts) AS int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
-    blocks = materialize(dealt, "jaccard-blocks").join(lists, "set_id")
+    blocks = stored(dealt, "jaccard-blocks").join(lists, "set_id")
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInArrow(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")
 
     named = groups.join(roots, groups["set_id"] == roots["node"], "left").select(groups["set_id"], "first", F.coalesce("root", groups["set_id"]).alias("root"))
-    named = materialize(named, "jaccard-named")
-    smallest = materialize(named.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-smallest")
-    found = materialize(named.join(smallest, "root").select("set_id", "component_id"), "jaccard-found")
+    named = stored(named, "jaccard-named")
+    smallest = stored(named.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-smallest")
+    found = stored(named.join(smallest, "root").select("set_id", "component_id"), "jaccard-found")
     component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return marks.join(found, "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from innsight.llm.text import slices
 from innsight.llm.tokens import closed, crc, default_path, encoder
-from innsight.sources.storage import remove, scratch_path, write_table
+from innsight.llm.tables import stored_at
+from innsight.sources.storage import remove, scratch_path
 
 BITS, LANES, EVERY, BLOCK_TOKENS = 20, 2048, 256, 1_000_000
 LOW = np.uint64(1 << 31)
@@ -221,7 +222,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, doc_i
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     run, schema = _encoded(tokenizer or default_path())
     at = scratch_path(spark, "rans-ids")
-    ids = write_table(own.mapInArrow(run, schema), at)
+    ids = stored_at(own.mapInArrow(run, schema), at)
     # One row for each id of the vocabulary at most.
     counted = ids.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counted.write.mode("overwrite").parquet(f"{path}/table")
