@@ -293,7 +293,7 @@ def _links(percent: int):
 
 def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT,
-    block: int = BLOCK, chunk_chars: int = 8_000_000,
+    block: int = BLOCK, chunk_chars: int = 4_000_000,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
 

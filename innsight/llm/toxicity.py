@@ -158,7 +158,7 @@ def fit_field(docs: list[np.ndarray], labels: list[int], vocabulary: list[str],
 class Odds(dict):
     """Odds of each token by the model, kept for tokens met again; NaN ends a sentence."""
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __init__(self, model: Model):
         super().__init__()
