@@ -5,8 +5,10 @@ one of the ``FREQUENT`` most frequent training tokens, or the word's ending. P(t
 comes from the counts of all training documents, add one over the class's tokens and one
 unknown. Baum-Welch trains start, transition and class probabilities: in every round each
 chunk of texts adds up its expected counts, and the sums over all chunks give the next
-model; training documents are taken in pieces of at most ``PIECE`` tokens. The score of a
-text is exact: the scaled forward recursion over its whole token sequence.
+model. The score of a text is exact: the scaled forward recursion over its whole token
+sequence. Training and scoring are over whole texts; a longer one than ``PIECE`` tokens is
+cut only to run its pieces side by side, and products of the pieces' matrices carry the
+forward and the backward state over every cut.
 
 Counts of any number of tokens go through no single place: a chunk of texts merges its own
 tokens, deals the distinct ones out by hash range, each range sums them and answers every
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 from innsight.llm.text import WORD, ascii_lower, slices
 from innsight.llm.tables import stored
 
-STATES, FREQUENT, ENDINGS, ROUNDS, PIECE = 4, 256, 255, 3, 128
+STATES, FREQUENT, ENDINGS, ROUNDS, PIECE = 6, 256, 255, 4, 512
+GROUP = 400_000  # tokens of the texts that are taken at once; bounds memory only
 END = "\n"  # no word holds white space
 CLASSES = ENDINGS + 1 + FREQUENT  # endings, the end token, frequent tokens
 _META = np.dtype([("doc_id", "<i8"), ("known", "?"), ("out", "?"), ("tokens", "<i8")])
@@ -63,50 +66,106 @@ class Model:
         return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def _steps(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First token of each sequence, the longest sequence first, and how many are longer than t."""
-    starts, order = np.cumsum(lengths) - lengths, np.argsort(-lengths, kind="stable")
-    longest = int(lengths.max(initial=0))
-    return order, starts[order], np.searchsorted(-lengths[order], -np.arange(longest), side="left")
-
-
-def likelihood(classes: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
+class Lockstep:
+    """Consecutive sequences side by side, the longest first: step t holds token t of each one longer than t."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.order = np.argsort(-lengths, kind="stable")
+        starts, longest = (np.cumsum(lengths) - lengths)[self.order], int(lengths.max(initial=0))
+        self.active = np.searchsorted(-lengths[self.order], -np.arange(longest), side="left")
+        self.edges = np.concatenate([[0], np.cumsum(self.active)]).astype(np.int64)
+        self.row = np.arange(self.edges[-1]) - np.repeat(self.edges[:-1], self.active)  # of each token's sequence in the order
+        self.tokens = starts[self.row] + np.repeat(np.arange(longest), self.active)
+        self.rank = np.empty(len(lengths), np.int64)
+        self.rank[self.order] = np.arange(len(lengths))
+
+
+def _products(classes: np.ndarray, lengths: np.ndarray, opens: np.ndarray, model: Model) -> np.ndarray:
+    """For each sequence the product of its tokens' move and emission matrices, up to a factor; one that opens a text begins with the start."""
+    side, states = Lockstep(lengths), len(model.start)
+    emit = model.emit.T[classes[side.tokens]]
+    out = np.where(opens[side.order, None, None], np.diag(model.start), model.move)
+    for t, n in enumerate(side.active):
+        e = emit[side.edges[t] : side.edges[t + 1], None, :]
+        out[:n] = (out[:n] if t == 0 else (out[:n].reshape(-1, states) @ model.move).reshape(n, states, states)) * e
+        if t % 8 == 7:
+            out[:n] /= out[:n].sum((1, 2))[:, None, None]
+    return (out / out.sum((1, 2))[:, None, None])[side.rank]
+
+
+def _borders(classes: np.ndarray, lengths: np.ndarray, model: Model, piece: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut into pieces that know what lies beyond their borders, so that pieces run side by side and nothing is lost.
+
+    Lengths of the pieces, the first piece of each text, the state distribution each piece
+    begins with, and the backward weights (up to a factor) it ends with.
+    """
+    cut, count = pieces(lengths, piece), -(-lengths // piece)
+    heads = np.cumsum(count) - count
+    before, after = np.tile(model.start, (len(cut), 1)), np.ones((len(cut), len(model.start)))
+    if (count > 1).any():
+        several = np.repeat(count > 1, count)
+        opens = np.zeros(len(cut), bool)
+        opens[heads] = True
+        products = np.zeros((len(cut), len(model.start), len(model.start)))
+        products[several] = _products(classes[np.repeat(several, cut)], cut[several], opens[several], model)
+        order = np.argsort(-count, kind="stable")
+        first, active = heads[order], np.searchsorted(-count[order], -np.arange(1, count.max()), side="left")  # texts with a piece k + 1
+        alpha = np.ones((len(order), len(model.start)))
+        for k, n in enumerate(active):
+            alpha = np.einsum("ni,nij->nj", alpha[:n], products[first[:n] + k])
+            alpha /= alpha.sum(1, keepdims=True)
+            before[first[:n] + k + 1] = alpha @ model.move
+        for k in range(len(active) - 1, -1, -1):
+            at = first[: active[k]] + k
+            beta = np.einsum("nij,nj->ni", products[at + 1], after[at + 1])
+            after[at] = beta / beta.sum(1, keepdims=True)
+    return cut, heads, before, after
+
+
+def likelihood(classes: np.ndarray, lengths: np.ndarray, model: Model, piece: int = 0) -> np.ndarray:
     """Natural log-likelihood of consecutive class sequences by the scaled forward recursion."""
-    order, starts, active = _steps(lengths)
-    out, emit, alpha = np.zeros(len(lengths)), model.emit.T.copy(), None
-    for t, n in enumerate(active):
-        e = emit[classes[starts[:n] + t]]
-        alpha = model.start * e if t == 0 else (alpha[:n] @ model.move) * e
-        scale = alpha.sum(1)
-        alpha = alpha / scale[:, None]
-        out[:n] += np.log(scale)
-    back = np.empty_like(out)
-    back[order] = out
-    return back
-
-
-def expectations(classes: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
+    cut, heads, before, _ = _borders(classes, lengths, model, piece or PIECE)
+    side = Lockstep(cut)
+    emit, scale, alpha = model.emit.T[classes[side.tokens]], np.empty(len(classes)), before[side.order]
+    for t, n in enumerate(side.active):
+        now = slice(side.edges[t], side.edges[t + 1])
+        alpha = (alpha if t == 0 else alpha[:n] @ model.move) * emit[now]
+        scale[now] = alpha.sum(1)
+        alpha /= scale[now, None]
+    out = np.bincount(side.row, np.log(scale), len(cut))[side.rank]
+    return np.add.reduceat(out, heads) if len(heads) else out
+
+
+def expectations(classes: np.ndarray, lengths: np.ndarray, model: Model, piece: int = 0) -> np.ndarray:
     """Expected counts of Baum-Welch over consecutive sequences, laid out for ``Model.of``."""
-    _, starts, active = _steps(lengths)
-    emit, states = model.emit.T.copy(), len(model.start)
+    cut, heads, before, after = _borders(classes, lengths, model, piece or PIECE)
+    side, states = Lockstep(cut), len(model.start)
+    emit, edges = model.emit.T[classes[side.tokens]], side.edges
     alpha, scale = np.empty((len(classes), states)), np.empty(len(classes))
-    for t, n in enumerate(active):
-        at = starts[:n] + t
-        own = emit[classes[at]] * (model.start if t == 0 else alpha[at - 1] @ model.move)
-        scale[at] = own.sum(1)
-        alpha[at] = own / scale[at][:, None]
-    moves, beta = np.zeros((states, states)), None
-    for t in range(len(active) - 1, -1, -1):
-        at, now = starts[: active[t]] + t, np.ones((active[t], states))
-        if beta is not None:
-            after = at[: len(beta)] + 1
-            e = emit[classes[after]] * beta / scale[after][:, None]
-            now[: len(beta)] = e @ model.move.T
-            moves += alpha[at[: len(beta)]].T @ e
-        alpha[at] *= now
-        beta = now
-    first = alpha[starts].sum(0) if len(starts) else np.zeros(states)
-    seen = [np.bincount(classes, alpha[:, k], model.emit.shape[1]) for k in range(states)]
+    for t, n in enumerate(side.active):
+        now = slice(edges[t], edges[t + 1])
+        own = emit[now] * (before[side.order] if t == 0 else alpha[edges[t - 1] : edges[t - 1] + n] @ model.move)
+        scale[now] = own.sum(1)
+        alpha[now] = own / scale[now, None]
+    emit /= scale[:, None]
+    last = alpha[edges[cut[side.order] - 1] + np.arange(len(cut))]
+    beta, moves = after[side.order], np.zeros((states, states))
+    beta /= (last * beta).sum(1, keepdims=True)
+    for t in range(len(side.active) - 1, -1, -1):
+        now = slice(edges[t], edges[t + 1])
+        if t + 1 < len(side.active):
+            n = side.active[t + 1]
+            e = emit[edges[t + 1] : edges[t + 2]] * beta[:n]
+            moves += alpha[edges[t] : edges[t] + n].T @ e
+            beta[:n] = e @ model.move.T
+        alpha[now] *= beta[: side.active[t]]
+    opens = np.zeros(len(cut), bool)
+    opens[heads] = True
+    later = np.flatnonzero(~opens)  # pieces whose first token follows another piece's last one
+    at = side.rank[later]
+    moves += last[side.rank[later - 1]].T @ (emit[at] * beta[at])
+    first, flat = alpha[side.rank[heads]].sum(0), classes[side.tokens]
+    seen = [np.bincount(flat, alpha[:, k], model.emit.shape[1]) for k in range(states)]
     return np.concatenate([first, (moves * model.move).ravel(), *seen])
 
 
@@ -119,6 +178,13 @@ def pieces(lengths: np.ndarray, most: int = PIECE) -> np.ndarray:
     return out
 
 
+def groups(classes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole texts of about ``GROUP`` tokens together: their classes and lengths."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    for a, b in slices(lengths.tolist(), GROUP):
+        yield classes[ends[a] : ends[b]], lengths[a:b]
+
+
 class Numbers(dict):
     """Number of each word in the order of first sight."""
 
@@ -222,7 +288,8 @@ def _expected(lexicon: Lexicon, model: Model):
             for docs, tokens, vocabulary in zip(frame["docs"], frame["tokens"], frame["entries"]):
                 docs, tokens = np.frombuffer(docs, _META), np.frombuffer(tokens, "<i4")
                 classes = lexicon.classes(vocabulary)[tokens[~np.repeat(docs["out"], docs["tokens"])]]
-                total += expectations(classes, pieces(docs["tokens"][~docs["out"]]), model)
+                for own, lengths in groups(classes, docs["tokens"][~docs["out"]]):
+                    total += expectations(own, lengths, model)
         yield pd.DataFrame({"position": np.arange(len(total)), "value": total})
 
     return run
@@ -238,7 +305,8 @@ def _scores(lexicon: Lexicon, model: Model, n_tokens: int, n_distinct: int):
         inside = np.log((counts + 1) / (lexicon.tokens[classes] + lexicon.distinct[classes] + 1))
         begin = np.cumsum(docs["tokens"]) - docs["tokens"]
         over = lambda x: np.add.reduceat(x[tokens], begin)
-        score = (likelihood(classes[tokens], docs["tokens"], model) + over(inside)) / np.log(10)
+        along = [likelihood(own, lengths, model) for own, lengths in groups(classes[tokens], docs["tokens"])]
+        score = (np.concatenate(along) + over(inside)) / np.log(10)
         return pd.DataFrame({
             "doc_id": pd.arrays.IntegerArray(docs["doc_id"].copy(), ~docs["known"]), "held_out": docs["out"].copy(), "n_tokens": docs["tokens"].copy(),
             "n_known": over((counts > 0).astype(np.int64)), "train_tokens": n_tokens, "base_score": over(base), "score": score,

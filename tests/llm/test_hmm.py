@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from brute import WORD, lower
 
@@ -85,3 +86,26 @@ def test_null_ids_repeats_and_empty(spark):
     total = sum(want for i, want in ((1, 3), (1, 3), (2, 1)) if zlib.crc32(str(i).encode()) % 7 != 2) + 3
     assert sorted((str(r.doc_id), r.n_tokens, r.train_tokens) for r in got) == [("1", 3, total), ("1", 3, total), ("2", 1, total), ("None", 3, total)]
     assert hmm.score_documents(df.limit(0)).collect() == []
+
+
+def test_cuts_lose_nothing():
+    rng = np.random.default_rng(2)
+    lengths = np.array([1, 7, 40, 3, 21, 8, 1, 90])
+    flat, model = rng.integers(0, 5, lengths.sum()), tiny(3, 5, 4)
+    whole, values = hmm.expectations(flat, lengths, model, 1000), hmm.likelihood(flat, lengths, model, 1000)
+    assert math.isclose(whole[:3].sum(), len(lengths)) and math.isclose(whole[3:12].sum(), lengths.sum() - len(lengths))
+    for piece in (1, 2, 7, 8, 39):
+        assert np.allclose(hmm.expectations(flat, lengths, model, piece), whole, rtol=1e-9)
+        assert np.allclose(hmm.likelihood(flat, lengths, model, piece), values, rtol=1e-12)
+
+
+def test_training_counts_whole_texts_with_all_states_and_rounds():
+    assert (hmm.STATES, hmm.ROUNDS) == (6, 4)
+    lengths = np.array([3000, 200, 5])
+    tokens = np.random.default_rng(1).integers(0, 9, lengths.sum()).astype("<i4")
+    docs = np.array([(i, True, False, n) for i, n in enumerate(lengths)], hmm._META)
+    vocabulary = np.arange(9, dtype="<u8").tobytes() + np.arange(9, dtype="<u2").tobytes()
+    lexicon = hmm.Lexicon.of(np.ones((hmm.ENDINGS + 1, 2), np.int64), np.zeros((0, 3), np.int64))
+    frame = pd.DataFrame({"docs": [docs.tobytes()], "tokens": [tokens.tobytes()], "entries": [vocabulary]})
+    counts = next(hmm._expected(lexicon, hmm.Model.fresh(lexicon.tokens))(iter([frame])))["value"].to_numpy()
+    assert math.isclose(counts[:6].sum(), 3) and math.isclose(counts[6:42].sum(), lengths.sum() - 3)
