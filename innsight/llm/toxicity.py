@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.text import batch_column, put
+from innsight.llm.text import batch_column, put, slices
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDERS = ".!?\n"
@@ -110,44 +110,55 @@ def toxic_words(docs: list[np.ndarray], labels: list[int], size: int) -> np.ndar
     return np.array(sorted(w for w in chosen if 2 * len(around[w]) > uses[w]), np.int64)
 
 
-def fit_field(docs: list[np.ndarray], labels: list[int], vocabulary: list[str], most_clean: int = 1200, steps: int = 50) -> Model:
+def fit_field(docs: list[np.ndarray], labels: list[int], vocabulary: list[str], steps: int = 50, most_tokens: int = 250_000) -> Model:
+    """Weights from all ``docs``; the gradient is summed over groups of about ``most_tokens`` tokens, which bounds memory only."""
     lexicon = toxic_words(docs, labels, len(vocabulary))
     if not len(lexicon):
         return Model()
-    clean = [d for d, y in zip(docs, labels) if not y][:most_clean]
-    used = [(d, y) for d, y in zip(docs, labels) if y] + [(d, 0) for d in clean]
-    common = np.bincount(np.concatenate([np.unique(d) for d, _ in used]), minlength=len(vocabulary))
-    flat = np.concatenate([x for d, _ in used for x in (d, [0])])
-    label = np.repeat([bool(y) for _, y in used], [len(d) + 1 for d, _ in used])
+    common = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=len(vocabulary))
+    flat = np.concatenate([x for d in docs for x in (d, np.zeros(1, np.int32))])
+    label = np.repeat([bool(y) for y in labels], [len(d) + 1 for d in docs])
     ends = np.flatnonzero(flat < len(ENDERS))
     lengths = np.diff(np.concatenate([[-1], ends])) - 1
     lengths, word = lengths[lengths > 0], flat >= len(ENDERS)
-    tags = (np.isin(flat, lexicon) & label)[word].astype(float)
+    tags = (np.isin(flat, lexicon) & label)[word]
     tokens, place = np.unique(flat[word], return_inverse=True)
+    place = place.astype(np.int32)
+    del flat, label, word, ends
     index: dict[str, int] = {}
     # A rare word keeps its endings only, as a word never seen does.
     rows = [[index.setdefault(x, len(index)) if k or common[w] > 2 else -1 for k, x in enumerate(features(vocabulary[w]))] for w in tokens]
     at = np.array(rows, np.int32)
     at[at < 0] = len(index)
-    at = at[place]
-    first = np.zeros(len(tags), bool)
-    first[np.cumsum(lengths) - lengths] = True
-    here = np.flatnonzero(~first)
-    seen = [np.sum((1 - tags[here - 1]) * tags[here]), np.sum(tags[here - 1] * (1 - tags[here])), np.sum(tags[here - 1] * tags[here])]
+    groups = []  # sentences of like length together: tokens, tags, lengths
+    order, starts = np.argsort(-lengths, kind="stable"), np.cumsum(lengths) - lengths
+    for a, b in slices(lengths[order].tolist(), most_tokens):
+        own = lengths[order[a:b]]
+        token = np.arange(own.sum()) + np.repeat(starts[order[a:b]] - np.cumsum(own) + own, own)
+        groups.append((place[token], tags[token], own))
+    n, toxic = len(tags), float(tags.sum())
+    del place, tags, starts, order
     theta = np.zeros(len(index) + 1 + 4)  # features, the absent one, bias, three moves
-    theta[-4] = math.log((tags.sum() + 1) / (len(tags) + 1))
+    theta[-4] = math.log((toxic + 1) / (n + 1))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         theta[len(index)] = 0.0
-        odds = np.exp(np.clip(theta[at].sum(1) + theta[-4], -30, 30))
+        each = np.exp(np.clip(theta[at].sum(1) + theta[-4], -30, 30))  # odds of each distinct token
         moves = (1.0, *np.exp(np.clip(theta[-3:], -8, 8)))
-        ahead, back = messages(odds, lengths, moves)
-        p = ahead * back / (1 + ahead * back)
-        r, e = ahead[here - 1], odds[here] * back[here]
-        total = moves[0] + moves[1] * e + moves[2] * r + moves[3] * r * e
-        want = [np.sum(moves[1] * e / total), np.sum(moves[2] * r / total), np.sum(moves[3] * r * e / total)]
-        gap = tags - p
-        slope = np.concatenate([sum(np.bincount(at[:, k], gap, len(index) + 1) for k in range(3)), [gap.sum()], np.array(seen) - want])
+        gaps, change = np.zeros(len(tokens)), np.zeros(3)
+        for token, tag, own in groups:
+            odds, tag = each[token], tag.astype(float)
+            ahead, back = messages(odds, own, moves)
+            first = np.zeros(len(tag), bool)
+            first[np.cumsum(own) - own] = True
+            here = np.flatnonzero(~first)
+            was, now = tag[here - 1], tag[here]
+            r, e = ahead[here - 1], odds[here] * back[here]
+            total = moves[0] + moves[1] * e + moves[2] * r + moves[3] * r * e
+            change += [np.sum((1 - was) * now - moves[1] * e / total), np.sum(was * (1 - now) - moves[2] * r / total), np.sum(was * now - moves[3] * r * e / total)]
+            both = ahead * back
+            gaps += np.bincount(token, tag - both / (1 + both), len(tokens))
+        slope = np.concatenate([sum(np.bincount(at[:, k], gaps, len(index) + 1) for k in range(3)), [gaps.sum()], change])
         slope -= 0.1 * theta
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         theta += 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)

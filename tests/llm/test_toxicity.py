@@ -55,3 +55,14 @@ def test_edges(spark):
     assert by["so IDIOT idiot."].predicted == 1 and (by["so IDIOT idiot."].span_begin, by["so IDIOT idiot."].span_end) == ([3], [14])
     assert by["fine day " * 20000].predicted == 0
     assert 0 <= toxicity.train([]).fold[0] + 5 and toxicity.with_toxicity(df.limit(0), model).count() == 0
+
+
+def test_every_clean_document_trains_the_field():
+    letters = "abcdefghijklmnopqrst"
+    names = [x + y + z for x in letters for y in letters for z in letters]
+    rows = [(f"{k} idiot {k[::-1]}x", 1) for k in names[:200]] + [(f"a fine {k} day", 0) for k in names[:1300]] + [(f"zzz last zebra {k}", 0) for k in names[:40]]
+    docs, vocabulary = toxicity.numbered([t for t, _ in rows])
+    model = toxicity.fit_field(docs, [y for _, y in rows], vocabulary)
+    assert {"idiot", "zebra", "last"} <= model.weights.keys()
+    parts = toxicity.fit_field(docs, [y for _, y in rows], vocabulary, most_tokens=50)
+    assert parts.weights.keys() == model.weights.keys() and all(abs(parts.weights[k] - w) < 1e-6 for k, w in model.weights.items())
