@@ -1,13 +1,18 @@
 """Packing by lexical retrieval.
 
-The texts of a scan task are taken in blocks of about ``block_tokens`` ids; each block is one
-shard of a BM25 inverted index over token ids. A window starts with a seed, the rest of a
+Document frequencies, number of documents and mean length are those of all documents. A
+document goes to the shard of its highest-weight id, so that related documents of any file
+meet; ids of few documents share a shard, and an id of more than ``block_tokens`` ids of
+documents is split by hash of document. Shards are taken in blocks of about
+``block_tokens`` ids, each with a BM25 inverted index over token ids. A window starts with a seed, the rest of a
 cut document or the next unused one, and takes the unused documents that BM25 ranks
 nearest to the seed until it is full; the last one is cut and its rest seeds the next
 window, so a full window has no padding. What is left at the end of a block seeds the next
 block. The last window of a task is cut into powers of two, which need no padding.
 
-There is no shuffle, and memory is bounded by one block and the longest text. Defined
+Every document crosses the network once, to its shard; a neighbour whose highest-weight id
+belongs to another shard is not found. Memory is bounded by one block and the longest text;
+only one number for each id of the vocabulary reaches the driver. Defined
 results: a null text is empty and holds its end id alone; repeated rows are documents of
 their own; ties in the ranking go to the earlier row; an empty table gives no piece.
 ``sequence_id`` is unique, and the same when a task is run again.
@@ -16,24 +21,40 @@ their own; ties in the ranking go to the earlier row; an empty table gives no pi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innsight.llm.text import slices
+from innsight.llm.tables import stored, stored_at
 from innsight.llm.tokens import closed, crc, default_path, encoder
+from innsight.sources.storage import remove, scratch_path
 
 WINDOW, BLOCK_TOKENS = 2048, 1_000_000
 K1, B = 1.2, 0.75
 SCHEMA = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
+@dataclass
+class Corpus:
+    """What BM25 knows of all documents."""
+
+    documents: int
+    mean: float
+    held: np.ndarray  # documents that hold each id
+
+    def idf(self, df: np.ndarray) -> np.ndarray:
+        return np.log1p((self.documents - df + 0.5) / (df + 0.5))
+
+
 class Shard:
-    """Inverted index of one block: for each id the documents that hold it, with BM25 weights."""
+    """Inverted index of one block: for each id the documents that hold it, with BM25 weights by the corpus or else by the block."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         held = [np.unique(d, return_counts=True) for d in docs]
         sizes, self.ends = np.array([len(d) for d in docs], float), np.cumsum([0, *(len(h[0]) for h in held)])
         term = np.concatenate([h[0] for h in held])
@@ -45,8 +66,9 @@ class Shard:
         self.size = df
         self.number = np.empty(len(term), np.int64)  # of each document's terms in the vocabulary
         self.number[order] = np.repeat(np.arange(len(df)), df)
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
+        corpus = corpus or Corpus(len(docs), sizes.mean(), np.bincount(self.vocabulary, df))
+        idf = corpus.idf(corpus.held[self.vocabulary])
+        norm = K1 * (1 - B + B * sizes / corpus.mean)
         tf = tf[order]
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.owner])
 
@@ -69,8 +91,8 @@ class Shard:
 class Packer:
     """Windows of one task. A piece is (document, its ids, begin, end)."""
 
-    def __init__(self, window: int, first: int):
-        self.window, self.sequence = window, first
+    def __init__(self, window: int, first: int, corpus: Corpus | None = None):
+        self.window, self.sequence, self.corpus = window, first, corpus
         self.open: list[tuple] = []  # of the window being filled
         self.filled = 0
         self.rows: list[tuple] = []
@@ -99,7 +121,7 @@ class Packer:
         """Pack a block; the window that is not full stays open."""
         if not docs:
             return
-        shard, used, next_one = Shard([d[1] for d in docs]), np.zeros(len(docs), bool), 0
+        shard, used, next_one = Shard([d[1] for d in docs], self.corpus), np.zeros(len(docs), bool), 0
         # Scores of the window's seed; the first may come from the block before.
         scores = shard.scores(self.open[-1][0][1]) if self.open else None
         for _ in docs:
@@ -135,26 +157,85 @@ class Packer:
             self._close()
 
 
-def _pack(path: str, window: int, block_tokens: int):
+def _encoded(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in slices([len(t or "") for t in texts], 2_000_000):
+                tokens = [closed(t).tobytes() for t in encoder(path).encode(texts[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(tokens, pa.binary())], names=["doc_id", "ids"])
+
+    return run
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of the task that hold each id; at -1 its documents, at -2 its ids."""
+    held, documents, total = np.zeros(0, np.int64), 0, 0
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            ids = np.frombuffer(raw, "<u4")
+            own = np.bincount(ids) > 0
+            if len(own) > len(held):
+                held = np.pad(held, (0, len(own) - len(held)))
+            held[: len(own)] += own
+            documents, total = documents + 1, total + len(ids)
+    at = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *at.tolist()], pa.int64()), pa.array([documents, total, *held[at].tolist()], pa.int64())], names=["id", "n"])
+
+
+def top_id(ids: np.ndarray, corpus: Corpus) -> int:
+    """The id of highest BM25 weight in a document, among those that another document holds; else the rarest."""
+    terms, tf = np.unique(ids, return_counts=True)
+    held = corpus.held[terms]
+    weight = corpus.idf(held) * tf / (tf + K1 * (1 - B + B * len(ids) / corpus.mean))
+    weight[held < 2] -= weight.max() + 1
+    return int(terms[weight.argmax()])
+
+
+def _topped(corpus: Corpus):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = [np.frombuffer(raw, "<u4") for raw in batch.column(1).to_pylist()]
+            top, size = [top_id(x, corpus) for x in arrays], [len(x) for x in arrays]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(top, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "ids", "top", "size"])
+
+    return run
+
+
+def shards(tops: np.ndarray, sizes: np.ndarray, block_tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard of each top id and the number of shards it is split into."""
+    begin, split = np.zeros(int(tops.max(initial=-1)) + 1, np.int64), np.ones(int(tops.max(initial=-1)) + 1, np.int64)
+    number = held = 0
+    for top, size in zip(tops.tolist(), sizes.tolist()):
+        if size > block_tokens:
+            number, held = number + bool(held), 0
+            begin[top], split[top] = number, -(-size // block_tokens)
+            number += int(split[top])
+            continue
+        if held and held + size > block_tokens:
+            number, held = number + 1, 0
+        begin[top], held = number, held + size
+    return begin, split
+
+
+def _pack(window: int, block_tokens: int, corpus: Corpus):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        packer, docs, held = Packer(window, TaskContext.get().partitionId() << 36), [], 0
+        packer, docs, held, shard = Packer(window, TaskContext.get().partitionId() << 36, corpus), [], 0, None
 
         def out() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * len(SCHEMA), schema=SCHEMA)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], 2_000_000):
-                for doc_id, tokens in zip(ids[a:b], encoder(path).encode(texts[a:b])):
-                    docs.append((doc_id, closed(tokens)))
-                    held += len(tokens) + 1
-                    if held >= block_tokens:
-                        packer.block(docs)
-                        docs, held = [], 0
-                yield out()
+            for doc_id, raw, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != shard or held >= block_tokens:
+                    packer.block(docs)
+                    docs, held, shard = [], 0, own
+                docs.append((doc_id, np.frombuffer(raw, "<u4")))
+                held += len(docs[-1][1])
+            yield out()
         packer.block(docs)
         packer.finish()
         yield out()
@@ -164,5 +245,26 @@ def _pack(path: str, window: int, block_tokens: int):
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, window: int = WINDOW, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row for each piece of each document; other columns are not read."""
+    spark = docs.sparkSession
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return own.mapInArrow(_pack(path or default_path(), window, block_tokens), ", ".join(f"{c} long" for c in SCHEMA.names))
+    folder = scratch_path(spark, "packing-ids")
+    encoded = stored_at(own.mapInArrow(_encoded(path or default_path()), "doc_id long, ids binary"), folder)
+    counts = encoded.select("ids").mapInArrow(_frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
+    counts = dict(zip(counts["id"].tolist(), counts["n"].tolist()))
+    documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
+    held = np.zeros(max(counts, default=0) + 1, np.int64)
+    held[list(counts)] = list(counts.values())
+    corpus = Corpus(documents, total / max(1, documents), held)
+    topped = stored(encoded.mapInArrow(_topped(corpus), "doc_id long, ids binary, top long, size long"), "packing-tops")
+    remove(spark, folder)
+    sizes = topped.groupBy("top").agg(F.sum("size").alias("size")).orderBy("top").toPandas()
+    begin, split = shards(sizes["top"].to_numpy(np.int64), sizes["size"].to_numpy(np.int64), block_tokens)
+
+    def shard(top: pd.Series, salt: pd.Series) -> pd.Series:
+        return pd.Series(begin[top] + salt.to_numpy() % split[top])
+
+    shard.__annotations__ = {"top": pd.Series, "salt": pd.Series, "return": pd.Series}
+    shard = F.pandas_udf(shard, "long")
+    dealt = topped.withColumn("shard", shard("top", F.xxhash64("doc_id", "ids"))).select("doc_id", "ids", "shard")
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard").sortWithinPartitions("shard", "doc_id", "ids")
+    return dealt.mapInArrow(_pack(window, block_tokens, corpus), ", ".join(f"{c} long" for c in SCHEMA.names))

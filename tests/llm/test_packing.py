@@ -69,3 +69,15 @@ def test_null_empty_repeated_and_clashing(spark):
     twice = packing.pack(df.where("doc_id = 2").union(df.where("doc_id = 2"))).collect()
     assert sorted((r.start, r.length) for r in twice) == [(0, 1), (0, 1)]
     assert packing.pack(df.limit(0)).collect() == []
+
+
+def test_neighbours_of_other_tasks_share_a_window(spark):
+    topics = ["guitar violin piano trumpet", "granite basalt marble quartz", "salmon trout herring tuna", "maple birch willow cedar"]
+    rows = [(k, f"{topics[k % 4]} " * 12) for k in range(80)]
+    frames = [spark.createDataFrame(rows[k : k + 4], "doc_id long, text string").coalesce(1) for k in range(0, 80, 4)]
+    df = frames[0]
+    for f in frames[1:]:
+        df = df.union(f)
+    sequences = check(packing.pack(df, window=128, block_tokens=1100).collect(), dict(rows), 128)
+    full = [{r.doc_id % 4 for r in own} for own in sequences.values() if sum(r.length for r in own) == 128]
+    assert len(full) >= 20 and sum(len(w) == 1 for w in full) >= 0.8 * len(full)
