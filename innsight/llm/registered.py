@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import ann, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls
+from innsight.llm import ann, decontaminate, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,6 +59,12 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
+
+
 def _quality_sql() -> str:
     lengths = [3, *quality.MOST_REPEATED]
     gram = lambda n: " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -121,6 +127,30 @@ def _jaccard_sql() -> str:
     FROM d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS c FROM r GROUP BY x) m ON m.x = d.doc_id"""
 
 
+def _decontamination_sql() -> str:
+    size, span, k = decontaminate.WINDOW, decontaminate.SPAN, decontaminate.NEAR_TERMS
+    cut = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    seen = [f"max(i) FILTER (r = {j}) OVER so_far AS p{j}" for j in range(1, k + 1)]
+    last = [f"CASE WHEN k >= {j} THEN coalesce(p{j}, -1000000000000) ELSE i END" for j in range(1, k + 1)]
+    return rf"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {cut} AS ws FROM documents),
+    b AS MATERIALIZED (SELECT item_id, {cut} AS ws, least(len({cut}), {size}) AS n FROM benchmark),
+    w AS MATERIALIZED (SELECT DISTINCT item_id, n, list_slice(ws, s, s + n - 1) AS g FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS s FROM b WHERE n > 0)),
+    t AS MATERIALIZED (SELECT row, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+    g AS (SELECT row, i, n, list_slice(ws, i, i + n - 1) AS g FROM (SELECT row, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b WHERE n > 0))),
+    m AS MATERIALIZED (SELECT row, i, w.n, item_id FROM g JOIN w ON w.n = g.n AND w.g = g.g),
+    h AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM m) GROUP BY row),
+    q AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM m WHERE item_id IS NOT NULL) GROUP BY row),
+    c AS MATERIALIZED (SELECT w, count(*) AS held FROM t WHERE w IN (SELECT unnest(ws) FROM b) GROUP BY w),
+    v AS (SELECT item_id, x.w, held, row_number() OVER (PARTITION BY item_id ORDER BY held NULLS FIRST, x.w) AS r FROM (SELECT DISTINCT item_id, unnest(ws) AS w FROM b) x LEFT JOIN c ON c.w = x.w),
+    y AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS k, count(held) OVER (PARTITION BY item_id) AS found FROM v WHERE r <= {k}),
+    z AS (SELECT row, item_id, k, i, {', '.join(seen)} FROM t JOIN y ON y.w = t.w AND k = found WINDOW so_far AS (PARTITION BY row, item_id ORDER BY i)),
+    o AS (SELECT row, count(DISTINCT item_id) AS n_near FROM z WHERE i - least({', '.join(last)}) < {span} GROUP BY row)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+    FROM d LEFT JOIN h USING (row) LEFT JOIN q USING (row) LEFT JOIN o USING (row)"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -132,5 +162,6 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_model": op10_language_model,
+    "op11_decontamination": op11_decontamination,
 }
-ORACLE = {"op2_quality_rules": _quality_sql(), "op6_url_filter": _url_sql(), "op9_jaccard_join": _jaccard_sql()}
+ORACLE = {"op2_quality_rules": _quality_sql(), "op6_url_filter": _url_sql(), "op9_jaccard_join": _jaccard_sql(), "op11_decontamination": _decontamination_sql()}
