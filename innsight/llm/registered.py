@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import ann, decontaminate, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls
+from innsight.llm import ann, decontaminate, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
 def _quality_sql() -> str:
     lengths = [3, *quality.MOST_REPEATED]
     gram = lambda n: " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -163,5 +167,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_model": op10_language_model,
     "op11_decontamination": op11_decontamination,
+    "op12_whitening": op12_whitening,
 }
 ORACLE = {"op2_quality_rules": _quality_sql(), "op6_url_filter": _url_sql(), "op9_jaccard_join": _jaccard_sql(), "op11_decontamination": _decontamination_sql()}
