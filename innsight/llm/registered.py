@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.llm import ann, decontaminate, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls, whitening
+from innsight.llm import ann, decontaminate, hmm, jaccard, language, packing, pieces, quality, rans, toxicity, urls, variants, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_read(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 def _quality_sql() -> str:
     lengths = [3, *quality.MOST_REPEATED]
     gram = lambda n: " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -168,5 +172,6 @@ QUERIES = {
     "op10_language_model": op10_language_model,
     "op11_decontamination": op11_decontamination,
     "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE = {"op2_quality_rules": _quality_sql(), "op6_url_filter": _url_sql(), "op9_jaccard_join": _jaccard_sql(), "op11_decontamination": _decontamination_sql()}
