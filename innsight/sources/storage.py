@@ -91,6 +91,21 @@ def rows_source(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(rows, schema)
 
 
+def parts(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column of the table at ``path``, from the names of its folders."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def read_parts(spark: SparkSession, path: str, column: str, values: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of the named partitions only; no other folder is listed. ``schema`` holds ``column`` as well."""
+    if not values:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{column}={v}" for v in values])
+
+
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Replace ``target`` by the finished table at ``staged``.
 
