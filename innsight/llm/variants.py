@@ -329,7 +329,7 @@ def _relatives(groups: Groups, rows: int):
         """Rows come sorted by cell; whole cells are taken together up to about ``rows``."""
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            held.append(batch)
+            held.append(pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names))  # the same fields as what was left
             if sum(map(len, held)) < rows:
                 continue
             table = pa.Table.from_batches(held)
@@ -369,7 +369,7 @@ def roots(forms: DataFrame, steps: int) -> DataFrame:
 
 def spelling_variants(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_LETTERS, least_count: int = LEAST_COUNT, times: int = TIMES, slip: int = SLIP,
-    groups: int = GROUPS, cell: int = CELL,
+    groups: int = GROUPS, cell: int = CELL, rows: int = 150_000,
 ) -> DataFrame:
     """(word, n, form, form_n, n_near, root): one row for each distinct word of ``docs``.
 
@@ -382,7 +382,7 @@ def spelling_variants(
     """
     words = stored(word_counts(docs, doc_id, text, least, least_count, slip), "variants-words")
     top = words.agg(F.max("n")).first()[0]
-    near = stored(relatives(words, choose_groups(words, groups, cell)), "variants-near")
+    near = stored(relatives(words, choose_groups(words, groups, cell), rows), "variants-near")
     linked = stored(words.join(near, "word").where(F.col("most") >= times * F.col("n")).select("word", "form", F.col("most").alias("form_n")), "variants-forms")
     # Counts grow at least ``times`` fold along a chain, so the largest bounds its length.
     steps = 1

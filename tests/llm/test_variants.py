@@ -55,6 +55,11 @@ def test_whole_table_equals_brute_force(spark):
     want = brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
     assert found(docs) == want
     assert found(docs, groups=7, cell=50) == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 500)
+    try:  # cells that begin in one batch and end in another
+        assert found(docs, cell=300, rows=800) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert any(form for _, form, _, _, _ in want.values()) and max(k for _, _, _, k, _ in want.values()) > 2
 
 
