@@ -110,6 +110,47 @@ def scd2_history(
     )
 
 
+def _points(history: DataFrame, key: str, changed_at: str, tracked: Sequence[str], tie: str) -> DataFrame:
+    """Every change that is known of a history: the start of each version, and what only repeated it."""
+    start = F.struct(F.col("effective_from").alias("at"), F.col("decided").alias("tie"))
+    every = F.concat(F.array(start), F.col("repeats"))
+    return history.select(key, *tracked, F.explode(every).alias("_p")).select(key, F.col("_p.at").alias(changed_at), F.col("_p.tie").alias(tie), *tracked)
+
+
+def scd2_from_log(changes: DataFrame, key: str, changed_at: str, tracked: Sequence[str], tie: str) -> DataFrame:
+    """The versions of :func:`scd2_history` that can take late changes.
+
+    Of several changes of a (key, time) the largest ``tie`` wins (then the largest attributes).
+    ``decided`` is the winner's, and ``repeats`` holds (at, tie) of the changes inside a
+    version that did not alter it: a late change between them splits the version there.
+    """
+    tracked = list(tracked)
+    log = dedup_latest(changes.select(key, changed_at, tie, *tracked), [key, changed_at], [F.desc(tie), *[F.desc(c) for c in tracked]])
+    along = Window.partitionBy(key).orderBy(changed_at)
+    state = _state(tracked)
+    marked = log.withColumn("_new", (F.row_number().over(along) == 1) | ~F.lag(state).over(along).eqNullSafe(state))
+    numbered = marked.withColumn("_version", F.count_if("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    point = F.struct(F.col(changed_at).alias("at"), F.col(tie).alias("tie"))
+    versions = numbered.groupBy(key, "_version").agg(
+        F.max_by(state, F.col("_new")).alias("_state"), F.min(point).alias("_first"), F.array_sort(F.collect_list(F.when(~F.col("_new"), point))).alias("repeats"))
+    following = F.lead("_first.at").over(Window.partitionBy(key).orderBy("_version"))
+    return versions.withColumn("effective_to", following).select(
+        key, "_state.*", F.col("_first.at").alias("effective_from"), "effective_to", F.col("effective_to").isNull().alias("is_current"), F.col("_first.tie").alias("decided"), "repeats")
+
+
+def scd2_insert(history: DataFrame, changes: DataFrame, key: str, changed_at: str, tracked: Sequence[str], tie: str) -> DataFrame:
+    """A history of :func:`scd2_from_log` after changes of any time, late ones included.
+
+    Versions of keys without a change pass through. Those of the others are split and joined
+    again from their known changes, so batches in any order, or twice, give the same history
+    as the whole log at once. Rows with a null key or time are ignored.
+    """
+    known = changes.where(F.col(key).isNotNull() & F.col(changed_at).isNotNull()).select(key, changed_at, tie, *tracked)
+    touched = known.select(key).distinct()
+    points = _points(history.join(touched, key, "left_semi"), key, changed_at, tracked, tie).unionByName(known)
+    return history.join(touched, key, "left_anti").unionByName(scd2_from_log(points, key, changed_at, tracked, tie))
+
+
 def version_problems(dim: DataFrame, key: str, grain: str = "month") -> DataFrame:
     """Keys with overlapping validity or more than one current version.
 

@@ -49,50 +49,66 @@ def neighbour(
     )
 
 
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_ts: str,
-    right_ts: str,
-    values: Sequence[str],
-    grain: str = "month",
-) -> DataFrame:
-    """Newest right row at or before each left row, per key (point-in-time lookup).
+def _spread(df: DataFrame) -> Column:
+    """A number that tells the rows of one key and time apart, the same whenever a task runs."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
 
-    Both sides are cut into (key, period) groups. Inside a group the last right row
-    is filled forward; the last right row of earlier periods is carried in from a
-    window over one row per period. The right side holds one row per (key, time); NULL keys
-    match nothing.
+def swept(left: DataFrame, keys: Sequence[str], left_ts: str, tables: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """Rows of all sides in ranges of equal size by (key, time), written once: ``_range``, keys, ``_at``, ``_row`` or ``_pay<i>``.
+
+    Ranges come from a sample of the rows, not from the calendar, so a busy key, and even one
+    instant of it, is cut into as many ranges as it needs.
     """
-    keys, values = list(keys), list(values)
-    period = lambda ts: F.date_trunc(grain, F.col(ts)).cast("date")
-    # Right columns keep their names only inside the payload struct, so they cannot
-    # collide with left columns.
-    lefts = left.select(
-        *keys, F.col(left_ts).alias("_at"), period(left_ts).alias("_period"), F.lit(1).alias("_side"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
-    )
-    pay = F.struct(F.col(right_ts), *[F.col(v) for v in values])
-    rights = right.dropna(subset=keys).select(
-        *keys, F.col(right_ts).alias("_at"), period(right_ts).alias("_period"), F.lit(0).alias("_side"), pay.alias("_pay")
-    )
-    both = lefts.unionByName(rights, allowMissingColumns=True)
-    in_period = Window.partitionBy(*keys, "_period").orderBy("_at", "_side")
-    local = both.withColumn("_local", F.last("_pay", ignorenulls=True).over(in_period)).where("_side = 1")
-    ends = both.groupBy(*keys, "_period").agg(F.max_by("_pay", F.when(F.col("_side") == 0, F.col("_at"))).alias("_end"))
-    before = Window.partitionBy(*keys).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).drop("_end")
-    found = F.coalesce(F.col("_local"), F.col("_carried"))
-    return (
-        local.join(carried, [*keys, "_period"], "left")
-        .withColumn("_found", found)
-        .select(
-            "_row.*",
-            *([F.col(f"_found.{right_ts}").alias(f"{right_ts}_asof")] if right_ts in left.columns else [F.col(f"_found.{right_ts}")]),
-            *[F.col(f"_found.{v}") for v in values],
-        )
-    )
+    keys = list(keys)
+    # Columns keep their names only inside the structs, so they cannot collide.
+    sides = [left.select(*keys, F.col(left_ts).alias("_at"), F.lit(1).alias("_side"), _spread(left).alias("_tie"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"))]
+    for i, (table, ts, values) in enumerate(tables):
+        pay = F.struct(F.col(ts).alias("_ts"), *[F.col(f"`{v}`").alias(f"_v{j}") for j, v in enumerate(values)])
+        sides.append(table.dropna(subset=[*keys, ts]).select(*keys, F.col(ts).alias("_at"), F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_tie"), pay.alias(f"_pay{i}")))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    staged = both.repartitionByRange(*keys, "_at", "_side", "_tie").withColumn("_range", F.spark_partition_id())
+    path = scratch_path(left.sparkSession, "sweep")
+    staged.write.parquet(path)
+    return left.sparkSession.read.schema(staged.schema).parquet(path)
+
+
+def asof_sweep(left: DataFrame, keys: Sequence[str], left_ts: str, tables: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """Newest row at or before each left row, of each of several tables, in one pass.
+
+    ``tables`` holds (table, time column, value columns); each has one row per (key, time). All
+    rows are put in order together and shuffled once, whatever the number of tables. Inside a
+    range the newest row of each table is filled forward; from the end of each range the last
+    row of each table is handed on, one row per range, and counts where its key is the same.
+    NULL keys match nothing, and a row without a time finds nothing. A column that the left
+    side has as well gets the suffix ``_asof``.
+    """
+    keys = list(keys)
+    rows = swept(left, keys, left_ts, tables)
+    order = Window.partitionBy("_range", *keys).orderBy("_at", "_side")
+    count = range(len(tables))
+    key = F.struct(*[F.col(k) for k in keys])
+    local = rows.withColumns({f"_local{i}": F.last(f"_pay{i}", ignorenulls=True).over(order) for i in count}).where("_side = 1")
+    # The last row of each table in a range, in the order of keys and times.
+    ends = rows.groupBy("_range").agg(*[
+        F.max_by(F.struct(key.alias("key"), F.col(f"_pay{i}").alias("pay")), F.when(F.col(f"_pay{i}").isNotNull(), F.struct(*keys, "_at"))).alias(f"_end{i}") for i in count])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    carried = ends.select("_range", *[F.last(f"_end{i}", ignorenulls=True).over(before).alias(f"_carry{i}") for i in count])
+    found = local.join(F.broadcast(carried), "_range", "left")
+    taken, out = set(left.columns), [F.col("_row.*")]
+    for i, (_, ts, values) in enumerate(tables):
+        carry = F.when(F.col(f"_carry{i}.key") == key, F.col(f"_carry{i}.pay"))
+        found = found.withColumn(f"_found{i}", F.when(F.col("_at").isNotNull(), F.coalesce(F.col(f"_local{i}"), carry)))
+        for name, source in ((ts, "_ts"), *((v, f"_v{j}") for j, v in enumerate(values))):
+            name = f"{name}_asof" if name in taken else name
+            taken.add(name)
+            out.append(F.col(f"_found{i}.{source}").alias(name))
+    return found.select(*out)
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, values: Sequence[str]) -> DataFrame:
+    """Newest right row at or before each left row, per key (point-in-time lookup); see :func:`asof_sweep`."""
+    return asof_sweep(left, keys, left_ts, [(right, right_ts, values)])
 
 
 def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column], with_total: bool = False) -> DataFrame:

@@ -127,6 +127,23 @@ QUERIES["feature_lookup"] = _lookup
 ORACLE["feature_lookup"] = with_views("""SELECT l.*, p.property_type, p.bedrooms, p.destination_id, p.views_30d, p.click_through_rate, w.date, w."rainProbability" FROM l_conversion l LEFT JOIN f_property p USING (property_id)
     ASOF LEFT JOIN (SELECT CAST(substr("locationKey", 2) AS BIGINT) AS dest, date, "rainProbability" FROM fact_weather_daily WHERE is_precipitation_expected) w ON w.dest = p.destination_id AND l.engagement_date >= w.date""")
 
+
+
+def _lookups(c):
+    """Conversion labels with the newest booking day and the newest day of clicks of the listing: two tables, one sweep."""
+    labels, daily, engagement = features.conversion_labels(*t(c, "fact_property_engagement", "fact_booking_detail")), *t(c, "fact_booking_daily", "fact_property_engagement")
+    key = ("property_id",)
+    return features.training_set(labels, [
+        features.FeatureLookup(daily, key, ("booking_count", "total_guests"), "check_in_date"),
+        features.FeatureLookup(engagement.where("click_count > 0"), key, ("click_count",), "engagement_date"),
+    ], "engagement_date")
+
+
+QUERIES["feature_lookup_sweep"] = _lookups
+ORACLE["feature_lookup_sweep"] = with_views(f"""SELECT l.*, d.check_in_date, {big('d.booking_count')} AS booking_count, {big('d.total_guests')} AS total_guests, e.engagement_date AS engagement_date_asof, {big('e.click_count')} AS click_count
+    FROM l_conversion l ASOF LEFT JOIN fact_booking_daily d ON d.property_id = l.property_id AND l.engagement_date >= d.check_in_date
+    ASOF LEFT JOIN (SELECT * FROM fact_property_engagement WHERE click_count > 0) e ON e.property_id = l.property_id AND l.engagement_date >= e.engagement_date""")
+
 # --- labels -------------------------------------------------------------------------------------
 QUERIES["label_conversion"] = lambda c: features.conversion_labels(*t(c, "fact_property_engagement", "fact_booking_detail"))
 ORACLE["label_conversion"] = with_views("SELECT * FROM l_conversion")

@@ -228,7 +228,19 @@ def host_versions(cat):
         [F.desc("change_id"), F.desc("is_verified"), F.desc("is_active")])
 
 
+def _late_changes(cat):
+    """A history of a third of the change log, then the other changes in two batches, most of them late; the last batch twice."""
+    log, args = cat.source("user_changes"), ("user_id", "changed_at", ["user_type", "residence"], "change_id")
+    batch = lambda k: log.where(F.pmod("change_id", F.lit(3)) == k)
+    out = materialize(history.scd2_from_log(batch(1), *args), "late-changes")
+    for k in (2, 0, 0):
+        out = materialize(history.scd2_insert(out, batch(k), *args), "late-changes")
+    return out.drop("decided", "repeats")
+
+
 QUERIES["scd2_history"] = user_versions
+QUERIES["scd2_late_changes"] = _late_changes
+ORACLE["scd2_late_changes"] = with_views("SELECT * FROM user_versions")
 ORACLE["scd2_history"] = with_views("SELECT * FROM user_versions")
 QUERIES["scd2_history_hosts"] = host_versions
 ORACLE["scd2_history_hosts"] = with_views("SELECT * FROM host_versions")

@@ -44,6 +44,45 @@ def test_asof_join_without_right_rows(spark, skewed):
     assert got.count() == 600 and got.where("value IS NOT NULL").count() == 0
 
 
+@pytest.fixture
+def as_many_ranges(spark):
+    """Keep small ranges apart, as large ones are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_one_instant_of_a_hot_key_spreads_over_ranges(spark, as_many_ranges):
+    # Half of all rows are one key's, and most of those fall on one day.
+    left = spark.range(20_000).selectExpr("id", "IF(id % 2 = 0, 0, id % 500) AS k", "DATE_ADD(DATE'2000-01-01', CAST(IF(id % 8 < 6, 100, id % 300) AS INT)) AS t")
+    right = spark.range(0, 400).selectExpr("id % 20 AS k", "DATE_ADD(DATE'2000-01-01', CAST(id * 7 % 300 AS INT)) AS since", "id AS value").groupBy("k", "since").agg(F.max("value").alias("value"))
+    rows = ordered.swept(left, ["k"], "t", [(right, "since", ["value"])])
+    sizes = [r["count"] for r in rows.groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / 4
+    assert rows.where("k = 0 AND _side = 1").select("_range").distinct().count() >= 2
+    got = ordered.asof_join(left, right, ["k"], "t", "since", ["value"])
+    rights = {}
+    for k, since, value in right.collect():
+        rights.setdefault(k, []).append((since, value))
+    want = [(r.id, *max((h for h in rights.get(r.k, []) if h[0] <= r.t), default=(None, None))) for r in left.collect()]
+    assert rows_of(got.select("id", "since", "value")) == sorted(want, key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.strip(" +-:").startswith("Exchange") for line in plan.split("\n")) <= 3
+
+
+def test_several_tables_in_one_sweep(spark, skewed, as_many_ranges):
+    first = skewed.where("id % 4 = 0").groupBy("k", F.col("t").alias("since")).agg(F.max("id").alias("value"))
+    second = skewed.where("id % 9 = 0").groupBy("k", F.col("t").alias("t")).agg(F.min("id").alias("value"), F.max("id").alias("other"))
+    odd = spark.createDataFrame([(None, 9001, "2000-05-01"), (1, 9002, None)], "k int, id int, t string").withColumn("t", F.col("t").cast("date"))
+    left = skewed.select("k", "id", "t").unionByName(odd).withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    got = ordered.asof_sweep(left, ["k"], "t", [(first, "since", ["value"]), (second, "t", ["value", "other"])])
+    assert got.columns == ["k", "id", "t", "m", "since", "value", "t_asof", "value_asof", "other"]
+    firsts, seconds = [tuple(r) for r in first.collect()], [tuple(r) for r in second.collect()]
+    newest = lambda rows, r: max((x[1:] for x in rows if x[0] == r.k and r.t is not None and x[1] <= r.t), default=None)
+    want = [(r.id, *(newest(firsts, r) or (None, None)), *(newest(seconds, r) or (None, None, None))) for r in left.collect()]
+    assert rows_of(got.select("id", "since", "value", "t_asof", "value_asof", "other")) == sorted(want, key=str)
+
+
 def test_running_totals_with_a_frequent_value(spark):
     df = spark.range(1000).selectExpr("IF(id % 3 = 0, 7, id % 50) AS v", "id")
     got = ordered.running_totals(df, ["v", "id"], {"n": F.lit(1).cast("long"), "s": F.col("id")})
