@@ -34,7 +34,7 @@ from innsight.llm.tables import stored
 from innsight.llm.text import ascii_lower, scrambled
 
 LEAST_LETTERS, LEAST_COUNT, TIMES, SLIP = 7, 2, 10, 31
-GROUPS, MOST_COARSE, CELL = 20, 9, 20_000
+GROUPS, MOST_COARSE, CELL = 20, 9, 10_000
 WIDE = 40  # letters of a word compared in a matrix; longer ones one by one
 _STATE, _FREE = -2, -1  # of a word in its own cell; of a budget that is not to be spent
 _STEPS = scrambled(np.arange(1, 256, dtype=np.uint64))
@@ -77,7 +77,7 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.update(run_counts(i, t, least, slip))
-                if len(held) > 200_000:
+                if len(held) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], schema=schema)
                     held.clear()
         yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], schema=schema)
@@ -337,6 +337,7 @@ def _relatives(groups: Groups, rows: int):
             edge = int(np.flatnonzero(cell != cell[-1])[-1]) + 1 if cell[0] != cell[-1] else 0
             if edge:
                 yield told(table.slice(0, edge))
+                pa.default_memory_pool().release_unused()
                 held = pa.Table.from_arrays([c.take(pa.array(range(edge, len(table)))) for c in table.columns], names=table.column_names).to_batches()
         if held:
             yield told(pa.Table.from_batches(held))
@@ -344,7 +345,7 @@ def _relatives(groups: Groups, rows: int):
     return run, "word string, n_near long, most long, form string"
 
 
-def relatives(words: DataFrame, groups: Groups, rows: int = 150_000) -> DataFrame:
+def relatives(words: DataFrame, groups: Groups, rows: int = 60_000) -> DataFrame:
     """(word, n_near, most, form) of all words with a near word."""
     run, schema = _visits(groups)
     visits = words.mapInArrow(run, schema)
@@ -369,7 +370,7 @@ def roots(forms: DataFrame, steps: int) -> DataFrame:
 
 def spelling_variants(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_LETTERS, least_count: int = LEAST_COUNT, times: int = TIMES, slip: int = SLIP,
-    groups: int = GROUPS, cell: int = CELL, rows: int = 150_000,
+    groups: int = GROUPS, cell: int = CELL, rows: int = 60_000,
 ) -> DataFrame:
     """(word, n, form, form_n, n_near, root): one row for each distinct word of ``docs``.
 
