@@ -1,25 +1,26 @@
-"""Config-driven alert rules over the modelled tables.
+"""Config-driven alert rules over the modelled tables, compiled to one scan per table.
 
-A rule has a query (a function of the tables and the evaluation date that returns one
-row of figures plus ``alert_message``, or no row when it has nothing to say), a
-condition column, an operator and a threshold. ``evaluate`` turns rules into one row
-each: status, value and message. Dates are explicit, so an evaluation can be repeated.
+A rule names figures, says when it has something to report, and holds a message, a condition
+column, an operator and a threshold. The figures of all rules wanted are conditional
+aggregates: each source table is scanned once, grouped by day and listing at the same time,
+and ends as one row. Conditions, texts and comparisons run on that one row. Dates are
+explicit, so an evaluation can be repeated.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innsight.functions.shared import current, mean, percent, ratio
+from innsight.functions.shared import current, mean
 from innsight.operators.keys import upsert
+from innsight.sources.storage import materialize
 
 Tables = Callable[[str], DataFrame]
-RuleQuery = Callable[[Tables, Column], DataFrame]
 
 OPERATORS: dict[str, Callable[[Column, float], Column]] = {
     ">": lambda c, t: c > t,
@@ -35,378 +36,291 @@ OPERATORS: dict[str, Callable[[Column, float], Column]] = {
 
 @dataclass(frozen=True)
 class AlertRule:
+    """``columns``: name to SQL over figures and earlier columns; ``given``: when the rule has a row at all."""
+
     alert_id: str
     name: str
     domain: str
     severity: str
-    query: RuleQuery
+    columns: dict[str, str]
     column: str
     operator: str
     threshold: float
+    given: str = "TRUE"
     enabled: bool = True
     tags: str = "{}"
+    message: str = field(default="")
+
+
+# --- figures: one scan per table -----------------------------------------------------------------
+
+SUPERHOST_RATING = 4.8  # fixed value: rating from which a host counts as superhost
+MIN_VIEWS = 10  # fixed value: weekly views below which a listing has low engagement
+BY_DAY, BY_LISTING = 1, 2  # which grouping a row of a doubly grouped table belongs to
 
 
 def _day(as_of: Column, back: int) -> Column:
     return F.date_sub(as_of, back)
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
+class Scans:
+    """The figures of one evaluation; ``need`` names the groups of figures that will be asked for.
+
+    A grouped table that two figures use is written once, so that its source is scanned once.
+    """
+
+    def __init__(self, tables: Tables, as_of: str, need: set[str]):
+        self.tables, self.as_of, self.need, self.made = tables, F.lit(as_of).cast("date"), need, {}
+
+    def _once(self, name: str, df: Callable[[], DataFrame], askers: set[str]) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = materialize(df(), f"alert-{name}") if len(askers & self.need) > 1 else df()
+        return self.made[name]
+
+    def _grouped(self, table: str, date: str, back: int, askers: set[str], **measures: Column) -> DataFrame:
+        """A fact by day of the last ``back`` days, and by listing over all days, in one pass."""
+        recent = F.when(F.col(date).between(_day(self.as_of, back), self.as_of), F.col(date))
+        rows = lambda: self.tables(table).withColumn("_day", recent)
+        return self._once(table, lambda: rows().groupingSets(
+            [[F.col("_day")], [F.col("property_id")]], F.col("_day"), F.col("property_id")).agg(F.grouping_id().alias("_set"), *[m.alias(n) for n, m in measures.items()]), askers)
+
+    def _bookings(self) -> DataFrame:
+        since = lambda c: F.sum(F.when(F.col("check_in_date") >= _day(self.as_of, 30), F.col(c)))
+        return self._grouped(
+            "fact_booking_daily", "check_in_date", 30, {"bookings", "listings", "hosts"}, value=F.sum("total_booking_value"), n=F.sum("booking_count"), cancelled=F.sum("cancellation_count"),
+            rate=mean("payment_completion_rate"), rows=F.count(F.lit(1)), avg_value=mean("avg_booking_value"), recent=since("booking_count"))
+
+    def _views(self) -> DataFrame:
+        week = F.col("engagement_date") >= _day(self.as_of, 7)
+        return self._grouped(
+            "fact_property_engagement", "engagement_date", 7, {"engagement", "listings"}, views=F.sum("view_count"), users=F.sum("unique_user_views"), clicks=F.sum("click_count"),
+            converted=F.sum("conversion_rate").cast("double"), measured=F.count("conversion_rate"), rows=F.count(F.lit(1)), weekly=F.sum(F.when(week, F.col("view_count"))))
+
+    def _versions(self) -> DataFrame:
+        """Every version of a listing with what its listing sold and showed."""
+        def build() -> DataFrame:
+            sold = self._bookings().where(F.col("_set") == BY_LISTING).select("property_id", F.col("n").alias("sold"), F.col("recent").alias("sold_recently"))
+            out = self.tables("dim_property").select("property_id", "host_id", "base_price", "effective_from", "effective_to", "is_current").join(sold, "property_id", "left")
+            if "listings" in self.need:
+                out = out.join(self._views().where(F.col("_set") == BY_LISTING).select("property_id", "weekly"), "property_id", "left")
+            return out
+
+        return self._once("listing-versions", build, {"listings", "hosts", "prices"})
+
+    def bookings(self) -> DataFrame:
+        on = lambda back, c: F.sum(F.when(F.col("_day") == _day(self.as_of, back), F.col(c)))
+        week = F.col("_day").between(_day(self.as_of, 8), _day(self.as_of, 2))
+        return self._bookings().where((F.col("_set") == BY_DAY) & F.col("_day").isNotNull()).agg(
+            F.coalesce(on(1, "value"), F.lit(0)).cast("double").alias("yesterday_revenue"), mean(F.when(week, F.col("value"))).alias("avg_7d_revenue"),
+            on(1, "cancelled").alias("cancellations"), on(1, "n").alias("bookings"), F.coalesce(on(0, "n"), F.lit(0)).alias("today_bookings"), mean("n").alias("avg_bookings"),
+            F.stddev("n").alias("stddev_bookings"), on(1, "rate").alias("payment"), F.coalesce(on(1, "rows"), F.lit(0)).alias("sellers"), on(1, "value").cast("double").alias("total_revenue"),
+            on(1, "avg_value").alias("avg_booking_value"))
+
+    def engagement(self) -> DataFrame:
+        on = lambda back, c: F.sum(F.when(F.col("_day") == _day(self.as_of, back), F.col(c)))
+        week = lambda c: F.sum(F.when(F.col("_day") < self.as_of, F.col(c)))
+        return self._views().where((F.col("_set") == BY_DAY) & F.col("_day").isNotNull()).agg(
+            F.coalesce(on(0, "views"), F.lit(0)).alias("today_views"), F.coalesce(on(1, "views"), F.lit(0)).alias("yesterday_views"),
+            F.try_divide(on(1, "converted"), on(1, "measured")).alias("conversion"), F.coalesce(on(1, "rows"), F.lit(0)).alias("shown"), week("views").alias("total_views"),
+            week("users").alias("unique_users"), week("clicks").alias("total_clicks"), F.round(F.try_divide(week("converted"), week("measured")), 2).alias("avg_conversion_rate"))
+
+    def listings(self) -> DataFrame:
+        """Listings open on a day are told from the validity of their versions."""
+        open_at = lambda day: F.count_if((F.col("effective_from") <= day) & (F.col("effective_to").isNull() | (F.col("effective_to") > day)))
+        none = lambda c, least: F.count_if(F.col("is_current") & (F.coalesce(c, F.lit(0)) < least))
+        return self._versions().agg(
+            open_at(self.as_of).alias("current_count"), open_at(_day(self.as_of, 7)).alias("last_week_count"), none("weekly", MIN_VIEWS).alias("low_engagement_count"),
+            none("sold_recently", 1).alias("zero_booking_count"), F.count_if("is_current").alias("active_properties"), F.round(mean(F.when(F.col("is_current"), F.col("base_price"))), 2).alias("avg_listing_price"))
+
+    def prices(self) -> DataFrame:
+        """Listings priced over three deviations from the mean; mean and deviation are scalars."""
+        listed = self._versions().where("is_current AND base_price > 0").select(F.col("base_price").cast("double").alias("price"))
+        marked = listed.withColumn("m", listed.agg(F.struct(F.avg("price").alias("mean"), F.stddev("price").alias("dev"))).scalar())
+        return marked.where(F.abs(F.col("price") - F.col("m.mean")) > 3 * F.col("m.dev")).agg(F.count(F.lit(1)).alias("anomaly_count"), F.round(F.avg("price"), 2).alias("anomaly_price"))
+
+    def hosts(self) -> DataFrame:
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        own = self._versions().where("is_current").groupBy("host_id").agg(F.count(F.lit(1)).alias("listed"), total("sold").alias("sold"), total("sold_recently").alias("sold_recently"))
+        top = F.col("rating") >= SUPERHOST_RATING
+        return current(self.tables("dim_host")).select("host_id", "rating", "is_verified").join(own, "host_id", "left").agg(
+            F.count(F.lit(1)).alias("total_hosts"), F.count_if(top).alias("superhosts"), F.count_if("is_verified").alias("verified_hosts"), F.round(mean("rating"), 2).alias("avg_rating"),
+            F.count_if(F.col("rating") < 4.0).alias("affected_hosts"), F.coalesce(F.sum(F.when(top, F.col("listed"))), F.lit(0)).alias("superhost_properties"),
+            F.count_if(~F.col("is_verified") & (F.col("sold") > 10)).alias("unverified_high_booking_count"), F.count_if(F.col("sold_recently") == 0).alias("inactive_host_count"))
+
+    def users(self) -> DataFrame:
+        day, until = F.col("check_in_date"), F.col("check_in_date") <= self.as_of
+        spent = self.tables("fact_booking_detail").where(until).groupBy("user_id").agg(
+            F.sum("total_amount").alias("lifetime_value"), F.max(day).alias("last_booking_date"), F.count_if(day >= _day(self.as_of, 7)).alias("this_week"),
+            F.count_if((day >= _day(self.as_of, 14)) & (day < _day(self.as_of, 7))).alias("last_week"))
+        business = F.col("user_type") == "business"
+        since = lambda back: F.count_if(F.col("created_at") >= _day(self.as_of, back))
+        return current(self.tables("dim_user")).select("user_id", "created_at", "user_type").join(spent, "user_id", "left").agg(
+            F.count_if(F.col("created_at") == _day(self.as_of, 1)).alias("today_signups"), (since(30) / 30).alias("avg_daily_signups"),
+            F.count_if((F.col("lifetime_value") > 1000) & (F.col("last_booking_date") < _day(self.as_of, 90))).alias("at_risk_vip_count"),
+            F.coalesce(F.sum(F.when(business, F.col("this_week"))), F.lit(0)).alias("this_week_business"), F.coalesce(F.sum(F.when(business, F.col("last_week"))), F.lit(0)).alias("last_week_business"),
+            F.count(F.lit(1)).alias("total_customers"), since(7).alias("new_this_week"), F.count_if(business).alias("business_customers"), F.round(mean("lifetime_value"), 2).alias("avg_lifetime_value"))
+
+
+#: Which scan holds a figure.
+FIGURES = {
+    "bookings": "yesterday_revenue avg_7d_revenue cancellations bookings today_bookings avg_bookings stddev_bookings payment sellers total_revenue avg_booking_value",
+    "engagement": "today_views yesterday_views conversion shown total_views unique_users total_clicks avg_conversion_rate",
+    "listings": "current_count last_week_count low_engagement_count zero_booking_count active_properties avg_listing_price",
+    "prices": "anomaly_count anomaly_price",
+    "hosts": "total_hosts superhosts verified_hosts avg_rating affected_hosts superhost_properties unverified_high_booking_count inactive_host_count",
+    "users": "today_signups avg_daily_signups at_risk_vip_count this_week_business last_week_business total_customers new_this_week business_customers avg_lifetime_value",
+}
+_SCAN_OF = {name: scan for scan, names in FIGURES.items() for name in names.split()}
 
-def _money(c: Column) -> Column:
-    return F.format_number(c, 2)
 
+def _scans_of(rule: AlertRule) -> set[str]:
+    words = set(re.findall(r"\w+", " ".join([rule.given, rule.message, *rule.columns.values()])))
+    return {_SCAN_OF[w] for w in words & set(_SCAN_OF)}
 
-def _always(df: DataFrame) -> DataFrame:
-    return df.withColumn("always_trigger", F.lit(1))
 
+def figures(rules: Sequence[AlertRule], tables: Tables, as_of: str) -> DataFrame:
+    """One row with every figure of the scans that ``rules`` need."""
+    need = set().union(*map(_scans_of, rules))
+    scans = Scans(tables, as_of, need)
+    rows = {name: getattr(scans, name)() for name in FIGURES if name in need}
+    spark = next(iter(rows.values())).sparkSession
+    one = spark.range(1).select(*[df.agg(F.first(F.struct(*df.columns))).scalar().alias(name) for name, df in rows.items()])
+    return one.select(*[f"{name}.*" for name in rows])
 
-# --- revenue ------------------------------------------------------------------------------
 
-def revenue_drop(tables: Tables, as_of: Column) -> DataFrame:
-    """Yesterday's total against the mean of the seven days before it."""
-    days = (
-        tables("fact_booking_daily")
-        .where(F.col("check_in_date").between(_day(as_of, 8), _day(as_of, 1)))
-        .groupBy("check_in_date").agg(F.sum("total_booking_value").alias("value"))
-    )
-    earlier = F.when(F.col("check_in_date") < _day(as_of, 1), F.col("value"))
-    row = days.agg(
-        F.coalesce(F.sum(F.when(F.col("check_in_date") == _day(as_of, 1), F.col("value"))), F.lit(0)).cast("double").alias("yesterday_revenue"),
-        mean(earlier).alias("avg_7d_revenue"),
-    )
-    change = F.round((F.col("yesterday_revenue") - F.col("avg_7d_revenue")) / F.col("avg_7d_revenue") * 100, 1)
-    return row.where(F.col("yesterday_revenue") < F.col("avg_7d_revenue") * 0.8).withColumn("pct_change", change).withColumn(
-        "alert_message",
-        _text("CRITICAL: Revenue dropped ", -F.col("pct_change"), "% below 7-day average ($", _money(F.col("yesterday_revenue")),
-              " vs avg $", _money(F.col("avg_7d_revenue")), ")"),
-    )
+def _said(message: str) -> Column:
+    """The text of a message; {SQL} stands for a value."""
+    parts = re.split(r"\{([^}]*)\}", message)
+    return F.concat(*[F.expr(p).cast("string") if k % 2 else F.lit(p) for k, p in enumerate(parts) if p])
 
 
-def cancellation_spike(tables: Tables, as_of: Column) -> DataFrame:
-    row = tables("fact_booking_daily").where(F.col("check_in_date") == _day(as_of, 1)).agg(
-        F.sum("cancellation_count").alias("cancellations"), F.sum("booking_count").alias("bookings")
-    )
-    return row.where(ratio("cancellations", "bookings") > 0.15).withColumn(
-        "cancellation_rate", F.round(percent("cancellations", "bookings"), 1)
-    ).withColumn(
-        "alert_message",
-        _text("CRITICAL: Cancellation rate at ", F.col("cancellation_rate"), "% (", F.col("cancellations"), " of ", F.col("bookings"), " bookings)"),
-    )
+# --- rules -----------------------------------------------------------------------------------------
 
+_DROP = "round(try_divide(CAST({0} - {1} AS DOUBLE), CAST({0} AS DOUBLE)) * 100, 1)"
 
-def volume_anomaly(tables: Tables, as_of: Column) -> DataFrame:
-    """Bookings of the day against 30 days; both directions count, so the condition reads the absolute z-score."""
-    days = (
-        tables("fact_booking_daily").where(F.col("check_in_date").between(_day(as_of, 30), as_of))
-        .groupBy("check_in_date").agg(F.sum("booking_count").alias("n"))
-    )
-    row = days.agg(
-        F.coalesce(F.sum(F.when(F.col("check_in_date") == as_of, F.col("n"))), F.lit(0)).alias("today_bookings"),
-        mean("n").alias("avg_bookings"), F.stddev("n").alias("stddev_bookings"),
-    )
-    z = (F.col("today_bookings") - F.col("avg_bookings")) / F.col("stddev_bookings")
-    return row.where((F.col("stddev_bookings") > 0) & (F.abs(F.col("today_bookings") - F.col("avg_bookings")) > 2 * F.col("stddev_bookings"))).withColumn(
-        "z_score", F.round(F.abs(z), 1)
-    ).withColumn(
-        "alert_message",
-        _text("WARNING: Booking volume anomaly - ", F.col("today_bookings"), " bookings (", F.round(z, 1), " std deviations from 30-day mean of ",
-              F.round("avg_bookings", 0).cast("long"), ")"),
-    )
+# The 21 rules with their figures, conditions and message texts.
+RULES: list[AlertRule] = [
+    AlertRule(
+        "REV-001-CRIT", "Revenue Drop Alert", "revenue", "CRITICAL",
+        {"yesterday_revenue": "yesterday_revenue", "avg_7d_revenue": "avg_7d_revenue", "pct_change": "round((yesterday_revenue - avg_7d_revenue) / avg_7d_revenue * 100, 1)"},
+        "pct_change", "<", -20, given="yesterday_revenue < avg_7d_revenue * 0.8",
+        message="CRITICAL: Revenue dropped {-pct_change}% below 7-day average (${format_number(yesterday_revenue, 2)} vs avg ${format_number(avg_7d_revenue, 2)})"),
+    AlertRule(
+        "REV-002-CRIT", "High Cancellation Rate", "revenue", "CRITICAL",
+        {"cancellations": "cancellations", "bookings": "bookings", "cancellation_rate": "round(try_divide(CAST(cancellations AS DOUBLE), CAST(bookings AS DOUBLE)) * 100, 1)"},
+        "cancellation_rate", ">", 15, given="try_divide(CAST(cancellations AS DOUBLE), CAST(bookings AS DOUBLE)) > 0.15",
+        message="CRITICAL: Cancellation rate at {cancellation_rate}% ({cancellations} of {bookings} bookings)"),
+    AlertRule(
+        "REV-003-WARN", "Booking Volume Anomaly", "revenue", "WARNING",
+        {"today_bookings": "today_bookings", "avg_bookings": "avg_bookings", "stddev_bookings": "stddev_bookings", "z_score": "round(abs((today_bookings - avg_bookings) / stddev_bookings), 1)"},
+        "z_score", ">", 2, given="stddev_bookings > 0 AND abs(today_bookings - avg_bookings) > 2 * stddev_bookings",  # both directions count
+        message="WARNING: Booking volume anomaly - {today_bookings} bookings ({round((today_bookings - avg_bookings) / stddev_bookings, 1)} std deviations from 30-day mean of {CAST(round(avg_bookings, 0) AS BIGINT)})"),
+    AlertRule(
+        "REV-004-WARN", "Payment Completion Drop", "revenue", "WARNING", {"rate": "payment", "property_count": "sellers", "payment_rate": "round(payment, 1)"}, "payment_rate", "<", 90, given="payment < 90",
+        message="WARNING: Payment completion rate at {round(payment, 1)}% (threshold: 90%)"),
+    AlertRule(
+        "REV-005-INFO", "Daily Revenue Summary", "revenue", "INFO",
+        {"total_revenue": "total_revenue", "total_bookings": "bookings", "avg_booking_value": "avg_booking_value", "always_trigger": "1"}, "always_trigger", "=", 1,
+        message="Daily Summary: ${format_number(total_revenue, 2)} revenue from {bookings} bookings (Avg: ${format_number(avg_booking_value, 2)})"),
+    AlertRule(
+        "ENG-001-CRIT", "Traffic Crash", "engagement", "CRITICAL",
+        {"today_views": "today_views", "yesterday_views": "yesterday_views", "pct_drop": _DROP.format("yesterday_views", "today_views")}, "pct_drop", ">", 50,
+        given="yesterday_views > 0 AND today_views < yesterday_views * 0.5", message="CRITICAL: Traffic down {pct_drop}% vs yesterday ({today_views} vs {yesterday_views} views)"),
+    AlertRule(
+        "ENG-002-WARN", "Conversion Rate Drop", "engagement", "WARNING", {"rate": "conversion", "property_count": "shown", "avg_conversion": "round(conversion, 2)"}, "avg_conversion", "<", 2,
+        given="conversion < 2", message="WARNING: Conversion rate at {round(conversion, 2)}% (threshold: 2%)"),
+    AlertRule(
+        "ENG-003-WARN", "Low Engagement Properties", "engagement", "WARNING", {"low_engagement_count": "low_engagement_count"}, "low_engagement_count", ">", 0, given="low_engagement_count > 0",
+        message="WARNING: {low_engagement_count} properties have <10 views in past 7 days"),
+    AlertRule(
+        "ENG-004-INFO", "Weekly Engagement Summary", "engagement", "INFO",
+        {**{c: c for c in ("total_views", "unique_users", "total_clicks", "avg_conversion_rate")}, "always_trigger": "1"}, "always_trigger", "=", 1,
+        message="Weekly Summary: {format_number(total_views, 0)} views, {format_number(unique_users, 0)} unique users, {avg_conversion_rate}% avg conversion"),
+    AlertRule(
+        "PROP-001-CRIT", "Inventory Drop", "property", "CRITICAL",
+        {"current_count": "current_count", "last_week_count": "last_week_count", "pct_drop": _DROP.format("last_week_count", "current_count")}, "pct_drop", ">", 10,
+        given="last_week_count > 0 AND current_count < last_week_count * 0.9", message="CRITICAL: Active listings dropped {pct_drop}% WoW ({current_count} vs {last_week_count})"),
+    AlertRule(
+        "PROP-002-WARN", "Price Anomaly", "property", "WARNING", {"anomaly_count": "anomaly_count", "avg_price": "anomaly_price"}, "anomaly_count", ">", 0, given="anomaly_count > 0",
+        message="WARNING: {anomaly_count} properties have price anomalies (>3 std from mean of ${anomaly_price})"),
+    AlertRule(
+        "PROP-003-WARN", "Zero Booking Properties", "property", "WARNING", {"zero_booking_count": "zero_booking_count"}, "zero_booking_count", ">", 0, given="zero_booking_count > 0",
+        message="WARNING: {zero_booking_count} active properties have had 0 bookings in past 30 days"),
+    AlertRule(
+        "PROP-004-INFO", "Property Portfolio Summary", "property", "INFO",
+        {"active_properties": "active_properties", "superhost_properties": "superhost_properties", "avg_price": "avg_listing_price", "always_trigger": "1"}, "always_trigger", "=", 1,
+        message="Portfolio Summary: {active_properties} active properties, {superhost_properties} superhost, avg ${avg_listing_price}/night"),
+    AlertRule(
+        "HOST-001-CRIT", "Host Rating Crash", "host", "CRITICAL", {"affected_hosts": "affected_hosts"}, "affected_hosts", ">", 0, given="affected_hosts > 0",
+        message="CRITICAL: {affected_hosts} hosts are rated below 4.0"),
+    AlertRule(
+        "HOST-002-WARN", "Unverified Host with High Bookings", "host", "WARNING", {"unverified_high_booking_count": "unverified_high_booking_count"}, "unverified_high_booking_count", ">", 0,
+        given="unverified_high_booking_count > 0", message="WARNING: {unverified_high_booking_count} unverified hosts have >10 bookings"),
+    AlertRule(
+        "HOST-003-WARN", "Inactive Host Alert", "host", "WARNING", {"inactive_host_count": "inactive_host_count"}, "inactive_host_count", ">", 5, given="inactive_host_count > 5",
+        message="WARNING: {inactive_host_count} hosts have had no booking activity in past 30 days"),
+    AlertRule(
+        "HOST-004-INFO", "Host Performance Summary", "host", "INFO", {**{c: c for c in ("total_hosts", "superhosts", "verified_hosts", "avg_rating")}, "always_trigger": "1"}, "always_trigger", "=", 1,
+        message="Host Summary: {total_hosts} total hosts, {superhosts} superhosts, {verified_hosts} verified, avg rating {avg_rating}"),
+    AlertRule(
+        "CUST-001-CRIT", "New Customer Drop", "customer", "CRITICAL",
+        {"today_signups": "today_signups", "avg_daily_signups": "avg_daily_signups", "pct_below_avg": "round((avg_daily_signups - today_signups) / avg_daily_signups * 100, 1)"},
+        "pct_below_avg", ">", 50, given="avg_daily_signups > 0 AND today_signups < avg_daily_signups * 0.5",
+        message="CRITICAL: New signups at {today_signups} ({pct_below_avg}% below 30-day avg of {CAST(round(avg_daily_signups, 0) AS BIGINT)})"),
+    AlertRule(
+        "CUST-002-WARN", "High Value Customer Churn", "customer", "WARNING", {"at_risk_vip_count": "at_risk_vip_count"}, "at_risk_vip_count", ">", 0, given="at_risk_vip_count > 0",
+        message="WARNING: {at_risk_vip_count} high-value customers have had no activity in 90+ days"),
+    AlertRule(
+        "CUST-003-WARN", "Business Customer Decline", "customer", "WARNING",
+        {"this_week_business": "this_week_business", "last_week_business": "last_week_business", "pct_drop": _DROP.format("last_week_business", "this_week_business")}, "pct_drop", ">", 20,
+        given="last_week_business > 0 AND this_week_business < last_week_business * 0.8",
+        message="WARNING: Business bookings down {pct_drop}% WoW ({this_week_business} vs {last_week_business})"),
+    AlertRule(
+        "CUST-004-INFO", "Customer Growth Summary", "customer", "INFO",
+        {**{c: c for c in ("total_customers", "new_this_week", "business_customers", "avg_lifetime_value")}, "always_trigger": "1"}, "always_trigger", "=", 1,
+        message="Customer Summary: {total_customers} total, {new_this_week} new this week, avg LTV ${avg_lifetime_value}"),
+]
 
 
-def payment_completion(tables: Tables, as_of: Column) -> DataFrame:
-    row = tables("fact_booking_daily").where(F.col("check_in_date") == _day(as_of, 1)).agg(
-        mean("payment_completion_rate").alias("rate"), F.count(F.lit(1)).alias("property_count")
-    )
-    return row.where("rate < 90").withColumn("payment_rate", F.round("rate", 1)).withColumn(
-        "alert_message", _text("WARNING: Payment completion rate at ", F.col("payment_rate"), "% (threshold: 90%)")
-    )
+def _told(one: DataFrame, rule: AlertRule) -> DataFrame:
+    """The figures with the rule's columns and message, where it has something to report."""
+    fresh = {name: F.expr(sql) for name, sql in rule.columns.items() if name != sql}
+    return one.where(rule.given).withColumns(fresh).withColumn("alert_message", _said(rule.message))
 
 
-def revenue_summary(tables: Tables, as_of: Column) -> DataFrame:
-    row = tables("fact_booking_daily").where(F.col("check_in_date") == _day(as_of, 1)).agg(
-        F.sum("total_booking_value").cast("double").alias("total_revenue"), F.sum("booking_count").alias("total_bookings"),
-        mean("avg_booking_value").alias("avg_booking_value"),
-    )
-    return _always(row).withColumn(
-        "alert_message",
-        _text("Daily Summary: $", _money(F.col("total_revenue")), " revenue from ", F.col("total_bookings"), " bookings (Avg: $",
-              _money(F.col("avg_booking_value")), ")"),
-    )
+def run_rule(rule: AlertRule, tables: Tables, as_of: str) -> DataFrame:
+    return _told(figures([rule], tables, as_of), rule).select(*rule.columns, "alert_message")
 
 
-# --- engagement -----------------------------------------------------------------------------
+def _verdict(rule: AlertRule) -> Column:
+    """Status, value and message of a rule as one struct over the figures."""
+    def inlined(sql: str) -> str:
+        return re.sub(r"\w+", lambda w: f"({rule.columns[w[0]]})" if rule.columns.get(w[0], w[0]) != w[0] else w[0], sql)
 
-def traffic_crash(tables: Tables, as_of: Column) -> DataFrame:
-    on = lambda day: F.coalesce(F.sum(F.when(F.col("engagement_date") == day, F.col("view_count"))), F.lit(0))
-    row = tables("fact_property_engagement").where(F.col("engagement_date").between(_day(as_of, 1), as_of)).agg(
-        on(as_of).alias("today_views"), on(_day(as_of, 1)).alias("yesterday_views")
-    )
-    drop = percent(F.col("yesterday_views") - F.col("today_views"), "yesterday_views")
-    return row.where("yesterday_views > 0 AND today_views < yesterday_views * 0.5").withColumn("pct_drop", F.round(drop, 1)).withColumn(
-        "alert_message",
-        _text("CRITICAL: Traffic down ", F.col("pct_drop"), "% vs yesterday (", F.col("today_views"), " vs ", F.col("yesterday_views"), " views)"),
-    )
+    given = F.coalesce(F.expr(rule.given), F.lit(False))
+    value = F.expr(inlined(rule.column)).cast("double")
+    message = re.sub(r"\{([^}]*)\}", lambda m: "{" + inlined(m[1]) + "}", rule.message)
+    hit = OPERATORS.get(rule.operator, OPERATORS[">"])(value, rule.threshold)
+    return F.struct(
+        F.lit(rule.alert_id).alias("alert_id"), F.lit(rule.domain).alias("domain"), F.lit(rule.severity).alias("severity"),
+        F.when(~given, "EMPTY").when(hit, "TRIGGERED").otherwise("OK").alias("status"), F.when(given, value).alias("value"), F.when(given, _said(message)).alias("message"))
 
 
-def conversion_drop(tables: Tables, as_of: Column) -> DataFrame:
-    row = tables("fact_property_engagement").where(F.col("engagement_date") == _day(as_of, 1)).agg(
-        mean("conversion_rate").alias("rate"), F.count(F.lit(1)).alias("property_count")
-    )
-    return row.where("rate < 2").withColumn("avg_conversion", F.round("rate", 2)).withColumn(
-        "alert_message", _text("WARNING: Conversion rate at ", F.col("avg_conversion"), "% (threshold: 2%)")
-    )
+def evaluate(rules: Sequence[AlertRule], tables: Tables, as_of: str) -> DataFrame:
+    """One row per enabled rule: TRIGGERED, OK, or EMPTY when it has nothing to report."""
+    enabled = [r for r in rules if r.enabled]
+    return figures(enabled, tables, as_of).select(F.inline(F.array(*[_verdict(r) for r in enabled])))
 
 
-def low_engagement_properties(tables: Tables, as_of: Column, min_views: int = 10) -> DataFrame:
+def low_engagement_properties(tables: Tables, as_of: Column, min_views: int = MIN_VIEWS) -> DataFrame:
     """Current listings below ``min_views`` in a week, one row each; a table because the list can be long."""
-    views = tables("fact_property_engagement").where(F.col("engagement_date") >= _day(as_of, 7)).groupBy("property_id").agg(
-        F.sum("view_count").alias("weekly_views")
-    )
+    views = tables("fact_property_engagement").where(F.col("engagement_date") >= _day(as_of, 7)).groupBy("property_id").agg(F.sum("view_count").alias("weekly_views"))
     return (
         current(tables("dim_property")).select("property_id").join(views, "property_id", "left")
         .withColumn("weekly_views", F.coalesce("weekly_views", F.lit(0))).where(F.col("weekly_views") < min_views)
     )
 
 
-def low_engagement(tables: Tables, as_of: Column) -> DataFrame:
-    row = low_engagement_properties(tables, as_of).agg(F.count(F.lit(1)).alias("low_engagement_count"))
-    return row.where("low_engagement_count > 0").withColumn(
-        "alert_message", _text("WARNING: ", F.col("low_engagement_count"), " properties have <10 views in past 7 days")
-    )
-
-
-def engagement_summary(tables: Tables, as_of: Column) -> DataFrame:
-    row = tables("fact_property_engagement").where(F.col("engagement_date").between(_day(as_of, 7), _day(as_of, 1))).agg(
-        F.sum("view_count").alias("total_views"), F.sum("unique_user_views").alias("unique_users"), F.sum("click_count").alias("total_clicks"),
-        F.round(mean("conversion_rate"), 2).alias("avg_conversion_rate"),
-    )
-    return _always(row).withColumn(
-        "alert_message",
-        _text("Weekly Summary: ", F.format_number("total_views", 0), " views, ", F.format_number("unique_users", 0), " unique users, ",
-              F.col("avg_conversion_rate"), "% avg conversion"),
-    )
-
-
-# --- property -----------------------------------------------------------------------------------
-
-def inventory_drop(tables: Tables, as_of: Column) -> DataFrame:
-    """Listings open today against listings open a week ago, from the validity intervals."""
-    open_at = lambda day: (F.col("effective_from") <= day) & (F.col("effective_to").isNull() | (F.col("effective_to") > day))
-    row = tables("dim_property").agg(
-        F.count_if(open_at(as_of)).alias("current_count"), F.count_if(open_at(_day(as_of, 7))).alias("last_week_count")
-    )
-    drop = percent(F.col("last_week_count") - F.col("current_count"), "last_week_count")
-    return row.where("last_week_count > 0 AND current_count < last_week_count * 0.9").withColumn("pct_drop", F.round(drop, 1)).withColumn(
-        "alert_message",
-        _text("CRITICAL: Active listings dropped ", F.col("pct_drop"), "% WoW (", F.col("current_count"), " vs ", F.col("last_week_count"), ")"),
-    )
-
-
-def price_anomaly(tables: Tables, as_of: Column) -> DataFrame:
-    """Listings priced over three deviations from the mean; mean and deviation are scalars."""
-    price = F.col("base_price").cast("double")
-    listed = current(tables("dim_property")).where("base_price > 0").select(price.alias("price"))
-    moments = listed.agg(F.struct(F.avg("price").alias("mean"), F.stddev("price").alias("dev"))).scalar()
-    marked = listed.withColumn("m", moments)
-    row = marked.where(F.abs(F.col("price") - F.col("m.mean")) > 3 * F.col("m.dev")).agg(
-        F.count(F.lit(1)).alias("anomaly_count"), F.round(F.avg("price"), 2).alias("avg_price")
-    )
-    return row.where("anomaly_count > 0").withColumn(
-        "alert_message", _text("WARNING: ", F.col("anomaly_count"), " properties have price anomalies (>3 std from mean of $", F.col("avg_price"), ")")
-    )
-
-
-def _recent_bookings(tables: Tables, as_of: Column, days: int = 30) -> DataFrame:
-    return tables("fact_booking_daily").where(F.col("check_in_date") >= _day(as_of, days)).groupBy("property_id").agg(
-        F.sum("booking_count").alias("recent")
-    )
-
-
-def zero_bookings(tables: Tables, as_of: Column) -> DataFrame:
-    idle = current(tables("dim_property")).select("property_id").join(
-        _recent_bookings(tables, as_of).where("recent > 0"), "property_id", "left_anti"
-    )
-    row = idle.agg(F.count(F.lit(1)).alias("zero_booking_count"))
-    return row.where("zero_booking_count > 0").withColumn(
-        "alert_message", _text("WARNING: ", F.col("zero_booking_count"), " active properties have had 0 bookings in past 30 days")
-    )
-
-
-SUPERHOST_RATING = 4.8  # fixed value: rating from which a host counts as superhost
-
-
-def portfolio_summary(tables: Tables, as_of: Column) -> DataFrame:
-    hosts = current(tables("dim_host")).select("host_id", (F.col("rating") >= SUPERHOST_RATING).alias("super"))
-    row = current(tables("dim_property")).join(hosts, "host_id", "left").agg(
-        F.count(F.lit(1)).alias("active_properties"), F.count_if("super").alias("superhost_properties"),
-        F.round(mean("base_price"), 2).alias("avg_price"),
-    )
-    return _always(row).withColumn(
-        "alert_message",
-        _text("Portfolio Summary: ", F.col("active_properties"), " active properties, ", F.col("superhost_properties"), " superhost, avg $",
-              F.col("avg_price"), "/night"),
-    )
-
-
-# --- host ------------------------------------------------------------------------------------------
-
-def low_ratings(tables: Tables, as_of: Column) -> DataFrame:
-    row = current(tables("dim_host")).where("rating < 4.0").agg(F.count(F.lit(1)).alias("affected_hosts"))
-    return row.where("affected_hosts > 0").withColumn(
-        "alert_message", _text("CRITICAL: ", F.col("affected_hosts"), " hosts are rated below 4.0")
-    )
-
-
-def _bookings_per_host(tables: Tables, per_property: DataFrame) -> DataFrame:
-    """Hosts with at least one current listing and their booking totals."""
-    return current(tables("dim_property")).select("host_id", "property_id").join(per_property, "property_id", "left").groupBy("host_id").agg(
-        F.coalesce(F.sum("recent"), F.lit(0)).alias("n")
-    )
-
-
-def unverified_busy(tables: Tables, as_of: Column) -> DataFrame:
-    per_property = tables("fact_booking_daily").groupBy("property_id").agg(F.sum("booking_count").alias("recent"))
-    busy = _bookings_per_host(tables, per_property).where("n > 10")
-    row = current(tables("dim_host")).where("NOT is_verified").join(busy, "host_id", "left_semi").agg(
-        F.count(F.lit(1)).alias("unverified_high_booking_count")
-    )
-    return row.where("unverified_high_booking_count > 0").withColumn(
-        "alert_message", _text("WARNING: ", F.col("unverified_high_booking_count"), " unverified hosts have >10 bookings")
-    )
-
-
-def idle_hosts(tables: Tables, as_of: Column) -> DataFrame:
-    idle = _bookings_per_host(tables, _recent_bookings(tables, as_of)).where("n = 0")
-    row = current(tables("dim_host")).join(idle, "host_id", "left_semi").agg(F.count(F.lit(1)).alias("inactive_host_count"))
-    return row.where("inactive_host_count > 5").withColumn(
-        "alert_message", _text("WARNING: ", F.col("inactive_host_count"), " hosts have had no booking activity in past 30 days")
-    )
-
-
-def host_summary(tables: Tables, as_of: Column) -> DataFrame:
-    row = current(tables("dim_host")).agg(
-        F.count(F.lit(1)).alias("total_hosts"), F.count_if(F.col("rating") >= SUPERHOST_RATING).alias("superhosts"),
-        F.count_if("is_verified").alias("verified_hosts"), F.round(mean("rating"), 2).alias("avg_rating"),
-    )
-    return _always(row).withColumn(
-        "alert_message",
-        _text("Host Summary: ", F.col("total_hosts"), " total hosts, ", F.col("superhosts"), " superhosts, ", F.col("verified_hosts"),
-              " verified, avg rating ", F.col("avg_rating")),
-    )
-
-
-# --- customer ---------------------------------------------------------------------------------------
-
-def signup_drop(tables: Tables, as_of: Column) -> DataFrame:
-    recent = current(tables("dim_user")).where(F.col("created_at") >= _day(as_of, 30))
-    row = recent.agg(
-        F.count_if(F.col("created_at") == _day(as_of, 1)).alias("today_signups"), (F.count(F.lit(1)) / 30).alias("avg_daily_signups")
-    )
-    below = (F.col("avg_daily_signups") - F.col("today_signups")) / F.col("avg_daily_signups") * 100
-    return row.where("avg_daily_signups > 0 AND today_signups < avg_daily_signups * 0.5").withColumn("pct_below_avg", F.round(below, 1)).withColumn(
-        "alert_message",
-        _text("CRITICAL: New signups at ", F.col("today_signups"), " (", F.col("pct_below_avg"), "% below 30-day avg of ",
-              F.round("avg_daily_signups", 0).cast("long"), ")"),
-    )
-
-
-def _lifetime(tables: Tables, as_of: Column) -> DataFrame:
-    return tables("fact_booking_detail").where(F.col("check_in_date") <= as_of).groupBy("user_id").agg(
-        F.sum("total_amount").alias("lifetime_value"), F.max("check_in_date").alias("last_booking_date")
-    )
-
-
-def vip_churn(tables: Tables, as_of: Column) -> DataFrame:
-    gone = _lifetime(tables, as_of).where((F.col("lifetime_value") > 1000) & (F.col("last_booking_date") < _day(as_of, 90)))
-    row = current(tables("dim_user")).join(gone, "user_id", "left_semi").agg(F.count(F.lit(1)).alias("at_risk_vip_count"))
-    return row.where("at_risk_vip_count > 0").withColumn(
-        "alert_message", _text("WARNING: ", F.col("at_risk_vip_count"), " high-value customers have had no activity in 90+ days")
-    )
-
-
-def business_decline(tables: Tables, as_of: Column) -> DataFrame:
-    """Business bookings of this week against the week before, joined on the customer."""
-    day = F.col("check_in_date")
-    weeks = tables("fact_booking_detail").where(day.between(_day(as_of, 14), as_of)).groupBy("user_id").agg(
-        F.count_if(day >= _day(as_of, 7)).alias("this_week"), F.count_if(day < _day(as_of, 7)).alias("last_week")
-    )
-    row = current(tables("dim_user")).where("user_type = 'business'").select("user_id").join(weeks, "user_id").agg(
-        F.coalesce(F.sum("this_week"), F.lit(0)).alias("this_week_business"), F.coalesce(F.sum("last_week"), F.lit(0)).alias("last_week_business")
-    )
-    drop = percent(F.col("last_week_business") - F.col("this_week_business"), "last_week_business")
-    return row.where("last_week_business > 0 AND this_week_business < last_week_business * 0.8").withColumn("pct_drop", F.round(drop, 1)).withColumn(
-        "alert_message",
-        _text("WARNING: Business bookings down ", F.col("pct_drop"), "% WoW (", F.col("this_week_business"), " vs ", F.col("last_week_business"), ")"),
-    )
-
-
-def customer_summary(tables: Tables, as_of: Column) -> DataFrame:
-    users = current(tables("dim_user")).join(_lifetime(tables, as_of), "user_id", "left")
-    row = users.agg(
-        F.count(F.lit(1)).alias("total_customers"), F.count_if(F.col("created_at") >= _day(as_of, 7)).alias("new_this_week"),
-        F.count_if(F.col("user_type") == "business").alias("business_customers"), F.round(mean("lifetime_value"), 2).alias("avg_lifetime_value"),
-    )
-    return _always(row).withColumn(
-        "alert_message",
-        _text("Customer Summary: ", F.col("total_customers"), " total, ", F.col("new_this_week"), " new this week, avg LTV $", F.col("avg_lifetime_value")),
-    )
-
-
-# The 21 rules with their conditions.
-RULES: list[AlertRule] = [
-    AlertRule("REV-001-CRIT", "Revenue Drop Alert", "revenue", "CRITICAL", revenue_drop, "pct_change", "<", -20),
-    AlertRule("REV-002-CRIT", "High Cancellation Rate", "revenue", "CRITICAL", cancellation_spike, "cancellation_rate", ">", 15),
-    AlertRule("REV-003-WARN", "Booking Volume Anomaly", "revenue", "WARNING", volume_anomaly, "z_score", ">", 2),
-    AlertRule("REV-004-WARN", "Payment Completion Drop", "revenue", "WARNING", payment_completion, "payment_rate", "<", 90),
-    AlertRule("REV-005-INFO", "Daily Revenue Summary", "revenue", "INFO", revenue_summary, "always_trigger", "=", 1),
-    AlertRule("ENG-001-CRIT", "Traffic Crash", "engagement", "CRITICAL", traffic_crash, "pct_drop", ">", 50),
-    AlertRule("ENG-002-WARN", "Conversion Rate Drop", "engagement", "WARNING", conversion_drop, "avg_conversion", "<", 2),
-    AlertRule("ENG-003-WARN", "Low Engagement Properties", "engagement", "WARNING", low_engagement, "low_engagement_count", ">", 0),
-    AlertRule("ENG-004-INFO", "Weekly Engagement Summary", "engagement", "INFO", engagement_summary, "always_trigger", "=", 1),
-    AlertRule("PROP-001-CRIT", "Inventory Drop", "property", "CRITICAL", inventory_drop, "pct_drop", ">", 10),
-    AlertRule("PROP-002-WARN", "Price Anomaly", "property", "WARNING", price_anomaly, "anomaly_count", ">", 0),
-    AlertRule("PROP-003-WARN", "Zero Booking Properties", "property", "WARNING", zero_bookings, "zero_booking_count", ">", 0),
-    AlertRule("PROP-004-INFO", "Property Portfolio Summary", "property", "INFO", portfolio_summary, "always_trigger", "=", 1),
-    AlertRule("HOST-001-CRIT", "Host Rating Crash", "host", "CRITICAL", low_ratings, "affected_hosts", ">", 0),
-    AlertRule("HOST-002-WARN", "Unverified Host with High Bookings", "host", "WARNING", unverified_busy, "unverified_high_booking_count", ">", 0),
-    AlertRule("HOST-003-WARN", "Inactive Host Alert", "host", "WARNING", idle_hosts, "inactive_host_count", ">", 5),
-    AlertRule("HOST-004-INFO", "Host Performance Summary", "host", "INFO", host_summary, "always_trigger", "=", 1),
-    AlertRule("CUST-001-CRIT", "New Customer Drop", "customer", "CRITICAL", signup_drop, "pct_below_avg", ">", 50),
-    AlertRule("CUST-002-WARN", "High Value Customer Churn", "customer", "WARNING", vip_churn, "at_risk_vip_count", ">", 0),
-    AlertRule("CUST-003-WARN", "Business Customer Decline", "customer", "WARNING", business_decline, "pct_drop", ">", 20),
-    AlertRule("CUST-004-INFO", "Customer Growth Summary", "customer", "INFO", customer_summary, "always_trigger", "=", 1),
-]
-
-
-def run_rule(rule: AlertRule, tables: Tables, as_of: str) -> DataFrame:
-    return rule.query(tables, F.lit(as_of).cast("date"))
-
-
-def evaluate(rules: Sequence[AlertRule], tables: Tables, as_of: str) -> DataFrame:
-    """One row per enabled rule: TRIGGERED, OK, or EMPTY when its query gave no row."""
-    parts = []
-    for rule in rules:
-        if not rule.enabled:
-            continue
-        value = F.col(rule.column).cast("double")
-        hit = OPERATORS.get(rule.operator, OPERATORS[">"])(value, rule.threshold)
-        first = run_rule(rule, tables, as_of).agg(
-            F.first(F.struct(value.alias("value"), F.col("alert_message").alias("message"), hit.alias("hit"))).alias("r")
-        )
-        parts.append(
-            first.select(
-                F.lit(rule.alert_id).alias("alert_id"), F.lit(rule.domain).alias("domain"), F.lit(rule.severity).alias("severity"),
-                F.when(F.col("r").isNull(), "EMPTY").when(F.col("r.hit"), "TRIGGERED").otherwise("OK").alias("status"),
-                F.col("r.value").alias("value"), F.col("r.message").alias("message"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
 RULE_COLUMNS = "alert_id string, alert_name string, domain string, severity string, condition_column string, condition_operator string, condition_threshold double, is_enabled boolean, tags string"
 
 

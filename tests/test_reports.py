@@ -113,16 +113,40 @@ def test_drift_needs_a_previous_window(spark):
     assert profiled.where("metric = 'cancellation_rate' AND value IS NOT NULL").count() == 0
 
 
-def test_inventory_drop_uses_validity(spark):
+def test_inventory_drop_uses_validity(spark, catalog):
     rows = [(i, "2000-01-01", None) for i in range(8)] + [(100 + i, "2000-01-01", "2000-02-05") for i in range(2)]
     dim = spark.createDataFrame(rows, "property_id int, effective_from string, effective_to string").selectExpr(
-        "property_id", "DATE(effective_from) AS effective_from", "DATE(effective_to) AS effective_to", "effective_to IS NULL AS is_current"
+        "property_id", "1L AS host_id", "5.0 AS base_price", "DATE(effective_from) AS effective_from", "DATE(effective_to) AS effective_to", "effective_to IS NULL AS is_current"
     )
-    row = alerts.inventory_drop(lambda _: dim, F.lit("2000-02-06").cast("date")).first()
+    rule = next(r for r in alerts.RULES if r.alert_id == "PROP-001-CRIT")
+    row = alerts.run_rule(rule, lambda name: dim if name == "dim_property" else catalog.table(name), "2000-02-06").first()
     assert (row.current_count, row.last_week_count, row.pct_drop) == (8, 10, 20.0)
     assert "20.0% WoW (8 vs 10)" in row.alert_message
 
 
+def test_all_rules_together_say_what_each_says_alone(catalog):
+    day = "2000-01-31"
+    for r in alerts.evaluate(alerts.RULES, catalog.table, day).collect():
+        rule = next(x for x in alerts.RULES if x.alert_id == r.alert_id)
+        alone = alerts.run_rule(rule, catalog.table, day).first()
+        assert r.status == ("EMPTY" if alone is None else r.status)
+        if alone is not None:
+            assert (r.value, r.message) == (float(alone[rule.column]), alone.alert_message)
+
+
+def test_rules_scan_every_table_once(spark, catalog):
+    reads = []
+
+    def tables(name):
+        reads.append(name)
+        return catalog.table(name)
+
+    out = alerts.evaluate(alerts.RULES, tables, "2001-08-02")
+    assert sorted(reads) == sorted(set(reads)) and len(reads) == 6
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 10  # six sources, three of them as groups written once and read by several figures
+
+
 def test_alert_rule_table():
     assert len(alerts.RULES) == 21
     assert {r.severity for r in alerts.RULES} == {"CRITICAL", "WARNING", "INFO"}
