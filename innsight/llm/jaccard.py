@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innsight.llm.components import components
-from innsight.llm.text import WORD, ascii_lower, rolling, scrambled, slices
+from innsight.llm.text import WORD, ascii_lower, rolling, scrambled, slices, turn_to
 from innsight.llm.tables import stored, stored_at
 from innsight.sources.storage import remove, scratch_path
 
@@ -60,6 +60,7 @@ def _chunks(n_words: int, buckets: int, chunk_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        turn_to("jaccard")
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -323,32 +324,44 @@ def jaccard_components(
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
     run, schema = _sets(n_words)
-    sets = stored(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
+    used: list[str] = []  # tables to delete once what is built from them is written
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        used.append(scratch_path(spark, label))
+        return stored_at(df, used[-1])
+
+    def drop() -> None:
+        while used:
+            remove(spark, used.pop())
+
+    sets = kept(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
 
     items = sets.select("set_id", "n", F.explode("hashes").alias("h"))
-    shared = stored(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
+    shared = kept(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
     viable = items.join(shared, "h").groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("total")).where(100 * F.col("total") >= percent * F.col("n"))
-    viable = stored(viable.select("set_id"), "jaccard-viable")
+    viable = kept(viable.select("set_id"), "jaccard-viable")
     items = sets.join(viable, "set_id").select("set_id", "n", F.explode("hashes").alias("h"))
     # The number of holders leads the key of a class, so that keys sort the rarest class first.
     rarity = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(32767)), 48)
     holders = F.shiftrightunsigned(F.bit_xor(F.xxhash64("set_id")), 16)
     shared = items.groupBy("h").agg(F.count(F.lit(1)).alias("df"), (rarity + holders).alias("key")).where("df > 1")
-    shared = stored(shared.select("h", "key"), "jaccard-shared")
+    shared = kept(shared.select("h", "key"), "jaccard-shared")
     weights = items.join(shared, "h").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("w"))
     lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c"))
     lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").cast("array<int>").alias("weights"))
     lists = stored(lists, "jaccard-lists")
+    drop()
 
     run, schema = _leading(percent)
-    meets = stored(lists.select("set_id", "n", "keys", "weights").mapInPandas(run, schema), "jaccard-meetings")
+    meets = kept(lists.select("set_id", "n", "keys", "weights").mapInPandas(run, schema), "jaccard-meetings")
     # Of several classes at which the same sets meet, the first in the order is enough.
     met = meets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("who")).where("size > 1")
     met = met.groupBy("who", "size").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / block).cast("int").alias("parts"))
-    dealt = meets.join(stored(met, "jaccard-met"), "key").withColumn("part", F.expr("cast(pmod(xxhash64(set_id, key), parts) AS int)"))
+    dealt = meets.join(kept(met, "jaccard-met"), "key").withColumn("part", F.expr("cast(pmod(xxhash64(set_id, key), parts) AS int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
     blocks = stored(dealt, "jaccard-blocks").join(lists, "set_id")
+    drop()
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInArrow(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +58,30 @@ def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(lengths)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+_turn: list[str] = [""]
+
+
+def keeps(owner: str, clear: Callable[[], None]) -> None:
+    """Name what drops the caches of ``owner`` in a Python worker."""
+    _KEPT[owner] = clear
+
+
+def turn_to(owner: str) -> None:
+    """Drop what other operators keep in this worker, which Spark uses again for the next stage, and give the memory back."""
+    if _turn[0] == owner:
+        return
+    for name, clear in _KEPT.items():
+        if name != owner:
+            clear()
+    _turn[0] = owner
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batch_column(schema: str, of: Callable[[list], pd.DataFrame | pd.Series], *columns: Column, most_chars: int = 4_000_000) -> Column:
     """Column computed by ``of`` over lists of texts, in Arrow batches cut to ``most_chars``.
 

@@ -9,6 +9,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from innsight.llm.text import keeps, turn_to
+
 END = 1  # id that closes every document
 LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
 #: Texts of these characters are cut alike by the file's pattern and by Python's re.
@@ -101,10 +103,14 @@ def _word_pattern(spec: dict) -> re.Pattern | None:
     return None if "\\p" in pattern else re.compile(pattern)
 
 
-@lru_cache(maxsize=2)
+_encoder = lru_cache(maxsize=2)(Encoder)
+keeps("tokens", _encoder.cache_clear)
+
+
 def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker and file."""
-    return Encoder(path)
+    """One encoder for each Python worker and file, until another operator takes its turn there."""
+    turn_to("tokens")
+    return _encoder(path)
 
 
 def closed(ids: np.ndarray, end: int = END) -> np.ndarray:
