@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.text import batch_column, put, slices
+from innsight.llm.text import batch_column, keeps, put, slices, turn_to
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDERS = ".!?\n"
@@ -87,6 +87,14 @@ def numbered(texts: list[str | None]) -> tuple[list[np.ndarray], list[str]]:
     return docs, list(index)
 
 
+def log_tail(least: int, n: int, rate: float) -> float:
+    """Logarithm of the chance that at least ``least`` of ``n`` draws succeed; the same sum at every size."""
+    k = range(least, n + 1)
+    terms = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(rate) + (n - i) * math.log1p(-rate) for i in k]
+    most = max(terms)
+    return most + math.log(sum(math.exp(t - most) for t in terms))
+
+
 def toxic_words(docs: list[np.ndarray], labels: list[int], size: int) -> np.ndarray:
     """Numbers of the words whose presence follows the label beyond chance, not by copies of one passage."""
     rate = (sum(labels) + PRIOR[0]) / (len(labels) + sum(PRIOR))
@@ -96,9 +104,8 @@ def toxic_words(docs: list[np.ndarray], labels: list[int], size: int) -> np.ndar
         have[found] += 1
         toxic[found] += bool(y)
     level = CHANCE / max(1, size)
-    tail = lambda a, m: sum(math.comb(m, k) * rate**k * (1 - rate) ** (m - k) for k in range(a, m + 1)) if m <= 400 else float(a < 2 * rate * m)
     likely = np.flatnonzero((toxic >= 3) & (2 * toxic > have))
-    chosen = {int(w) for w in likely if w >= len(ENDERS) and tail(int(toxic[w]), int(have[w])) < level}
+    chosen = {int(w) for w in likely if w >= len(ENDERS) and log_tail(int(toxic[w]), int(have[w]), rate) < math.log(level)}
     around, uses = defaultdict(set), Counter()
     for words, y in zip(docs, labels):
         if y:
@@ -259,6 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS
 
 def scored(model: Model):
     def of(texts: list[str | None]) -> pd.DataFrame:
+        turn_to("toxicity")
         odds = scored.cache.get(id(model))
         if odds is None:
             scored.cache.clear()
@@ -287,6 +295,7 @@ def scored(model: Model):
 
 
 scored.cache = {}
+keeps("toxicity", scored.cache.clear)
 
 
 def with_toxicity(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:

@@ -1,4 +1,6 @@
 import itertools
+import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -66,3 +68,11 @@ def test_every_clean_document_trains_the_field():
     assert {"idiot", "zebra", "last"} <= model.weights.keys()
     parts = toxicity.fit_field(docs, [y for _, y in rows], vocabulary, most_tokens=50)
     assert parts.weights.keys() == model.weights.keys() and all(abs(parts.weights[k] - w) < 1e-6 for k, w in model.weights.items())
+
+
+def test_one_test_of_chance_at_every_size():
+    from innsight.llm.toxicity import log_tail
+
+    for n, a, rate in ((10, 4, 0.3), (400, 232, 0.3), (500, 290, 0.3), (401, 401, 0.55), (1000, 120, 0.11)):
+        exact = sum(math.comb(n, k) * Fraction(rate) ** k * (1 - Fraction(rate)) ** (n - k) for k in range(a, n + 1))
+        assert math.isclose(log_tail(a, n, rate), math.log(exact.numerator) - math.log(exact.denominator), rel_tol=1e-9)
