@@ -106,6 +106,9 @@ def merges(file: ModelFile) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(out)]
 
 
+THREADS = 2  # of the library in each task
+
+
 class Backend:
     """Encoder and decoder of one model file."""
 
@@ -244,7 +247,7 @@ def _encoded(path: str, threads: int, verify: bool):
     return of
 
 
-def with_pieces(df: DataFrame, path: str | None = None, text: str = "text", into: str = "pieces", threads: int = 1, verify: bool = True) -> DataFrame:
+def with_pieces(df: DataFrame, path: str | None = None, text: str = "text", into: str = "pieces", threads: int = THREADS, verify: bool = True) -> DataFrame:
     """``df`` with a struct of the counts and checks of ``SCHEMA`` as its last column; ``parity`` is null without ``verify``."""
     return put(df, into, batch_column(SCHEMA, _encoded(path or default_path(), threads, verify), F.col(f"`{text}`"), most_chars=2_000_000))
 
