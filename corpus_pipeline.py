@@ -2,13 +2,15 @@
 
 ``quality_rules`` and ``toxicity`` drop the documents they reject, ``jaccard_join`` keeps the
 one with the smallest id of each group of near copies, ``packing`` fills token windows with
-what is left. Rows without an id pass the join unchanged, as nothing can name them; of rows
-that repeat an id one stays.
+what is left. Rows without an id pass the join unchanged, as nothing can name them. Rows are
+told apart by a 64-bit hash of id and text, so of rows that share an id only equal or linked
+texts fall together.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innsight.llm import jaccard, packing, quality, toxicity
 from innsight.sources.storage import materialize
@@ -25,8 +27,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    first = jaccard.jaccard_components(docs).where("doc_id = component_id").select("doc_id")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").withColumn("_row", F.xxhash64("doc_id", "text"))
+    groups = jaccard.jaccard_components(named, doc_id="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
+    first = groups.join(named.select("_row", "doc_id"), "_row").groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("_first")).select("_first._row")
+    kept = named.join(first, "_row", "left_semi").dropDuplicates(["_row", "doc_id"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

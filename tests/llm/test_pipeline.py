@@ -34,6 +34,10 @@ def test_stages_keep_the_columns_and_take_edges(spark):
         docs = stage(spark, docs, FOLDER)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "component_id"]
         assert sorted(map(str, (r.doc_id for r in docs.collect()))) == sorted(map(str, kept))
+    other = " ".join(f"else{k}" for k in range(80))
+    shared = spark.createDataFrame([(7, text), (7, other), (7, other), (8, other + " x"), (6, None)], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
+    assert sorted((r.doc_id, r.text or "") for r in stage(spark, shared, FOLDER).collect()) == sorted([(7, text), (7, other), (6, "")])
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).collect() == []
