@@ -1,4 +1,4 @@
-"""Model training, scoring and revenue forecast on Spark ML.
+"""Model training and scoring on Spark ML.
 
 Training frames stay distributed; nothing is pulled to the driver but fitted models
 and their metrics. Rows are split by a hash of the key, so a split is repeatable.
@@ -6,7 +6,6 @@ and their metrics. Rows are split by a hash of the key, so a split is repeatable
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,84 +125,3 @@ def score_batch(model: PipelineModel, keyed: DataFrame, spec: ModelSpec, keep: S
         (F.current_timestamp() if scored_at is None else scored_at).alias("scored_at"), F.lit(scoring_date).cast("date").alias("scoring_date"),
     )
 
-
-# --- revenue forecast ------------------------------------------------------------------------
-
-YEARLY_ORDER, WEEKLY_ORDER = 4, 2
-REGRESSORS = ("booking_count", "day_of_week", "is_weekend")
-FOURIER = tuple(f"{fn}_{name}_{k}" for name, top in (("year", YEARLY_ORDER), ("week", WEEKLY_ORDER)) for k in range(1, top + 1) for fn in ("sin", "cos"))
-LOWER, UPPER = 0.1, 0.9  # 80 % interval
-
-
-def seasonal_terms(df: DataFrame, day: str = "ds") -> DataFrame:
-    """Trend and Fourier terms of a date column."""
-    t = F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).cast("double")
-    terms = {"trend": t / 365.25}
-    for name, length, top in (("year", 365.25, YEARLY_ORDER), ("week", 7.0, WEEKLY_ORDER)):
-        for k in range(1, top + 1):
-            angle = t * (2 * math.pi * k / length)
-            terms[f"sin_{name}_{k}"], terms[f"cos_{name}_{k}"] = F.sin(angle), F.cos(angle)
-    return df.withColumns(terms)
-
-
-def forecast_revenue(series: DataFrame, periods: int = 90) -> DataFrame:
-    """Next ``periods`` days with an 80 % band.
-
-    Seasonality is multiplicative: a linear model of log revenue on trend, Fourier
-    terms and regressors. The band comes from quantiles of the log residuals. Future
-    booking counts are the historic mean.
-    """
-    history = seasonal_terms(series.where("y > 0")).withColumn("log_y", F.log("y"))
-    inputs = ["trend", *FOURIER, *REGRESSORS]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    fitted = LinearRegression(featuresCol="features", labelCol="log_y", predictionCol="log_hat", regParam=0.01).fit(assembler.transform(history))
-    residual = fitted.transform(assembler.transform(history)).select((F.col("log_y") - F.col("log_hat")).alias("r"))
-    band = residual.agg(F.percentile_approx("r", F.array(F.lit(LOWER), F.lit(UPPER)))).scalar()
-    facts = series.agg(F.max("ds").alias("last"), F.avg("booking_count").alias("booking_count"))
-    ahead = facts.select(F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", periods))).alias("ds"), "booking_count")
-    weekday = F.weekday("ds")
-    future = seasonal_terms(ahead.withColumns({"day_of_week": weekday, "is_weekend": weekday.isin(5, 6).cast("int")}))
-    predicted = fitted.transform(assembler.transform(future)).withColumn("band", band)
-    return predicted.select(
-        "ds", F.exp("log_hat").alias("yhat"), F.exp(F.col("log_hat") + F.col("band")[0]).alias("yhat_lower"), F.exp(F.col("log_hat") + F.col("band")[1]).alias("yhat_upper"),
-    )
-
-
-def forecast_backtest(series: DataFrame, initial: int = 365, period: int = 30, horizon: int = 30) -> DataFrame:
-    """Rolling-origin evaluation: one fit per cutoff, all cutoffs in parallel tasks.
-
-    Each group is the history up to a cutoff plus one horizon of a daily series, so its
-    size is bounded by the calendar.
-    """
-    import numpy as np
-    import pandas as pd
-
-    inputs = ["trend", *FOURIER, *REGRESSORS]
-    rows = seasonal_terms(series.where("y > 0")).select("ds", "y", *inputs)
-    span = rows.agg(F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"))).scalar()
-    cutoffs = F.sequence(F.date_add(F.col("span.first"), initial), F.date_sub(F.col("span.last"), horizon), F.expr(f"INTERVAL {period} DAYS"))
-    folds = rows.withColumn("span", span).withColumn("cutoff", F.explode(cutoffs)).drop("span")
-    folds = folds.where(F.col("ds") <= F.date_add("cutoff", horizon))
-
-    def fit_fold(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        cutoff = key[0]
-        design = lambda part: np.column_stack([np.ones(len(part)), part[inputs].to_numpy(float)])
-        past, future = pdf[pdf.ds <= cutoff], pdf[pdf.ds > cutoff]
-        if len(past) == 0 or len(future) == 0:
-            return pd.DataFrame({"cutoff": [], "n": [], "mape": [], "rmse": [], "mae": [], "coverage": []})
-        x, target = design(past), np.log(past.y.to_numpy())
-        ridge = 1e-6 * np.eye(x.shape[1])
-        beta = np.linalg.solve(x.T @ x + ridge, x.T @ target)
-        low, high = np.quantile(target - x @ beta, [LOWER, UPPER])
-        log_hat = design(future) @ beta
-        actual, hat = future.y.to_numpy(), np.exp(log_hat)
-        inside = (actual >= np.exp(log_hat + low)) & (actual <= np.exp(log_hat + high))
-        error = actual - hat
-        return pd.DataFrame(
-            {
-                "cutoff": [cutoff], "n": [len(future)], "mape": [float(np.mean(np.abs(error / actual)))], "rmse": [float(np.sqrt(np.mean(error**2)))],
-                "mae": [float(np.mean(np.abs(error)))], "coverage": [float(inside.mean())],
-            }
-        )
-
-    return folds.groupBy("cutoff").applyInPandas(fit_fold, "cutoff date, n long, mape double, rmse double, mae double, coverage double")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from innsight.functions import predictions as pf
 from innsight.operators import keys
-from innsight.plans import evaluation, features, rules, silver, training
+from innsight.plans import evaluation, features, forecast, rules, silver, training
 from innsight.sources.storage import scratch_path
 from innsight.streaming import flows
 from oracle.base import dbl, with_views
@@ -191,8 +193,8 @@ def score(c, name):
 for _name in ("demand", "conversion", "pricing", "ltv"):
     QUERIES["score_batch" if _name == "conversion" else f"score_batch_{_name}"] = lambda c, n=_name: score(c, n)
 QUERIES["scored_pricing_summary"] = lambda c: pf.get_pricing_recommendations(score(c, "pricing"))
-QUERIES["forecast_revenue"] = lambda c: training.forecast_revenue(learning.revenue_series(c), 90)
-QUERIES["forecast_backtest"] = lambda c: training.forecast_backtest(learning.revenue_series(c))
+QUERIES["forecast_revenue"] = lambda c: forecast.forecast_revenue(learning.revenue_series(c), 90)
+QUERIES["forecast_backtest"] = lambda c: forecast.forecast_backtest(learning.revenue_series(c))
 
 
 # --- what SQL can say about trained models: which keys are scored, and how -------------------------------
@@ -219,10 +221,40 @@ for _name, _keys, _value, _low, _high, _sql in (
 QUERIES["scored_ltv_segments"] = lambda c: score(c, "ltv").select(
     "user_id", (F.col("ltv_segment") == F.expr("CASE WHEN predicted_ltv_12m >= 2500 THEN 'VIP' WHEN predicted_ltv_12m >= 1000 THEN 'High' WHEN predicted_ltv_12m >= 500 THEN 'Medium' ELSE 'Low' END")).alias("segment_fits"))
 ORACLE["scored_ltv_segments"] = with_views("SELECT user_id, TRUE AS segment_fits FROM dim_user")
-QUERIES["forecast_days"] = lambda c: training.forecast_revenue(learning.revenue_series(c), 90).select(
+QUERIES["forecast_days"] = lambda c: forecast.forecast_revenue(learning.revenue_series(c), 90).select(
     "ds", ((F.col("yhat") > 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("band_fits"))
 ORACLE["forecast_days"] = with_views("SELECT last + CAST(k AS INTEGER) AS ds, TRUE AS band_fits FROM (SELECT max(check_in_date) AS last FROM fact_booking_daily), (SELECT unnest(range(1, 91)) AS k)")
 
+# The sums behind the fit: every product of two terms, over every day of the calendar.
+QUERIES["forecast_moments"] = lambda c: forecast.moments(forecast.filled(learning.revenue_series(c)), forecast.REVENUE).select(
+    F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.round("s", 2).alias("s"))
+_T = "(ds - DATE '1970-01-01')"
+_WAVES = [f"{fn}({_T} * {2 * math.pi * k / length!r})" for length, top in ((365.25, forecast.YEARLY_ORDER), (7.0, forecast.WEEKLY_ORDER)) for k in range(1, top + 1) for fn in ("sin", "cos")]
+_DOW = "((dayofweek(ds) + 6) % 7)"
+_X = ", ".join(f"({e})::DOUBLE" for e in ("1", f"{_T} / 365.25", *_WAVES, _DOW, f"CASE WHEN {_DOW} >= 5 THEN 1 ELSE 0 END", "coalesce(n, 0)", "ln(1 + coalesce(y, 0))"))
+ORACLE["forecast_moments"] = with_views(f"""SELECT (i - 1)::BIGINT AS i, (j - 1)::BIGINT AS j, round(sum(z[i] * z[j]), 2) AS s FROM (SELECT [{_X}] AS z FROM
+    (SELECT CAST(unnest(range(min(check_in_date), max(check_in_date) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS ds FROM fact_booking_daily)
+    LEFT JOIN (SELECT check_in_date AS ds, CAST(sum(total_booking_value) AS DOUBLE) AS y, count(*) AS n FROM fact_booking_daily GROUP BY 1) USING (ds)),
+    (SELECT unnest(range(1, {len(forecast.REVENUE) + 2})) AS i), (SELECT unnest(range(1, {len(forecast.REVENUE) + 2})) AS j) WHERE i <= j GROUP BY 1, 2""")
+
+
+def regions(c):
+    """Fitted bookings per destination and day, adding up to the fitted total."""
+    daily = c.table("fact_booking_daily").groupBy("destination_id", F.col("check_in_date").alias("ds")).agg(F.sum("booking_count").cast("double").alias("y"), F.sum("booking_count").alias("booking_count"))
+    return forecast.forecast_regions(daily.where("destination_id IS NOT NULL"), "destination_id")
+
+
+QUERIES["forecast_regional_fitted"] = lambda c: pf.forecast_regional(regions(c), c.table("dim_destination"))
+QUERIES["forecast_seasonality_fitted"] = lambda c: pf.forecast_seasonality(regions(c), c.table("dim_destination"))
+QUERIES["forecast_regional_sums"] = lambda c: regions(c).groupBy("check_in_date").agg(
+    F.count(F.lit(1)).alias("regions"), (F.abs(F.sum("predicted_bookings") - F.max("total")) < 1e-6).alias("adds_up"), (F.min("predicted_bookings") >= 0).alias("all_valid"))
+ORACLE["forecast_regional_sums"] = with_views("""SELECT last + CAST(k AS INTEGER) AS check_in_date, n AS regions, TRUE AS adds_up, TRUE AS all_valid
+    FROM (SELECT max(check_in_date) AS last, count(DISTINCT destination_id) AS n FROM fact_booking_daily), (SELECT unnest(range(1, 91)) AS k)""")
+# How the backtest went, as far as SQL can say: its cutoffs and days, zero days included.
+QUERIES["forecast_backtest_folds"] = lambda c: forecast.forecast_backtest(learning.revenue_series(c)).select("cutoff", "n", F.col("coverage").between(0, 1).alias("covered"))
+ORACLE["forecast_backtest_folds"] = with_views("""SELECT first + 365 + CAST(30 * k AS INTEGER) AS cutoff, 30::BIGINT AS n, TRUE AS covered
+    FROM (SELECT min(check_in_date) AS first, max(check_in_date) AS last FROM fact_booking_daily), (SELECT unnest(range(0, 2000)) AS k) WHERE first + 395 + CAST(30 * k AS INTEGER) <= last""")
+
 # --- prediction reports over model output -----------------------------------------------------------------
 _TYPED = ["property_id", "property_type"]
 QUERIES["scored_demand_summary"] = lambda c: pf.get_demand_predictions(score(c, "demand").join(c.table("dim_property").select(*_TYPED), "property_id"))
