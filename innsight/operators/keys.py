@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,6 +80,41 @@ def orphan_count(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Related:
+    """A table of an integrity check: what its own key is called, and which key its references point to.
+
+    ``refers``: name of a check to (column of this table, name of the key it points to).
+    """
+
+    table: DataFrame
+    refers: dict[str, tuple[str, str]] = field(default_factory=dict)
+    key: tuple[str, str] | None = None  # (column, name)
+
+
+def orphans(tables: Sequence[Related], nulls: bool = False) -> DataFrame:
+    """(check, orphan_rows, orphan_keys) of all checks, every table read once.
+
+    Each row gives its own key and its references as (name, value) rows, merged per task; one
+    grouping by (name, value) then tells which values have an owner and how many rows of each
+    check point at those that have none. ``nulls``: whether a reference without a value counts.
+    """
+    checks = [c for t in tables for c in t.refers]
+    parts = []
+    for t in tables:
+        rows = [F.struct(F.lit(name).alias("name"), F.col(column).alias("value"), F.lit(check).alias("check")) for check, (column, name) in t.refers.items()]
+        if t.key is not None:
+            rows.append(F.struct(F.lit(t.key[1]).alias("name"), F.col(t.key[0]).alias("value"), F.lit(None).cast("string").alias("check")))
+        parts.append(t.table.select(F.inline(F.array(*rows))))
+    # A null owns nothing.
+    every = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull() | (F.col("check").isNotNull() & F.lit(nulls)))
+    found = every.groupBy("name", "value").agg(F.count_if(F.col("check").isNull()).alias("_owners"), *[F.count_if(F.col("check") == c).alias(f"_n{k}") for k, c in enumerate(checks)])
+    lost = found.where("_owners = 0").agg(*[
+        F.struct(F.lit(c).alias("check"), F.coalesce(F.sum(f"_n{k}"), F.lit(0)).alias("orphan_rows"), F.count_if(F.col(f"_n{k}") > 0).alias("orphan_keys")).alias(f"_r{k}")
+        for k, c in enumerate(checks)])
+    return lost.select(F.inline(F.array(*[F.col(f"_r{k}") for k in range(len(checks))])))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project and cast to the declared columns, in order; missing columns become NULL."""
     have = set(df.columns)

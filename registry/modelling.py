@@ -306,9 +306,11 @@ QUERIES["validate_grain"] = lambda cat: keys.grain_report(cat.silver("payments")
 ORACLE["validate_grain"] = with_views("""SELECT 'payments' AS table_name, CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS duplicated_keys
     FROM (SELECT payment_id, count(*) AS n FROM s_payments GROUP BY 1)
     UNION ALL SELECT 'fact_booking_daily', count(*), count(*), 0 FROM fact_booking_daily""")
-QUERIES["fk_check"] = lambda cat: keys.orphan_count(cat.table("fact_booking_detail"), current(cat.table("dim_user")), "user_id").withColumn("reference", F.lit("user")).unionByName(
-    keys.orphan_count(cat.table("fact_booking_detail"), current(cat.table("dim_property")), "property_id").withColumn("reference", F.lit("property"))).unionByName(
-    keys.orphan_count(cat.table("fact_property_engagement"), current(cat.table("dim_property")), "property_id").withColumn("reference", F.lit("engaged_property")))
+QUERIES["fk_check"] = lambda cat: keys.orphans([
+    keys.Related(cat.table("fact_booking_detail"), {"user": ("user_id", "user"), "property": ("property_id", "property")}),
+    keys.Related(cat.table("fact_property_engagement"), {"engaged_property": ("property_id", "property")}),
+    keys.Related(current(cat.table("dim_user")), key=("user_id", "user")), keys.Related(current(cat.table("dim_property")), key=("property_id", "property")),
+]).withColumnRenamed("check", "reference")
 ORACLE["fk_check"] = with_views("""SELECT 'user' AS reference, count(*) AS orphan_rows, count(DISTINCT user_id) AS orphan_keys FROM fact_booking_detail ANTI JOIN dim_user USING (user_id)
     UNION ALL SELECT 'property', count(*), count(DISTINCT property_id) FROM fact_booking_detail ANTI JOIN dim_property USING (property_id)
     UNION ALL SELECT 'engaged_property', count(*), count(DISTINCT property_id) FROM fact_property_engagement ANTI JOIN dim_property USING (property_id)""")

@@ -57,3 +57,19 @@ def test_conform_orders_casts_and_reports_nulls(spark):
     assert shaped.first().booking_id == 7
     report = {r.column_name: r.null_rows for r in keys.null_report(shaped, gold.FACT_BOOKING_DETAIL).collect()}
     assert report["booking_id"] == 0 and report["status"] == 1
+
+
+def test_all_references_in_one_pass(spark):
+    child = spark.createDataFrame([(1, 10), (1, 11), (2, 12), (9, None), (None, 10), (9, 99)], "a int, b int")
+    other = spark.createDataFrame([(10,), (77,), (77,)], "b int")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "a long")
+    owner = spark.createDataFrame([(10,), (11,), (12,)], "b int")
+    tables = [
+        keys.Related(child, {"child_a": ("a", "a"), "child_b": ("b", "b")}), keys.Related(other, {"other_b": ("b", "b")}),
+        keys.Related(parent, key=("a", "a")), keys.Related(owner, key=("b", "b")),
+    ]
+    assert {tuple(r) for r in keys.orphans(tables).collect()} == {("child_a", 2, 1), ("child_b", 1, 1), ("other_b", 2, 1)}
+    assert {tuple(r) for r in keys.orphans(tables, nulls=True).collect()} == {("child_a", 3, 2), ("child_b", 2, 2), ("other_b", 2, 1)}
+    assert {tuple(r) for r in keys.orphans([keys.Related(child.limit(0), {"none": ("a", "a")}), keys.Related(parent, key=("a", "a"))]).collect()} == {("none", 0, 0)}
+    plan = keys.orphans(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
