@@ -114,27 +114,20 @@ def get_high_demand_properties(predictions: DataFrame, top_n: int = 100) -> Data
     return top_ranked(grouped, top_n, [F.desc("avg_predicted_bookings"), F.asc("destination_id"), F.asc("property_type")]).orderBy("rank")
 
 
-# Segment names and descriptions of the distribution report.
-SEGMENT_TEXT = {
-    "High-Value Customers": "VIP treatment, loyalty programs - LTV > $2500 and 5+ bookings",
-    "At-Risk Customers": "Win-back campaigns - 90+ days inactive or high cancellation",
-    "Repeat Travelers": "Loyalty rewards - 3+ bookings with repeat behavior",
-    "Price-Sensitive": "Discount campaigns - avg booking < $200",
-    "New Prospects": "Onboarding incentives - <2 bookings, <30 days tenure",
-    "Standard Customers": "Standard customer base",
-}
+# Segments by priority, their conditions (SQL) and descriptions; the last one takes the rest.
+SEGMENT_RULES = (
+    ("High-Value Customers", "predicted_ltv_12m > 2500 AND total_bookings >= 5", "VIP treatment, loyalty programs - LTV > $2500 and 5+ bookings"),
+    ("At-Risk Customers", "days_since_last_booking > 90 OR cancellation_rate > 0.3", "Win-back campaigns - 90+ days inactive or high cancellation"),
+    ("Repeat Travelers", "total_bookings >= 3 AND CAST(is_repeat AS BOOLEAN)", "Loyalty rewards - 3+ bookings with repeat behavior"),
+    ("Price-Sensitive", "avg_booking_value < 200", "Discount campaigns - avg booking < $200"),
+    ("New Prospects", "total_bookings < 2 AND tenure_days < 30", "Onboarding incentives - <2 bookings, <30 days tenure"),
+    ("Standard Customers", "TRUE", "Standard customer base"),
+)
+SEGMENT_TEXT = {name: text for name, _, text in SEGMENT_RULES}
 
 
 def segment_label() -> Column:
-    n = F.col("total_bookings")
-    return (
-        F.when((F.col("predicted_ltv_12m") > 2500) & (n >= 5), "High-Value Customers")
-        .when((F.col("days_since_last_booking") > 90) | (F.col("cancellation_rate") > 0.3), "At-Risk Customers")
-        .when((n >= 3) & F.col("is_repeat").cast("boolean"), "Repeat Travelers")
-        .when(F.col("avg_booking_value") < 200, "Price-Sensitive")
-        .when((n < 2) & (F.col("tenure_days") < 30), "New Prospects")
-        .otherwise("Standard Customers")
-    )
+    return F.coalesce(*[F.when(F.expr(given), F.lit(name)) for name, given, _ in SEGMENT_RULES])
 
 
 def get_customer_segment_distribution(predictions: DataFrame) -> DataFrame:
