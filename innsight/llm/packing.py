@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.text import slices
+from innsight.llm.text import slices, turn_to
 from innsight.llm.tables import stored, stored_at
 from innsight.llm.tokens import closed, crc, default_path, encoder
 from innsight.sources.storage import remove, scratch_path
@@ -157,30 +157,49 @@ class Packer:
             self._close()
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each where all of them fit, else four; the last byte tells which."""
+    return ids.astype("<u2").tobytes() + b"\2" if ids.max(initial=0) < 1 << 16 else ids.astype("<u4").tobytes() + b"\4"
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    width = raw[-1]
+    return np.frombuffer(raw, f"<u{width}", count=(len(raw) - 1) // width).astype("<u4")
+
+
 def _encoded(path: str):
+    """(doc_id, ids) of each document and, last in each task, what the task counted for BM25.
+
+    Counts: documents, ids, and from then on the documents that hold each id.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, documents, total = np.zeros(1 << 10, np.int64), 0, 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices([len(t or "") for t in texts], 2_000_000):
-                tokens = [closed(t).tobytes() for t in encoder(path).encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(tokens, pa.binary())], names=["doc_id", "ids"])
+                tokens = [closed(t) for t in encoder(path).encode(texts[a:b])]
+                for x in tokens:
+                    own = np.unique(x)
+                    if own[-1] >= len(held):
+                        held = np.pad(held, (0, 2 * int(own[-1]) - len(held)))
+                    held[own] += 1
+                documents, total = documents + len(tokens), total + sum(map(len, tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(map(_packed, tokens), pa.binary()), pa.nulls(b - a, pa.binary())], schema=schema)
+        counts = np.concatenate([[documents, total], held]).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], schema=schema)
 
     return run
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of the task that hold each id; at -1 its documents, at -2 its ids."""
-    held, documents, total = np.zeros(0, np.int64), 0, 0
+    """Documents that hold each id; at -1 all documents, at -2 all ids."""
     for batch in batches:
         for raw in batch.column(0).to_pylist():
-            ids = np.frombuffer(raw, "<u4")
-            own = np.bincount(ids) > 0
-            if len(own) > len(held):
-                held = np.pad(held, (0, len(own) - len(held)))
-            held[: len(own)] += own
-            documents, total = documents + 1, total + len(ids)
-    at = np.flatnonzero(held)
-    yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *at.tolist()], pa.int64()), pa.array([documents, total, *held[at].tolist()], pa.int64())], names=["id", "n"])
+            counts = np.frombuffer(raw, "<i8")
+            at = np.flatnonzero(counts[2:])
+            yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *at.tolist()], pa.int64()), pa.array([*counts[:2].tolist(), *counts[2:][at].tolist()], pa.int64())], names=["id", "n"])
 
 
 def top_id(ids: np.ndarray, corpus: Corpus) -> int:
@@ -194,8 +213,9 @@ def top_id(ids: np.ndarray, corpus: Corpus) -> int:
 
 def _topped(corpus: Corpus):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to("packing")
         for batch in batches:
-            arrays = [np.frombuffer(raw, "<u4") for raw in batch.column(1).to_pylist()]
+            arrays = [_unpacked(raw) for raw in batch.column(1).to_pylist()]
             top, size = [top_id(x, corpus) for x in arrays], [len(x) for x in arrays]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(top, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "ids", "top", "size"])
 
@@ -222,6 +242,7 @@ def _pack(window: int, block_tokens: int, corpus: Corpus):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        turn_to("packing")
         packer, docs, held, shard = Packer(window, TaskContext.get().partitionId() << 36, corpus), [], 0, None
 
         def out() -> pa.RecordBatch:
@@ -233,7 +254,7 @@ def _pack(window: int, block_tokens: int, corpus: Corpus):
                 if own != shard or held >= block_tokens:
                     packer.block(docs)
                     docs, held, shard = [], 0, own
-                docs.append((doc_id, np.frombuffer(raw, "<u4")))
+                docs.append((doc_id, _unpacked(raw)))
                 held += len(docs[-1][1])
             yield out()
         packer.block(docs)
@@ -248,14 +269,14 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     folder = scratch_path(spark, "packing-ids")
-    encoded = stored_at(own.mapInArrow(_encoded(path or default_path()), "doc_id long, ids binary"), folder)
-    counts = encoded.select("ids").mapInArrow(_frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
+    encoded = stored_at(own.mapInArrow(_encoded(path or default_path()), "doc_id long, ids binary, counts binary"), folder)
+    counts = encoded.where("counts IS NOT NULL").select("counts").mapInArrow(_frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
     counts = dict(zip(counts["id"].tolist(), counts["n"].tolist()))
     documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
     held = np.zeros(max(counts, default=0) + 1, np.int64)
     held[list(counts)] = list(counts.values())
     corpus = Corpus(documents, total / max(1, documents), held)
-    topped = stored(encoded.mapInArrow(_topped(corpus), "doc_id long, ids binary, top long, size long"), "packing-tops")
+    topped = stored(encoded.where("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(_topped(corpus), "doc_id long, ids binary, top long, size long"), "packing-tops")
     remove(spark, folder)
     sizes = topped.groupBy("top").agg(F.sum("size").alias("size")).orderBy("top").toPandas()
     begin, split = shards(sizes["top"].to_numpy(np.int64), sizes["size"].to_numpy(np.int64), block_tokens)
