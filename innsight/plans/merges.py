@@ -82,7 +82,8 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        # A first load that failed leaves a folder without rows.
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
@@ -100,7 +101,7 @@ def months_to_rewrite(batch: DataFrame, path: str, keys: list[str], day: str, sc
 
     A batch changes the months it names and those that hold one of its keys. If the date is
     part of the key, no other month can hold it. Else the key index leaves a few months, and
-    only their key columns are read; without an index every month's.
+    only their key columns are read; a month without an index is always among them.
     """
     spark = batch.sparkSession
     named = {r[0] for r in _by_month(batch, day).select(MONTH).distinct().collect()}  # as many as the calendar has
@@ -110,7 +111,8 @@ def months_to_rewrite(batch: DataFrame, path: str, keys: list[str], day: str, sc
     index = _stored(spark, _index_path(path))
     if index is not None:
         possible = {r[0] for r in parts_that_may_hold(index.withColumn(MONTH, F.col(MONTH).cast("string")), batch, MONTH, keys).collect()}
-        there = [m for m in there if m in possible]
+        indexed = set(parts(spark, _index_path(path), MONTH))
+        there = [m for m in there if m in possible or m not in indexed]
     held = read_parts(spark, path, MONTH, there, schema).select(*keys, MONTH).join(batch.select(*keys), keys, "left_semi").select(MONTH).distinct()
     return sorted(named | {r[0] for r in held.collect()}), there
 

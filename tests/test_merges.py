@@ -63,6 +63,8 @@ def test_versions_merge_once_and_check_their_grain(spark, folder):
 
 
 def test_a_batch_reads_the_keys_of_the_months_that_hold_them(spark, folder):
+    import shutil
+
     from innsight.plans import merges
     from innsight.sources.storage import parts, read_parts
 
@@ -88,6 +90,10 @@ def test_a_batch_reads_the_keys_of_the_months_that_hold_them(spark, folder):
     again = change.where("booking_id = 1000000000").withColumn("check_in_date", F.lit("1991-01-01").cast("date"))
     assert "1996-01" in merges.months_to_rewrite(again, path, ["booking_id"], "check_in_date", schema)[0]
     assert merge_table(again, path, "fact_booking_detail").count() == 40 * months + 1
+    # A month whose index is missing is looked into.
+    shutil.rmtree(f"{path}/_keys/index/part_month=1990-11")
+    found, read = merges.months_to_rewrite(change.where("booking_id = 401"), path, ["booking_id"], "check_in_date", schema)
+    assert "1990-11" in found and "1990-11" in read
 
 
 def test_key_index_never_misses_and_ranges_exclude(spark):
@@ -167,6 +173,13 @@ def test_a_repeat_after_half_a_commit_changes_nothing_more(spark, folder, monkey
     assert sorted(map(str, read_versions(spark, copy).collect())) == want
 
 
+def test_first_load_after_a_failed_one(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/fact/_keys/index")  # the index was written, the rows were not
+    assert merge_table(facts(spark, [(1, "confirmed", 2, "a", None, None, False)]), f"{folder}/fact", "fact_booking_detail").count() == 1
+
+
 def test_first_load_takes_closed_versions(spark, folder):
     from innsight.plans.merges import merge_versions
 
