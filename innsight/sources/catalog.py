@@ -12,7 +12,9 @@ from innsight.plans import gold, rules, silver
 from innsight.sources import adapter
 from innsight.sources.storage import materialize
 
-# Tables that the reports read again and again, with the columns they filter on.
+# Tables that the reports read again and again, with the columns they filter on. Their plans end in a
+# grouping by a unique key or in a join that adaptive execution splits, so no hot key makes a huge write
+# task and they are written without a further shuffle.
 STORED = {
     "dim_user": (),
     "dim_host": (),
@@ -108,13 +110,13 @@ class Catalog:
             return self.plan(name)
         if name not in self._stored:
             paid = self.table("paid_bookings") if name.startswith("fact_booking_") else None
-            self._stored[name] = materialize(self.plan(name, paid), name, STORED[name])
+            self._stored[name] = materialize(self.plan(name, paid), name, STORED[name], rebalance=False)
         return self._stored[name]
 
-    def store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def store(self, name: str, build: Callable[[], DataFrame], rebalance: bool = True) -> DataFrame:
         """Write a further reusable table once (features, predictions) and read it back."""
         if name not in self._stored:
-            self._stored[name] = materialize(build(), name)
+            self._stored[name] = materialize(build(), name, rebalance=rebalance)
         return self._stored[name]
 
 
