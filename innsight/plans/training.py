@@ -6,6 +6,7 @@ and their metrics. Rows are split by a hash of the key, so a split is repeatable
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -70,12 +71,30 @@ def _prepared(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.withColumns({**numbers, **texts})
 
 
+def inputs_of(df: DataFrame, spec: ModelSpec, *keep: str) -> DataFrame:
+    """The columns a model reads of ``df``, and those named: what is worth storing for several passes."""
+    wanted = {*keep, spec.label, *spec.numeric, *spec.categorical}
+    return df.select(*[c for c in df.columns if c in wanted])
+
+
 MIN_BINS = 32
+#: Rows of one task of a fit; trees keep all their rows cached, task by task.
+ROWS_PER_TASK = 250_000
+
+
+def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in tasks of at most about ``ROWS_PER_TASK`` by a key that few rows share, however few files they come from."""
+    tasks = math.ceil(df.count() / ROWS_PER_TASK)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
 
+def train(df: DataFrame, spec: ModelSpec, spread: Sequence[str] = ()) -> PipelineModel:
+    """Boosted trees over assembled features; category codes are stored in the pipeline.
 
-def train(df: DataFrame, spec: ModelSpec) -> PipelineModel:
-    """Boosted trees over assembled features; category codes are stored in the pipeline."""
-    rows = _prepared(df, spec).withColumn("label", F.col(spec.label).cast("double"))
+    ``df`` is read several times, so it should be a stored table. ``spread`` names its key, by
+    which many rows are dealt to tasks of bounded size.
+    """
+    rows = _prepared(_dealt(df, spread) if spread else df, spec).withColumn("label", F.col(spec.label).cast("double"))
     codes = [StringIndexer(inputCol=c, outputCol=f"{c}_code", stringOrderType="alphabetAsc", handleInvalid="keep") for c in spec.categorical]
     inputs = [*spec.numeric, *[f"{c}_code" for c in spec.categorical]]
     common = dict(featuresCol="features", labelCol="label", maxDepth=spec.max_depth, maxIter=spec.iterations, stepSize=spec.step, subsamplingRate=0.8, seed=SEED)

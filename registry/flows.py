@@ -116,46 +116,66 @@ ORACLE["stream_dq_metrics"] = with_views("""SELECT count(*) AS kept_rows, count(
 _FITTED: dict = {}
 
 
-def fitted(c, spec, build, *split_keys):
-    """Model and validation rows, trained once per application and folder."""
-    key = (c.spark.sparkContext.applicationId, c.root, spec.name)
-    if key not in _FITTED:
-        past, held = training.split(build(), *split_keys)
-        _FITTED[key] = (training.train(past, spec), held)
-    return _FITTED[key]
+def stored_rows(c, spec, build, *keep):
+    """What a model reads, written once: training, validation and scoring are many passes over it."""
+    return c.store(f"training_{spec.name}", lambda: training.inputs_of(build(), spec, *keep), rebalance=False)
+
+
+def fitted(c, spec, rows, split_key, *key):
+    """Model and validation rows, trained once per application and folder; ``split_key`` and ``key`` tell rows apart."""
+    name = (c.spark.sparkContext.applicationId, c.root, spec.name)
+    if name not in _FITTED:
+        past, held = training.split(rows(c), split_key)
+        _FITTED[name] = (training.train(past, spec, (split_key, *key)), held)
+    return _FITTED[name]
+
+
+def demand_rows(c):
+    """One row per listing and day, as the fact has."""
+    return stored_rows(c, training.DEMAND, lambda: learning.demand_set(c), "property_id", "destination_id", "destination", "check_in_date")
 
 
 def demand_model(c):
-    return fitted(c, training.DEMAND, lambda: learning.demand_set(c), "property_id")
+    return fitted(c, training.DEMAND, demand_rows, "property_id", "check_in_date")
 
 
 def conversion_rows(c):
     labels = features.conversion_labels(c.table("fact_property_engagement"), c.table("fact_booking_detail"))
     columns = ("property_type", "destination_id", *training._LISTING)
-    return features.training_set(labels, [features.FeatureLookup(learning.property_features(c), ("property_id",), columns)])
+    build = lambda: features.training_set(labels, [features.FeatureLookup(learning.property_features(c), ("property_id",), columns)])
+    return stored_rows(c, training.CONVERSION, build, "property_id", "destination_id", "engagement_date")
 
 
 def conversion_model(c):
-    return fitted(c, training.CONVERSION, lambda: conversion_rows(c), "property_id")
+    return fitted(c, training.CONVERSION, conversion_rows, "property_id", "engagement_date")
+
+
+def price_rows(c):
+    return stored_rows(c, training.PRICE, lambda: features.price_labels(c.table("fact_booking_daily")), "property_id", "check_in_date")
 
 
 def price_model(c):
-    return fitted(c, training.PRICE, lambda: features.price_labels(c.table("fact_booking_daily")), "property_id")
+    return fitted(c, training.PRICE, price_rows, "property_id", "check_in_date")
 
 
 def ltv_rows(c):
     """Features as known at the cutoff, value after it."""
     detail = c.table("fact_booking_detail")
     known = features.user_features(c.table("dim_user"), detail.where(F.col("created_at") <= F.lit(learning.CUTOFF).cast("date")), learning.CUTOFF)
-    return features.ltv_labels(detail, learning.CUTOFF).join(known, "user_id")
+    return stored_rows(c, training.LTV, lambda: features.ltv_labels(detail, learning.CUTOFF).join(known, "user_id"), "user_id")
 
 
 def ltv_model(c):
-    return fitted(c, training.LTV, lambda: ltv_rows(c), "user_id")
+    return fitted(c, training.LTV, ltv_rows, "user_id")
+
+
+def churn_rows(c):
+    build = lambda: features.churn_labels(learning.user_features(c), c.table("fact_booking_detail"), AS_OF)
+    return stored_rows(c, training.CHURN, build, "user_id")
 
 
 def churn_model(c):
-    return fitted(c, training.CHURN, lambda: features.churn_labels(learning.user_features(c), c.table("fact_booking_detail"), AS_OF), "user_id")
+    return fitted(c, training.CHURN, churn_rows, "user_id")
 
 
 def regression(c, model, spec):
@@ -180,12 +200,11 @@ QUERIES["train_churn"] = lambda c: classification(c, churn_model, training.CHURN
 def score(c, name):
     stamp = c.processed_at
     if name == "demand":
-        rows = learning.demand_set(c).dropDuplicates(["property_id", "check_in_date"])
-        return training.score_batch(demand_model(c)[0], rows, training.DEMAND, ["property_id", "destination_id", "check_in_date"], AS_OF, stamp)
+        return training.score_batch(demand_model(c)[0], demand_rows(c), training.DEMAND, ["property_id", "destination_id", "check_in_date"], AS_OF, stamp)
     if name == "conversion":
         return training.score_batch(conversion_model(c)[0], conversion_rows(c), training.CONVERSION, ["property_id", "destination_id", "property_type", "engagement_date"], AS_OF, stamp)
     if name == "pricing":
-        rows = features.price_labels(c.table("fact_booking_daily")).select("property_id", "month", "quarter", "is_peak_season").distinct()
+        rows = price_rows(c).select("property_id", "month", "quarter", "is_peak_season").distinct()
         return training.score_batch(price_model(c)[0], rows, training.PRICE, ["property_id", "month", "quarter", "is_peak_season"], AS_OF, stamp)
     return training.score_batch(ltv_model(c)[0], learning.user_features(c), training.LTV, ["user_id"], AS_OF, stamp)
 
