@@ -63,15 +63,18 @@ def run_split(
     _finish(stream.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def run_upsert(stream: DataFrame, transform: Transform, keys: Sequence[str], newest_first: Callable[[], list[Column]], target: str, checkpoint: str) -> None:
+def run_upsert(stream: DataFrame, transform: Transform, keys: Sequence[str], newest_first: Callable[[], list[Column]], target: str, checkpoint: str, reduce_first: bool = False) -> None:
     """Keyed upsert: each batch is reduced to its newest row per key and added as changes.
 
     A batch costs its own size, whatever the size of the target. :func:`current_rows`
     resolves the newest row per key on read; :func:`compact` folds the changes in.
+    ``reduce_first``: ``transform`` works row by row and leaves the columns of key and order as
+    they are, so only the rows that stay are transformed and no derived column is shuffled.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(dedup_latest(transform(batch), keys, newest_first()), f"{target}/changes", batch_id)
+        newest = lambda df: dedup_latest(df, keys, newest_first())
+        _write_batch(transform(newest(batch)) if reduce_first else newest(transform(batch)), f"{target}/changes", batch_id)
 
     _finish(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
@@ -109,7 +112,7 @@ def compact(spark: SparkSession, target: str, keys: Sequence[str], newest_first:
     fresh = [b for b in batches if not bases or b > bases[-1]]
     if fresh:
         rows = current_rows(spark, target, keys, newest_first).withColumn("batch_id", F.lit(fresh[-1]).cast("long"))
-        write_table(rows, f"{target}/base/upto={fresh[-1]}")
+        write_table(rows, f"{target}/base/upto={fresh[-1]}", rebalance=False)  # one row per key in each task
         for b in bases:
             remove(spark, f"{target}/base/upto={b}")
         for b in batches:

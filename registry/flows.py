@@ -88,7 +88,7 @@ def _newest():
 def _stream_upsert(c):
     """Newest update per booking after three arrivals, then compacted."""
     data, check = place(c, "upsert")
-    flows.run_upsert(source(c, "booking_updates", "updated_at"), clean(c, "booking_updates"), ["booking_id"], _newest, data, check)
+    flows.run_upsert(source(c, "booking_updates", "updated_at"), clean(c, "booking_updates"), ["booking_id"], _newest, data, check, reduce_first=True)
     before = flows.current_rows(c.spark, data, ["booking_id"], _newest())
     kept = keys.grain_report(before, ["booking_id"]).first()
     assert kept.duplicated_keys == 0

@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from innsight.operators import quality
@@ -47,6 +48,16 @@ def test_upsert_late_rows_do_not_win(spark, folder):
     assert spark.read.parquet(f"{folder}/out/base").count() == 2
 
 
+def test_batches_are_reduced_before_columns_are_derived(spark, folder):
+    rows = [(k, at, f"{k}-{at}") for k in range(5) for at in range(4)]
+    spark.createDataFrame(rows, "k int, at int, v string").coalesce(1).write.parquet(f"{folder}/in")
+    stream = flows.stream_source(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema)
+    derive = lambda df: df.withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("k")))
+    flows.run_upsert(stream, derive, ["k"], lambda: [F.desc("at")], f"{folder}/out", f"{folder}/c", reduce_first=True)
+    got = flows.compact(spark, f"{folder}/out", ["k"], [F.desc("at")]).collect()
+    assert {(r.k, r.v, r.seen) for r in got} == {(k, f"{k}-3", 1) for k in range(5)}
+
+
 def test_retry_of_a_compacted_batch_loses_nothing(spark, folder):
     newest = lambda: [F.desc("at")]
     for batch in range(3):
