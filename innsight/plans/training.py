@@ -85,7 +85,7 @@ ROWS_PER_TASK = 250_000
 def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows in tasks of at most about ``ROWS_PER_TASK`` by a key that few rows share, however few files they come from."""
     tasks = math.ceil(df.count() / ROWS_PER_TASK)
-    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+    return df.repartition(tasks, *keys) if tasks > df.rdd.getNumPartitions() else df
 
 
 def train(df: DataFrame, spec: ModelSpec, spread: Sequence[str] = ()) -> PipelineModel:
