@@ -88,3 +88,19 @@ def test_untouched_keys_and_odd_rows(spark):
     late = spark.createDataFrame([(1, "2000-02-01", 9, "b"), (None, "2000-02-01", 9, "b"), (2, None, 9, "b")], log.schema)
     got = sorted((r.k, r.v, r.effective_from, r.effective_to) for r in history.scd2_insert(first, late, *args).collect())
     assert got == [(1, "a", "2000-01-01", "2000-02-01"), (1, "a", "2000-03-01", None), (1, "b", "2000-02-01", "2000-03-01"), (2, "x", "2000-01-01", None)]
+
+
+def test_late_changes_are_written_without_a_further_shuffle(catalog, monkeypatch):
+    from registry import modelling
+
+    plans = []
+
+    def seen(df, label, cluster_by=(), rebalance=True):
+        plans.append(rebalance)
+        return materialize(df, label, cluster_by, rebalance)
+
+    from innsight.sources.storage import materialize
+
+    monkeypatch.setattr(modelling, "materialize", seen)
+    modelling.QUERIES["scd2_late_changes"](catalog)
+    assert plans == [False] * 4
