@@ -6,13 +6,15 @@
    quarter of its shingles, so a set with more than that many shingles found nowhere else,
    counted over the lower half of the hash range, has none. Each chunk of texts first
    merges its own hashes, so a passage found in a third of all texts is sent once per chunk.
+   The sets left are counted once more, over the whole range.
 3. Shingles of the remaining sets that occur in exactly the same sets are one weighted
    class. Classes are ordered by how many sets hold them, the rarest first.
 4. Two linked sets share a class in the leading part of both orders. Sets meet by such a
    class; a large meeting is cut into parts, and every pair of parts is one block.
-5. A block keeps its sets in a trie. A search walks it along the shared order, adds up the
-   common weight, and leaves a subtree when the weight that can still be added is too
-   little, or when the subtree is already connected to the searching set.
+5. A block keeps its sets in a trie whose edges are runs of classes without a branch. All
+   sets of the block search it together: they walk it along the shared order, add up the
+   common weight, and a set leaves a subtree when the weight that can still be added is too
+   little, or when the subtree is already connected to it.
 6. The links of all blocks give the components.
 
 All pairs within a group are never written out: a block returns a spanning forest.
@@ -36,6 +38,7 @@ from innsight.sources.storage import remove, scratch_path
 
 WORDS, PERCENT = 5, 75
 BLOCK = 512  # sets of a part
+MOST_DENSE = 4_000_000  # entries of a block's classes by sets as a matrix, 32 MB
 MOST_BROADCAST = 500_000  # rows of an id and a fingerprint, about 30 MB; more are joined by a shuffle
 _HALF = np.uint64(1 << 63)
 _COMMON = 0xFFFF  # stands for a hash that several texts of one chunk hold
@@ -53,9 +56,32 @@ def set_id(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
+_CHUNK = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary()), ("owners", pa.binary())])
+_CHUNK_DDL = "chunk string, bucket int, docs binary, keys binary, owners binary"
+
+
+def _chunk(name: str, docs: np.ndarray, hashes: list[np.ndarray], buckets: int, bits: int) -> pa.RecordBatch:
+    """Rows of one chunk: its documents (bucket -1), and its hashes, all of at most ``bits`` bits, dealt by range."""
+    keys = np.concatenate(hashes)
+    owners = np.repeat(np.arange(len(hashes), dtype=np.uint16), [len(h) for h in hashes])
+    order = np.argsort(keys, kind="stable")
+    keys, owners = keys[order], owners[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    alone = first.copy()
+    alone[:-1] &= first[1:]
+    owners = np.where(alone, owners, _COMMON)[first].astype("<u2")
+    keys = keys[first]
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(bits - 32)
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    short = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    rows = [(name, -1, docs.tobytes(), b"", b"")]
+    rows += [(name, k, b"", short[x:y].tobytes(), owners[x:y].tobytes()) for k, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHUNK)], schema=_CHUNK)
+
+
 def _chunks(n_words: int, buckets: int, chunk_chars: int):
-    """Texts to rows of one chunk: its documents (bucket -1), and its hashes dealt by range."""
-    schema = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary()), ("owners", pa.binary())])
+    """Texts to chunks with the lower half of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -68,25 +94,27 @@ def _chunks(n_words: int, buckets: int, chunk_chars: int):
                 sets = [shingles(t, n_words) for t in texts[a:b]]
                 docs = np.array([(i or 0, i is not None, len(s), set_id(s)) for i, s in zip(ids[a:b], sets)], _META)
                 name, number = f"{part}-{number}", number + 1
-                low = [s[: np.searchsorted(s, _HALF)] for s in sets]
-                keys = np.concatenate(low)
-                owners = np.repeat(np.arange(len(low), dtype=np.uint16), [len(s) for s in low])
-                order = np.argsort(keys, kind="stable")
-                keys, owners = keys[order], owners[order]
-                first = np.ones(len(keys), bool)
-                first[1:] = keys[1:] != keys[:-1]
-                alone = first.copy()
-                alone[:-1] &= first[1:]
-                owners = np.where(alone, owners, _COMMON)[first].astype("<u2")
-                keys = keys[first]
-                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(31)
-                edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                short = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                rows = [(name, -1, docs.tobytes(), b"", b"")]
-                rows += [(name, k, b"", short[x:y].tobytes(), owners[x:y].tobytes()) for k, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    return run, "chunk string, bucket int, docs binary, keys binary, owners binary"
+                yield _chunk(name, docs, [s[: np.searchsorted(s, _HALF)] for s in sets], buckets, 63)
+
+    return run, _CHUNK_DDL
+
+
+def _whole_chunks(buckets: int, chunk_hashes: int):
+    """Sets to chunks with all of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ids, sizes, lists = batch.column("set_id").to_pylist(), batch.column("n").to_pylist(), batch.column("hashes")
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+            for a, b in slices(sizes, chunk_hashes):
+                docs = np.array([(0, False, n, i) for n, i in zip(sizes[a:b], ids[a:b])], _META)
+                name, number = f"{part}-{number}", number + 1
+                yield _chunk(name, docs, [flat[x:y] for x, y in zip(at[a:b], at[a + 1 : b + 1])], buckets, 64)
+
+    return run, _CHUNK_DDL
 
 
 def _lonely(bucket: pd.DataFrame) -> pd.DataFrame:
@@ -126,6 +154,13 @@ def _marks(percent: int):
     return run
 
 
+def _marked(chunks: DataFrame, percent: int) -> DataFrame:
+    """Documents of written chunks, with those marked that may have a partner."""
+    lonely = chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_lonely, "chunk string, lonely binary")
+    both = chunks.where("bucket < 0").select("chunk", "docs", F.lit(b"").alias("lonely")).union(lonely.select("chunk", F.lit(b"").alias("docs"), "lonely"))
+    return both.groupBy("chunk").applyInPandas(_marks(percent), "doc_id long, n long, set_id binary, suspect boolean")
+
+
 def _sets(n_words: int):
     schema = pa.schema([("set_id", pa.binary()), ("n", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
@@ -158,101 +193,127 @@ def _leading(percent: int):
     return run, "key long, set_id binary"
 
 
-class Forest:
-    """Union-find over small integers; the smaller root stays."""
-
-    def __init__(self, size: int):
-        self.up = list(range(size))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.find(x), self.find(y)
-        self.up[max(x, y)] = min(x, y)
-
-
-class Node:
-    """A class on the path of at least one set. ``least`` and ``rest``: the smallest set
-    below, and the most weight that follows; ``of``: a member if all below are connected."""
-
-    __slots__ = ("below", "ends", "least", "rest", "of")
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places ``starts[k]`` to ``starts[k] + counts[k]`` of every k, one after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
-    def __init__(self):
-        self.below, self.ends, self.least, self.rest, self.of = {}, [], 1 << 62, 0, -1
 
+def linked(sizes: np.ndarray, owners: np.ndarray, ranks: np.ndarray, weight: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """For each set of one block a member of its component, the same for all of them.
 
-def linked(sets: list[tuple[int, list[tuple[int, int]]]], percent: int = PERCENT) -> list[int]:
-    """Component root of each (size, ordered weighted classes) within one block."""
-    forest, root, whole = Forest(len(sets)), Node(), 100 + percent
-    for y, (size, classes) in enumerate(sets):
-        keys = [c[0] for c in classes]
-        rest = [0] * (len(classes) + 1)
-        for k in range(len(classes) - 1, -1, -1):
-            rest[k] = rest[k + 1] + classes[k][1]
-        todo = [(root, 0, 0)]
-        while todo:
-            node, common, at = todo.pop()
-            if node.of >= 0 and forest.find(node.of) == forest.find(y):
+    ``owners`` and ``ranks`` tell which set holds which class, in the order of the sets and then of
+    the classes; ``weight`` is that of each class. In the order of their class lists the sets below a
+    node of the trie are neighbours, so a node is a range of them. A run of classes without a branch
+    is one edge, and all sets that still search a subtree go down an edge together.
+    """
+    m, whole = len(sizes), 100 + percent
+    ends = np.searchsorted(owners, np.arange(m + 1))
+    big = ranks.astype(">u4")
+    lists = [big[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+    order = np.array(sorted(range(m), key=lists.__getitem__), np.int64)
+    place = np.empty(m, np.int64)
+    place[order] = np.arange(m)
+    starts, lengths, size = ends[:-1][order], np.diff(ends)[order], sizes[order]
+    lcp = np.zeros(m + 1, np.int64)  # classes that a set shares at the start with the one before
+    for p in range(1, m):
+        n = min(lengths[p], lengths[p - 1])
+        other = ranks[starts[p] : starts[p] + n] != ranks[starts[p - 1] : starts[p - 1] + n]
+        lcp[p] = other.argmax() if other.any() else n
+    # Holders of each class, and the weight before each entry of a list.
+    by_class = np.argsort(ranks, kind="stable")
+    holder, held = place[owners[by_class]], weight[ranks[by_class]]
+    first = np.searchsorted(ranks[by_class], np.arange(len(weight) + 1))
+    count = np.diff(first)
+    dense = None  # weight of each class in each set, where most sets hold most classes
+    if m * len(weight) <= min(4 * len(ranks), MOST_DENSE):
+        dense = np.zeros((len(weight), m))
+        dense[ranks[by_class], holder] = held
+    before = np.append(0, np.cumsum(weight[ranks]))
+    total = before[starts + lengths] - before[starts]
+    codes, base = owners * len(weight) + ranks, order * len(weight)
+    group = np.arange(m)
+    todo = [(0, m, 0, np.arange(m), np.zeros(m, np.int64))]
+    while todo:
+        a, b, depth, searching, common = todo.pop()
+        edges = [a, *(a + 1 + np.flatnonzero(lcp[a + 1 : b] == depth)).tolist(), b]
+        for s, t in zip(edges, edges[1:]):
+            if lengths[s] == depth:  # ends here
+                hits = np.searchsorted(searching, s, "right")
+                near = searching[hits:][whole * common[hits:] >= percent * (size[s] + size[searching[hits:]])]
+                if len(near):
+                    met = np.zeros(m, bool)
+                    met[group[near]] = met[group[s]] = True
+                    group[met[group]] = met.argmax()
+                continue
+            later = np.searchsorted(searching, s, "right")  # a pair is found by the later of its sets
+            who, got = searching[later:], common[later:]
+            below = group[s:t]
+            if (below == below[0]).all():
+                apart = group[who] != below[0]
+                who, got = who[apart], got[apart]
+            if not len(who):
                 continue
-            for x in node.ends:
-                if whole * common >= percent * (sets[x][0] + size):
-                    forest.join(x, y)
-            for (key, w), child in node.below.items():
-                k = at
-                while k < len(keys) and keys[k] < key:
-                    k += 1
-                got = common
-                if k < len(keys) and keys[k] == key:
-                    got, k = common + w, k + 1
-                if whole * (got + min(rest[k], child.rest)) >= percent * (child.least + size):
-                    todo.append((child, got, k))
-        node = root
-        for k in range(len(classes) + 1):
-            node.least, node.rest = min(node.least, size), max(node.rest, rest[k])
-            if node.of == -1:
-                node.of = y
-            elif node.of >= 0 and forest.find(node.of) != forest.find(y):
-                node.of = -2
-            if k < len(classes):
-                node = node.below.setdefault(classes[k], Node())
-        node.ends.append(y)
-    return [forest.find(x) for x in range(len(sets))]
+            deep = int(lcp[s + 1 : t].min()) if t - s > 1 else int(lengths[s])
+            run = ranks[starts[s] + depth : starts[s] + deep]
+            if dense is None:
+                entries = _spread(first[run], count[run])
+                more = np.bincount(holder[entries], held[entries], m)
+            else:
+                walked = np.zeros(run[-1] + 1 - run[0])
+                walked[run - run[0]] = 1
+                more = walked @ dense[run[0] : run[-1] + 1]
+            got = got + more.astype(np.int64)[who]
+            at = np.searchsorted(codes, base[who] + run[-1], "right")
+            own_rest = before[starts[who] + lengths[who]] - before[at]
+            rest = total[s:t].max() - (before[starts[s] + deep] - before[starts[s]])
+            able = whole * (got + np.minimum(own_rest, rest)) >= percent * (size[s:t].min() + size[who])
+            if able.any():
+                todo.append((s, t, deep, who[able], got[able]))
+    return order[group[place]]
 
 
 def _block(key: int, sizes: np.ndarray, owners: np.ndarray, keys: np.ndarray, weights: np.ndarray, percent: int) -> list[int]:
-    """Root of each set of one block; ``owners``, ``keys``, ``weights``: all their classes.
+    """A member of the component of each set of one block; ``owners``, ``keys``, ``weights``: all their classes.
 
     Classes that the same sets of the block hold are one here, the rarest first, and a
     class that one set holds alone adds to no overlap.
     """
     own = keys >= key  # what comes before is met elsewhere
-    owners, keys, weights = owners[own], keys[own], weights[own]
-    order = np.argsort(keys, kind="stable")
-    owners, weights = owners[order], weights[order]
-    first = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    owners, keys, weights = owners[own], keys[own], weights[own].astype(np.int64)
+    alive = np.ones(len(sizes), bool)
+    while True:  # sets that fall out leave classes alone that others counted on
+        order = np.argsort(keys, kind="stable")
+        owners, keys, weights = owners[order], keys[order], weights[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        count = np.diff(first, append=len(keys))
+        shared = np.repeat(count > 1, count)
+        total = np.bincount(owners[shared], weights[shared], len(sizes))
+        able = alive & (100 * total >= percent * sizes)
+        if able.sum() < 2:
+            return list(range(len(sizes)))
+        stays = shared & able[owners]
+        done, alive = bool((able == alive).all()), able
+        owners, keys, weights = owners[stays], keys[stays], weights[stays]
+        if done:
+            break
+    viable = np.flatnonzero(alive)
+    roots = np.arange(len(sizes))
+    if len(viable) == 2:  # what they share is all that is left
+        a, b = viable
+        roots[b] = a if (100 + percent) * total[a] >= percent * (sizes[a] + sizes[b]) else b
+        return roots.tolist()
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
     count = np.diff(first, append=len(keys))
     marks = scrambled(np.arange(1, len(sizes) + 1, dtype=np.uint64))
     holders = np.bitwise_xor.reduceat(marks[owners], first)
     _, one, place = np.unique(holders, return_index=True, return_inverse=True)
     weight = np.bincount(place, weights[first]).astype(np.int64)
-    one, weight = one[count[one] > 1], weight[count[one] > 1]
     ranked = np.argsort(count[one], kind="stable")
     one, weight = one[ranked], weight[ranked]
-    lists: list[list[tuple[int, int]]] = [[] for _ in sizes]
-    total = np.zeros(len(sizes), np.int64)
-    for rank, (k, w) in enumerate(zip(one.tolist(), weight.tolist())):
-        held = owners[first[k] : first[k] + count[k]]
-        total[held] += w
-        for x in held.tolist():
-            lists[x].append((rank, w))
-    viable = np.flatnonzero(100 * total >= percent * sizes)
-    roots = np.arange(len(sizes))
-    if len(viable) > 1:
-        roots[viable] = viable[linked([(int(sizes[x]), lists[x]) for x in viable], percent)]
+    ranks, owners = np.repeat(np.arange(len(one)), count[one]), owners[_spread(first[one], count[one])]
+    owners = np.searchsorted(viable, owners)
+    order = np.lexsort((ranks, owners))
+    roots[viable] = viable[linked(sizes[viable], owners[order], ranks[order], weight, percent)]
     return roots.tolist()
 
 
@@ -311,10 +372,7 @@ def jaccard_components(
     run, schema = _chunks(n_words, buckets, chunk_chars)
     at = scratch_path(spark, "jaccard-chunks")
     chunks = stored_at(own.mapInArrow(run, schema), at)
-    lonely = chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_lonely, "chunk string, lonely binary")
-    both = chunks.where("bucket < 0").select("chunk", "docs", F.lit(b"").alias("lonely")).union(lonely.select("chunk", F.lit(b"").alias("docs"), "lonely"))
-    marks = both.groupBy("chunk").applyInPandas(_marks(percent), "doc_id long, n long, set_id binary, suspect boolean")
-    marks = stored(marks, "jaccard-marks")
+    marks = stored(_marked(chunks, percent), "jaccard-marks")
     remove(spark, at)  # the largest table here, and read for the last time
 
     groups = marks.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.max("suspect").alias("suspect"))
@@ -334,20 +392,24 @@ def jaccard_components(
         while used:
             remove(spark, used.pop())
 
-    sets = kept(own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"]), "jaccard-sets")
-
-    items = sets.select("set_id", "n", F.explode("hashes").alias("h"))
-    shared = kept(items.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h"), "jaccard-common")
-    viable = items.join(shared, "h").groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("total")).where(100 * F.col("total") >= percent * F.col("n"))
-    viable = kept(viable.select("set_id"), "jaccard-viable")
-    items = sets.join(viable, "set_id").select("set_id", "n", F.explode("hashes").alias("h"))
+    sets = own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, schema).dropDuplicates(["set_id"])
+    sets = kept(sets.withColumn("s", F.monotonically_increasing_id()), "jaccard-sets")
+
+    # Counted again over the whole hash range and these sets alone.
+    run, schema = _whole_chunks(buckets, chunk_chars // 8)
+    at = scratch_path(spark, "jaccard-whole-chunks")
+    viable = _marked(stored_at(sets.select("set_id", "n", "hashes").mapInArrow(run, schema), at), percent).where("suspect").select("set_id")
+    viable = kept(viable, "jaccard-viable")
+    remove(spark, at)
+    sets = sets.join(viable, "set_id")
+    items = sets.select("s", F.explode("hashes").alias("h"))
     # The number of holders leads the key of a class, so that keys sort the rarest class first.
     rarity = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(32767)), 48)
-    holders = F.shiftrightunsigned(F.bit_xor(F.xxhash64("set_id")), 16)
+    holders = F.shiftrightunsigned(F.bit_xor(F.xxhash64("s")), 16)
     shared = items.groupBy("h").agg(F.count(F.lit(1)).alias("df"), (rarity + holders).alias("key")).where("df > 1")
     shared = kept(shared.select("h", "key"), "jaccard-shared")
-    weights = items.join(shared, "h").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("w"))
-    lists = weights.groupBy("set_id", "n").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c"))
+    weights = items.join(shared, "h").groupBy("s", "key").agg(F.count(F.lit(1)).alias("w"))
+    lists = weights.groupBy("s").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("key", "w"))).alias("c")).join(sets.select("s", "set_id", "n"), "s")
     lists = lists.where(100 * F.col("total") >= percent * F.col("n")).select("set_id", "n", F.col("c.key").alias("keys"), F.col("c.w").cast("array<int>").alias("weights"))
     lists = stored(lists, "jaccard-lists")
     drop()
@@ -362,6 +424,9 @@ def jaccard_components(
     dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "set_id")
     blocks = stored(dealt, "jaccard-blocks").join(lists, "set_id")
     drop()
+    # Keys are sorted, and what comes before the key of a block is met elsewhere.
+    since = lambda c: F.slice(c, F.array_position("keys", F.col("key")).cast("int"), F.size("keys")).alias(c)
+    blocks = blocks.select("key", "i", "j", "set_id", "n", since("keys"), since("weights"))
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     edges = dealt.select("key", "i", "j", "set_id", "n", "keys", "weights").mapInArrow(_links(percent), "a binary, b binary")
     roots = components(edges, "jaccard")
