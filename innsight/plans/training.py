@@ -83,9 +83,13 @@ ROWS_PER_TASK = 250_000
 
 
 def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows in tasks of at most about ``ROWS_PER_TASK`` by a key that few rows share, however few files they come from."""
-    tasks = math.ceil(df.count() / ROWS_PER_TASK)
-    return df.repartition(tasks, *keys) if tasks > df.rdd.getNumPartitions() else df
+    """Rows in tasks of at most about ``ROWS_PER_TASK`` by a key that few rows share, however few files they come from.
+
+    The rows of each task are counted: a file with one row group is cut into tasks of which one reads it all.
+    """
+    tasks = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows"))
+    total, most = tasks.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0))).first()
+    return df.repartition(math.ceil(total / ROWS_PER_TASK), *keys) if most > ROWS_PER_TASK else df
 
 
 def train(df: DataFrame, spec: ModelSpec, spread: Sequence[str] = ()) -> PipelineModel:
