@@ -39,7 +39,7 @@ from innsight.sources.storage import remove, scratch_path
 WORDS, PERCENT = 5, 75
 BLOCK = 512  # sets of a part
 MOST_DENSE = 4_000_000  # entries of a block's classes by sets as a matrix, 32 MB
-MOST_BROADCAST = 500_000  # rows of an id and a fingerprint, about 30 MB; more are joined by a shuffle
+MOST_BROADCAST = 500_000  # rows of an id and a fingerprint, about 30 MB, or of a number; more are joined by a shuffle
 _HALF = np.uint64(1 << 63)
 _COMMON = 0xFFFF  # stands for a hash that several texts of one chunk hold
 _META = np.dtype([("doc_id", "<i8"), ("known", "?"), ("n", "<i8"), ("set_id", "V16")])
@@ -100,17 +100,17 @@ def _chunks(n_words: int, buckets: int, chunk_chars: int):
 
 
 def _whole_chunks(buckets: int, chunk_hashes: int):
-    """Sets to chunks with all of their hashes."""
+    """Sets to chunks with all of their hashes; the number of a set stands for its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids, sizes, lists = batch.column("set_id").to_pylist(), batch.column("n").to_pylist(), batch.column("hashes")
+            numbers, sizes, lists = batch.column("s").to_pylist(), batch.column("n").to_pylist(), batch.column("hashes")
             at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
             for a, b in slices(sizes, chunk_hashes):
-                docs = np.array([(0, False, n, i) for n, i in zip(sizes[a:b], ids[a:b])], _META)
+                docs = np.array([(s, True, n, bytes(16)) for s, n in zip(numbers[a:b], sizes[a:b])], _META)
                 name, number = f"{part}-{number}", number + 1
                 yield _chunk(name, docs, [flat[x:y] for x, y in zip(at[a:b], at[a + 1 : b + 1])], buckets, 64)
 
@@ -398,10 +398,14 @@ def jaccard_components(
     # Counted again over the whole hash range and these sets alone.
     run, schema = _whole_chunks(buckets, chunk_chars // 8)
     at = scratch_path(spark, "jaccard-whole-chunks")
-    viable = _marked(stored_at(sets.select("set_id", "n", "hashes").mapInArrow(run, schema), at), percent).where("suspect").select("set_id")
+    viable = _marked(stored_at(sets.select("s", "n", "hashes").mapInArrow(run, schema), at), percent).where("suspect").select(F.col("doc_id").alias("s"))
     viable = kept(viable, "jaccard-viable")
     remove(spark, at)
-    sets = sets.join(viable, "set_id")
+    # The sets are read three times from here on, so they are not shuffled each time to find the viable ones.
+    if viable.count() <= MOST_BROADCAST:
+        sets = sets.join(F.broadcast(viable), "s", "left_semi")
+    else:
+        sets = kept(sets.join(viable, "s", "left_semi"), "jaccard-viable-sets")
     items = sets.select("s", F.explode("hashes").alias("h"))
     # The number of holders leads the key of a class, so that keys sort the rarest class first.
     rarity = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(32767)), 48)

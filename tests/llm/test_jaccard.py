@@ -78,3 +78,25 @@ def test_few_classes_are_sent_to_a_block(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     jaccard.jaccard_components(docs).count()
     assert "array_position" in sent[0]._jdf.queryExecution().toString()
+
+
+def test_viable_sets_are_found_with_one_shuffle_of_the_sets_at_most(spark, monkeypatch):
+    """Few are broadcast, however low Spark's own threshold; for many the sets are shuffled and stored once, not for each reading."""
+    plans, store = {}, jaccard.stored_at
+
+    def noted(df, path):
+        plans[path.rsplit("/", 1)[1][:-13]] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, path)
+
+    monkeypatch.setattr(jaccard, "stored_at", noted)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        want = found(docs)
+        assert "BroadcastHashJoin" in plans["jaccard-shared"] and "SortMergeJoin" not in plans["jaccard-shared"]
+        monkeypatch.setattr(jaccard, "MOST_BROADCAST", 0)
+        assert found(docs) == want
+        assert "Join" not in plans["jaccard-shared"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
